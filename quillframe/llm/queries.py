@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import quality
+from quillframe.llm import lines, pii, quality
 from quillframe.sources.tables import table
 
 QUERIES: dict = {}
@@ -21,3 +21,29 @@ def query(f):
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return quality.coverage(docs, "doc_id")
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind_no"] < len(pii.BASE_KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(k) for k in pii.BASE_KINDS), F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.applied(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.col("__sha256").alias("kept_sha256"))
+
+
+ORACLE_SQL["op7_line_dedup"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+l AS (SELECT r, doc_id, u.i, u.x FROM d, LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS x, generate_subscripts(string_split(d.text, chr(10)), 1) AS i) u),
+k AS (SELECT *, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, (c.key IS NOT NULL AND k.doc_id <> c.keeper) AS gone FROM k LEFT JOIN common c ON k.key = c.key)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""
