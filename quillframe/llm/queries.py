@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import lines, pii, quality
+from quillframe.llm import lines, packing, pieces, pii, quality, vectors
 from quillframe.sources.tables import table
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file; workers find it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(f):
     QUERIES[f.__name__] = f
     return f
@@ -47,3 +57,30 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
        sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r
 """
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file(WORD_TOKENIZER), "doc_id")
+    return out.select("doc_id", F.col("__piece").alias("piece"), F.col("__start").alias("start"), F.col("__length").alias("length"), F.col("__crc32").alias("ids_crc32"), F.col("__sequence").alias("sequence_id"), F.col("__offset").alias("offset"))
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows, 5).select("query_id", "rank", "vec_id", "score")
+
+
+ORACLE_SQL["op9_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file(PIECE_MODEL), F.xxhash64("doc_id"), "doc_id", with_ids=False)
+    return out.select("doc_id", F.col("__n_ids").alias("n_ids"), F.col("__crc32").alias("ids_crc32"), F.col("__lossless").alias("lossless"))
