@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import lines, packing, pieces, pii, quality, vectors
+from quillframe.llm import jaccard, lines, packing, pieces, pii, quality, vectors
 from quillframe.sources.tables import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -84,3 +84,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file(PIECE_MODEL), F.xxhash64("doc_id"), "doc_id", with_ids=False)
     return out.select("doc_id", F.col("__n_ids").alias("n_ids"), F.col("__crc32").alias("ids_crc32"), F.col("__lossless").alias("lossless"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.when(~F.col("no_id"), F.col("d")).alias("doc_id"), "class_id", "copy_id", "n_links")
