@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import jaccard, lines, packing, pieces, pii, quality, vectors
+from quillframe.llm import html, jaccard, lines, packing, pieces, pii, quality, toxicity, vectors
 from quillframe.sources.tables import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -90,3 +90,17 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.when(~F.col("no_id"), F.col("d")).alias("doc_id"), "class_id", "copy_id", "n_links")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    out = toxicity.scored(docs, model, "doc_id")
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"), "page_id", "url")
+    return out.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
