@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import html, jaccard, lines, packing, pieces, pii, quality, toxicity, vectors
+from quillframe.llm import html, jaccard, lines, packing, pieces, pii, quality, toxicity, vectors, warc
 from quillframe.sources.tables import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -104,3 +104,33 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"), "page_id", "url")
     return out.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
+
+
+@query
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolved(warc.captures(table(spark, sf_dir, "pages", "page_id", "url", "html")))
+    fields = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])), "\n")
+    return found.select("record_id", F.col("key").alias("canonical_url"), "ts", "base_id", "verdict", "status", fields.alias("fields"))
+
+
+ORACLE_SQL["op2_revisits"] = r"""
+WITH t AS (SELECT page_id, trim(url) AS url, regexp_replace(trim(url), '#.*$', '') AS u, coalesce(html, '') AS html FROM pages),
+p AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), ':(80|443)$', ''), '^www\d*\.', '') AS host,
+      regexp_replace(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path, regexp_extract(u, '\?(.*)$', 1) AS query FROM t),
+k AS (SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|ref|sessionid|phpsessid)(=|$)'))), '&') AS rest FROM p),
+c AS (SELECT page_id, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN rest <> '' THEN '?' || rest ELSE '' END END AS key,
+      '"' || md5(html)[1:16] || '"' AS tag, 'day ' || (page_id // 100) AS date, length(html) AS size FROM k),
+r AS (SELECT page_id * 2 AS id, key, page_id * 10 AS ts, tag, date, size FROM c),
+v AS (SELECT page_id * 2 + 1 AS id, key, page_id * 10 + 25 AS ts, CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS tag,
+      CASE WHEN page_id % 5 = 0 THEN date END AS date FROM c),
+j AS (SELECT v.id, v.key, v.ts, v.tag AS vtag, v.date AS vdate, b.id AS base, b.tag, b.date, b.size,
+      row_number() OVER (PARTITION BY v.id ORDER BY b.ts DESC, b.id DESC) AS n FROM v LEFT JOIN r b ON b.key = v.key AND b.ts <= v.ts),
+w AS (SELECT *, CASE WHEN base IS NULL THEN 'no_base' WHEN vtag IS NOT NULL THEN CASE WHEN vtag = tag THEN 'resolved' ELSE 'etag_mismatch' END
+      WHEN vdate = date THEN 'resolved' ELSE 'date_mismatch' END AS verdict FROM j WHERE n = 1)
+SELECT id AS record_id, key AS canonical_url, ts, CASE WHEN verdict = 'resolved' THEN base END AS base_id, verdict, (CASE WHEN verdict = 'resolved' THEN 200 ELSE 304 END)::INTEGER AS status,
+  CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=' || CASE WHEN vtag IS NULL THEN '60' ELSE '3600' END || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10)
+         || 'etag: ' || CASE WHEN vtag IS NULL THEN tag ELSE 'W/' || vtag END || chr(10) || 'last-modified: ' || date
+       WHEN vtag IS NULL THEN 'content-length: 0' || chr(10) || 'last-modified: ' || vdate
+       ELSE 'cache-control: max-age=3600' || chr(10) || 'content-length: 0' || chr(10) || 'etag: ' || CASE WHEN vtag = '"changed"' THEN vtag ELSE 'W/' || vtag END END AS fields
+FROM w
+"""
