@@ -38,6 +38,35 @@ CLOSING_ID = 1
 REMEMBERED = 600_000
 
 
+_TAIL = np.zeros(256, dtype=bool)
+_TAIL[[ord(c) for c in ".,;:!?#*$%&"]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def _without_tails(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with a trailing run of marks after a letter made a word of its own, as the pre-tokenizer does."""
+    if not len(start):
+        return start, end
+    place = np.where(_TAIL[raw], -1, np.arange(len(raw)))
+    body = np.maximum.accumulate(place)[end - 1] + 1  # end of the word without its marks
+    latin = np.zeros(len(start), dtype=bool)  # two bytes of a letter with an accent
+    two = np.flatnonzero(body - 2 >= start)
+    latin[two] = (raw[body[two] - 2] == 0xC3) & (raw[body[two] - 1] != 0x97) & (raw[body[two] - 1] != 0xB7)
+    cut = (body > start) & (body < end)
+    cut[cut] &= _LETTER[raw[body[cut] - 1]] | latin[cut]
+    return np.sort(np.concatenate([start, body[cut]])), np.sort(np.concatenate([body[cut], end]))
+
+
+def _lowered(raw: np.ndarray) -> np.ndarray:
+    """ASCII letters in lower case (the tokenizer does so too), except where a combining mark may follow or a special token may be."""
+    after = np.append(raw[1:], 0)
+    upper = (raw >= 65) & (raw <= 90) & ((after < 0x80) | (after == 0xC3))
+    if b"<|" in raw.tobytes():
+        return raw
+    return np.where(upper, raw + np.uint8(32), raw)
+
+
 class WordEncoder:
     """Token ids of texts by a tokenizer whose pre-tokens never cross ASCII white space."""
 
@@ -80,7 +109,8 @@ class WordEncoder:
             last[:-1] &= ~solid[1:]
             inner = bounds[(bounds > 0) & (bounds < len(raw))]
             first[inner], last[inner - 1] = solid[inner], solid[inner - 1]
-        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        start, end = _without_tails(raw, np.flatnonzero(first), np.flatnonzero(last) + 1)
+        raw = _lowered(raw)
         coded = common.strings(raw, start, end).dictionary_encode()
         if len(self.known) > REMEMBERED:
             self._forget()
