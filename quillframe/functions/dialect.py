@@ -77,13 +77,12 @@ def first_match(rules: list[Rule], text: Column, otherwise: str, field: str = "i
 
 
 def kind_of(rules: list[Rule], role: Column, otherwise: str = "body") -> Column:
-    """The kind of a role id: that of its first rule."""
-    out, seen = None, set()
+    """The kind of a role id: that of its first rule. One look-up, so that ``role`` is evaluated once."""
+    kinds: dict[str, str] = {}
     for rule in ordered(rules):
-        if rule.id not in seen:
-            seen.add(rule.id)
-            out = (F.when if out is None else out.when)(role == rule.id, F.lit(rule.kind))
-    return out.otherwise(F.lit(otherwise))
+        kinds.setdefault(rule.id, rule.kind)
+    known = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, role), F.lit(otherwise))
 
 
 def sql_literal(text: str) -> str:

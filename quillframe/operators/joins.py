@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,9 +56,26 @@ def orphans(blocks: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
 def unclaimed(blocks: DataFrame, claimed: DataFrame, keys: list[str], headings: DataFrame, per: str) -> DataFrame:
     """Blocks that nobody claims: a heading if one of its document's heading texts is inside it, else prose."""
     known = headings.groupBy(per).agg(F.collect_set("heading").alias("headings"))
-    rows = blocks.join(claimed, keys, "left_anti").join(known, per, "left")
-    hit = F.exists(F.coalesce("headings", F.array().cast("array<string>")), lambda h: F.contains(F.col("raw_text"), h))
-    return rows.withColumn("unit_kind", F.when(hit, "heading").otherwise("prose")).drop("headings")
+    rows = blocks.join(claimed, keys, "left_anti").groupBy(per).agg(F.collect_list(F.struct(*(k for k in keys if k != per), "raw_text")).alias("rows"))
+    hit = contains_any(F.transform("rows", lambda r: r["raw_text"]), F.col("headings"))
+    out = rows.join(known, per, "left").withColumn("r", F.explode(F.arrays_zip("rows", hit.alias("hit"))))
+    return out.select(per, "r.rows.*", F.when(F.col("r.hit"), "heading").otherwise("prose").alias("unit_kind"))
+
+
+@F.pandas_udf("array<boolean>")
+def contains_any(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+    """For each text of a list, whether it holds one of the wanted ones; one automaton per list keeps it linear."""
+
+    def one(some: list, words: list | None) -> list[bool]:
+        if words is None or not len(words):
+            return [False] * len(some)
+        automaton = ahocorasick.Automaton()
+        for x in words:
+            automaton.add_word(x, 1)
+        automaton.make_automaton()
+        return [next(automaton.iter(t), None) is not None for t in some]
+
+    return pd.Series([one(t, w) for t, w in zip(texts, wanted)])
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -105,7 +124,7 @@ OPEN, CLOSE = "\u0001", "\u0002"
 
 def combined_answers(answers: DataFrame, text: str = "text") -> DataFrame:
     """Parts of answers that several questions share: split before each number, decimals apart."""
-    parts = F.split(F.regexp_replace(F.col(text), r"(^|[^0-9.])([0-9]{1,3})[.．、](?![0-9])", f"$1{OPEN}$2{CLOSE}"), OPEN)
+    parts = F.split(F.regexp_replace(F.col(text), r"(^|[^0-9.])([0-9]{1,3})(?:[.．](?![0-9])|、)", f"$1{OPEN}$2{CLOSE}"), OPEN)
     numbered = F.transform(F.filter(parts, lambda p: F.contains(p, F.lit(CLOSE))), lambda p: F.struct(F.substring_index(p, CLOSE, 1).cast("int").alias("number"), F.trim(F.substring_index(p, CLOSE, -1)).alias("part")))
     return answers.withColumn("item", F.explode(numbered)).select(*answers.columns, "item.number", "item.part")
 

@@ -142,7 +142,7 @@ _OPTIONS_SQL = "opts AS (SELECT l_orderkey AS question, l_linenumber * 100000000
 
 
 def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select(F.col("l_orderkey").alias("question"), (F.col("l_linenumber") * 1000000000 + F.col("l_partkey")).alias("ordinal"), F.char(F.lit(65) + F.col("l_partkey") % 4).alias("label"))
+    return table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select(F.col("l_orderkey").alias("question"), (F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey")).alias("ordinal"), F.char(F.lit(65) + F.col("l_partkey") % 4).alias("label"))
 
 
 @query(f"WITH {_OPTIONS_SQL}, b AS (SELECT *, label <= lag(label) OVER (PARTITION BY question ORDER BY ordinal) AS back FROM opts), g AS (SELECT *, sum(coalesce(back, false)::INT) OVER (PARTITION BY question ORDER BY ordinal ROWS UNBOUNDED PRECEDING) AS group_no FROM b), l AS (SELECT question, group_no::BIGINT AS group_no, string_agg(label, '' ORDER BY ordinal) AS labels FROM g GROUP BY question, group_no) SELECT *, labels = 'ABCD' AS complete, labels <> substr('ABCD', 1, length(labels)) AS gap FROM l")

@@ -1 +1,120 @@
+"""Queries: counts, histograms, modes, identities, comparisons."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillframe.operators import aggregates, sequence
+from quillframe.plans.corpus import PLAIN, blocks, turns, with_blocks, with_turns
+from quillframe.plans.registry import query
+from quillframe.sources.tables import table
+
+
+@query(with_blocks("SELECT CASE WHEN text = '' THEN 'EMPTY_BLOCK' WHEN length(raw_text) <> length(text) THEN 'WHITE_SPACE' WHEN role = 'plain' THEN 'UNKNOWN_ROLE' ELSE 'OK' END AS code, CASE WHEN text = '' THEN 'error' ELSE 'note' END AS severity, count(*) AS n, count(DISTINCT document) AS n_documents FROM blocks GROUP BY 1, 2"))
+def diagnostic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("text") == "", "EMPTY_BLOCK").when(F.length("raw_text") != F.length("text"), "WHITE_SPACE").when(F.col("role") == PLAIN, "UNKNOWN_ROLE").otherwise("OK")
+    rows = blocks(spark, sf_dir).select("document", code.alias("code"), F.when(F.col("text") == "", "error").otherwise("note").alias("severity"))
+    return rows.groupBy("code", "severity").agg(F.count("*").alias("n"), F.countDistinct("document").alias("n_documents"))
+
+
+@query(with_blocks("SELECT kind, count(*) AS n_before, count(*) FILTER (WHERE length(text) > 30) AS n_after FROM blocks GROUP BY kind"))
+def before_after_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks(spark, sf_dir).select("kind", "text")
+    return aggregates.before_after(rows, rows.where(F.length("text") > 30), "kind")
+
+
+_TAGS = "tags AS (SELECT page_id, lower(unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1))) AS tag FROM pages)"
+
+
+def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("html", F.lit("<([a-zA-Z][a-zA-Z0-9]*)"), 1)
+    return table(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.explode(found).alias("tag")).select("page_id", F.lower("tag").alias("tag"))
+
+
+@query(f"WITH {_TAGS} SELECT tag, count(*) AS n FROM tags GROUP BY tag")
+def fact_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.histogram(_tags(spark, sf_dir), "tag")
+
+
+@query(f"WITH {_TAGS} SELECT tag, count(*) AS n_occurring, count(*) FILTER (WHERE page_id % 3 = 0 AND tag <> 'nav') AS n_recorded, n_recorded = 0 AS missing FROM tags GROUP BY tag")
+def fact_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _tags(spark, sf_dir)
+    return aggregates.coverage(rows, rows.where("page_id % 3 = 0 AND tag <> 'nav'"), "tag")
+
+
+@query("WITH t AS (SELECT l_suppkey, l_linenumber, sum(l_quantity) AS w, min(l_orderkey) AS first FROM lineitem GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY w DESC, first, l_linenumber DESC) AS k FROM t) SELECT l_suppkey, l_linenumber AS body_size, w::BIGINT AS weight FROM r WHERE k = 1")
+def weighted_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "lineitem", "l_suppkey", "l_linenumber", "l_quantity", "l_orderkey")
+    return aggregates.weighted_mode(runs, "l_suppkey", size="l_linenumber", weight="l_quantity", place="l_orderkey")
+
+
+@query("SELECT l_suppkey, arg_max(l_linenumber, l_extendedprice * 1000000 - l_orderkey) AS dominant_size FROM lineitem GROUP BY l_suppkey")
+def dominant_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "lineitem", "l_suppkey", "l_linenumber", "l_extendedprice", "l_orderkey")
+    return aggregates.dominant_run(runs, "l_suppkey", size="l_linenumber", chars="l_extendedprice", place="l_orderkey")
+
+
+@query("WITH s AS (SELECT l_orderkey, sum(l_linenumber)::BIGINT AS parts_sum FROM lineitem GROUP BY 1), d AS (SELECT o_orderkey, (o_orderkey % 30)::BIGINT AS declared FROM orders WHERE o_orderkey % 10 <> 0) SELECT coalesce(l_orderkey, o_orderkey) AS l_orderkey, parts_sum, declared, CASE WHEN declared IS NULL THEN 'no-total' WHEN parts_sum IS NULL THEN 'no-sections' WHEN abs(parts_sum - declared) <= 1 THEN 'ok' ELSE 'MISMATCH' END AS verdict FROM s FULL JOIN d ON l_orderkey = o_orderkey")
+def sum_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers of an order against a declared total."""
+    totals = table(spark, sf_dir, "orders", "o_orderkey").where("o_orderkey % 10 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 30).alias("total"))
+    return aggregates.sum_identity(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"), totals, "l_orderkey", "l_linenumber", "total", tolerance=1)
+
+
+_PROPERTIES = "UNION ALL ".join(f"SELECT '{c}' AS property, {c}::VARCHAR AS value, l_orderkey FROM lineitem " for c in ("l_returnflag", "l_linestatus", "l_linenumber", "l_tax"))
+
+
+@query(f"WITH p AS ({_PROPERTIES}), o AS (SELECT property, CASE property WHEN 'l_tax' THEN 'x' WHEN 'l_linenumber' THEN CASE WHEN value > '5' THEN '5' ELSE value END ELSE value END AS value FROM p WHERE l_orderkey % 2 = 0), a AS (SELECT property, count(*) AS n_source, count(DISTINCT value) AS source_values FROM p GROUP BY 1), b AS (SELECT property, count(*) AS n_output, count(DISTINCT value) AS output_values FROM o GROUP BY 1) SELECT property, n_source, source_values, n_output, output_values, CASE WHEN property = 'l_linestatus' THEN 'adjudicated' WHEN source_values > 1 AND output_values <= 1 THEN 'unlinked' WHEN output_values < source_values THEN 'weakened' ELSE 'connected' END AS verdict FROM a JOIN b USING (property)")
+def distribution_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber", "l_tax")
+    pairs = F.array(*(F.struct(F.lit(c).alias("property"), F.col(c).cast("string").alias("value")) for c in ("l_returnflag", "l_linestatus", "l_linenumber", "l_tax")))
+    source = rows.select("l_orderkey", F.explode(pairs).alias("p")).select("l_orderkey", "p.*")
+    changed = F.when(F.col("property") == "l_tax", "x").when((F.col("property") == "l_linenumber") & (F.col("value") > "5"), "5").otherwise(F.col("value"))
+    output = source.where("l_orderkey % 2 = 0").select("property", changed.alias("value"))
+    return aggregates.distributions(source, output, ["l_linestatus"])
+
+
+_STATUSES = ("F", "O", "P")
+
+
+@query("SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS \"F\", count(*) FILTER (WHERE o_orderstatus = 'O') AS \"O\", count(*) FILTER (WHERE o_orderstatus = 'P') AS \"P\" FROM orders GROUP BY 1")
+def pivot_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders", "o_orderpriority", "o_orderstatus")
+    return rows.groupBy("o_orderpriority").pivot("o_orderstatus", list(_STATUSES)).count().select("o_orderpriority", *(F.coalesce(s, F.lit(0)).alias(s) for s in _STATUSES))
+
+
+@query("SELECT l_suppkey, count(*) AS n_occurrences, count(DISTINCT l_partkey) AS n_distinct FROM lineitem GROUP BY 1")
+def distinct_vs_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey").groupBy("l_suppkey").agg(F.count("*").alias("n_occurrences"), F.countDistinct("l_partkey").alias("n_distinct"))
+
+
+@query(with_blocks(", c AS (SELECT sha256(text) AS digest, count(*) AS n_copies, min((document, ordinal)) AS f FROM blocks WHERE text <> '' GROUP BY 1 HAVING count(*) > 1) SELECT digest, n_copies, f[1] AS first_document, f[2] AS first_ordinal FROM c"))
+def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line texts that stand at several places, and the first of them."""
+    return aggregates.content_copies(blocks(spark, sf_dir).where("text <> ''"), F.sha2("text", 256))
+
+
+@query("SELECT l_orderkey, sum((l_quantity > 5)::INT)::BIGINT AS n_images, sum((l_quantity > 5 AND l_discount < 0.1)::INT)::BIGINT AS n_owners, sum((l_quantity > 5 AND l_discount < 0.1)::INT)::BIGINT AS n_placed, CASE WHEN n_images <> n_owners OR n_owners <> n_placed THEN 'FIGURE_UNATTRIBUTED' END AS code FROM lineitem GROUP BY 1")
+def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_discount")
+    image, owner = F.col("l_quantity") > 5, (F.col("l_quantity") > 5) & (F.col("l_discount") < 0.1)
+    return aggregates.balance(rows, "l_orderkey", images=image, owners=owner, placed=owner)
+
+
+@query(with_turns(", a AS (SELECT document, ordinal, unnest(string_split(text, '.')) AS candidate FROM turns WHERE speaker = 'assistant') SELECT document, ordinal, trim(candidate) AS candidate FROM a WHERE trim(candidate) <> ''"))
+def harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates that filled answers name, one row each."""
+    rows = turns(spark, sf_dir).where("speaker = 'assistant'").select("document", "ordinal", F.explode(F.split("text", r"\.")).alias("candidate"))
+    return rows.select("document", "ordinal", F.trim("candidate").alias("candidate")).where("candidate <> ''")
+
+
+@query(with_turns("SELECT document, count(*) AS n_parts, sha256(string_agg(ordinal || ':' || sha256(text), chr(10) ORDER BY ordinal)) AS digest FROM turns GROUP BY document"))
+def artifact_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One digest per conversation over its turns in order."""
+    return aggregates.digest_of(turns(spark, sf_dir), "document", name="ordinal", content=F.col("text"))
+
+
+@query(with_blocks("SELECT role, kind, count(*) AS n FROM blocks GROUP BY ROLLUP (role, kind)"))
+def census_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks(spark, sf_dir).rollup("role", "kind").agg(F.count("*").alias("n"))
