@@ -125,7 +125,7 @@ def answer_segments(text: Column) -> Column:
 
 def terms(side: Column) -> Column:
     """The terms of one side of a reaction, split at plus signs."""
-    return F.filter(F.transform(F.split(side, r"\+"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(side, r"\+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def suspicious_term(term: Column) -> Column:

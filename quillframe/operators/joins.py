@@ -8,6 +8,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType
 
 STEM_PREFIX = 18
 
@@ -62,7 +63,7 @@ def unclaimed(blocks: DataFrame, claimed: DataFrame, keys: list[str], headings:
     return out.select(per, "r.rows.*", F.when(F.col("r.hit"), "heading").otherwise("prose").alias("unit_kind"))
 
 
-@F.pandas_udf("array<boolean>")
+@F.pandas_udf(ArrayType(BooleanType()))
 def contains_any(texts: pd.Series, wanted: pd.Series) -> pd.Series:
     """For each text of a list, whether it holds one of the wanted ones; one automaton per list keeps it linear."""
 
