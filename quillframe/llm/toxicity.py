@@ -110,15 +110,17 @@ def present(texts: pa.Array, chosen: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row: numbers of texts, and of texts with each feature, confirmed and unlabelled."""
-    counts, texts = np.zeros((2, 1 << BITS), dtype=np.int32), np.zeros(2, dtype=np.int64)
+    """Of the partition's texts with each feature, the confirmed and the unlabelled ones."""
+    counts = np.zeros((2, 1 << BITS), dtype=np.int64)
     for part in common.slices(batches, "text"):
-        flags = [part.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (1, 2)]
         owner, feature = present(part.column(0))
-        for k, flag in enumerate(flags):
-            counts[k] += np.bincount(feature[flag[owner]], minlength=1 << BITS).astype(np.int32)
-            texts[k] += flag.sum()
-    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (texts, counts[0], counts[1])], names=["texts", "positive", "unlabelled"])
+        for k in range(2):
+            flag = part.column(k + 1).to_numpy(zero_copy_only=False).astype(bool)
+            counts[k] += np.bincount(feature[flag[owner]], minlength=1 << BITS)
+    seen = np.flatnonzero(counts.any(axis=0))
+    for at in range(0, len(seen), 1 << 16):
+        some = seen[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0][some]), pa.array(counts[1][some])], names=["feature", "p", "u"])
 
 
 def _chosen_only(chosen: np.ndarray) -> callable:
@@ -186,23 +188,24 @@ def trained(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     share = min(1.0, MOST_UNLABELLED / max(1, docs.count()))
     drawn = ~held_out(F.col("doc_id")) & (F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = docs.join(F.broadcast(known), F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("is_positive", F.lit(False)).alias("is_positive"), drawn.alias("is_unlabelled"))
-    sample = common.checkpointed(rows.where("is_positive OR is_unlabelled").repartition(TRAIN_PARTS, F.xxhash64("text")))
-    counted = sample.mapInArrow(_counted, "texts binary, positive binary, unlabelled binary").collect()  # TRAIN_PARTS rows
-    texts = sum(np.frombuffer(r["texts"], dtype=np.int64) for r in counted)
-    p, u = (sum(np.frombuffer(r[k], dtype=np.int32).astype(np.int64) for r in counted) for k in ("positive", "unlabelled"))
-    share_p, share_u = (p + 0.5) / (texts[0] + 1), (u + 0.5) / (texts[1] + 1)
-    share_n = np.maximum(share_u - prior * share_p, 0) / (1 - prior) + 0.5 / (texts[1] + 1)
-    ratio = np.log(share_p / share_n)
-    pooled = (p + u) / texts.sum()
-    gain = np.where(p >= LEAST_COUNT, np.abs(share_p - share_u) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9)), 0)
-    best = np.argsort(-gain, kind="stable")[:MOST_FEATURES]
-    chosen = np.sort(best[(gain[best] > 0) & (ratio[best] > 0)])
+    sample = common.checkpointed(rows.where("is_positive OR is_unlabelled").repartition(TRAIN_PARTS))
+    n_p, n_u = sample.agg(*(F.sum(F.col(c).cast("long")) for c in ("is_positive", "is_unlabelled"))).first()
+    if not n_p or not n_u:
+        return None
+    counted = sample.mapInArrow(_counted, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= LEAST_COUNT)
+    share_p, share_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
+    share_n = F.greatest(share_u - prior * share_p, F.lit(0.0)) / (1 - prior) + 0.5 / (n_u + 1)
+    pooled = (F.col("p") + F.col("u")) / (n_p + n_u)
+    gain = F.abs(share_p - share_u) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)))
+    best = counted.select("feature", F.log(share_p / share_n).alias("ratio"), gain.alias("gain")).where("ratio > 0 AND gain > 0").orderBy(F.desc("gain"), "feature").limit(MOST_FEATURES).collect()
+    best.sort(key=lambda r: r["feature"])
+    chosen, ratio = np.array([r["feature"] for r in best], dtype=np.int64), np.array([r["ratio"] for r in best])
     if not len(chosen):
         return chosen, np.zeros(0), float(np.log(prior / (1 - prior)))
     rows = sample.mapInArrow(_chosen_only(chosen), "is_positive boolean, is_unlabelled boolean, features binary").collect()  # the bounded sample
-    positive, unlabelled = (Sparse([r["features"] for r in rows if r[k]], ratio[chosen]) for k in ("is_positive", "is_unlabelled"))
+    positive, unlabelled = (Sparse([r["features"] for r in rows if r[k]], ratio) for k in ("is_positive", "is_unlabelled"))
     weights, bias = fit(positive, unlabelled, prior)
-    return chosen, weights * ratio[chosen], bias
+    return chosen, weights * ratio, bias
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, *keep: str) -> DataFrame:
