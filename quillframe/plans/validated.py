@@ -27,11 +27,11 @@ def ladder_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.heading_ladder(levels)
 
 
-@query(with_blocks(_SPANS + ", r AS (SELECT *, max(char_end) OVER (PARTITION BY block ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (SELECT block, char_start - CASE WHEN length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_start, char_end - CASE WHEN length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_end FROM spn)) SELECT block, CASE WHEN char_end <= char_start THEN 'SPAN_EMPTY' ELSE 'SPAN_OVERLAP' END AS code FROM r WHERE char_end <= char_start OR char_start < reached"))
+@query(with_blocks(_SPANS + ", r AS (SELECT *, max(char_end) OVER (PARTITION BY block ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (SELECT block, char_start - CASE WHEN role = 'option' AND length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_start, char_end - CASE WHEN role = 'option' AND length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_end FROM spn)) SELECT block, CASE WHEN char_end <= char_start THEN 'SPAN_EMPTY' ELSE 'SPAN_OVERLAP' END AS code FROM r WHERE char_end <= char_start OR char_start < reached"))
 def span_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans moved so that some may cross: those that do, or are empty."""
     spans, _ = _spans(spark, sf_dir)
-    shift = F.when(F.length("block") % 5 == 0, 30).otherwise(0)
+    shift = F.when((F.col("role") == "option") & (F.length("block") % 5 == 0), 30).otherwise(0)
     moved = spans.withColumn("char_start", F.col("char_start") - shift).withColumn("char_end", F.col("char_end") - shift)
     return gates.attribution.overlaps(moved).select("block", "code")
 
