@@ -26,8 +26,8 @@ def format_chars(text: Column) -> Column:
 
 
 def expand_subscripts(text: Column) -> Column:
-    """What follows ``_`` or ``^`` (braces, a run of digits and dots, or one character) between two marks."""
-    return F.regexp_replace(text, r"([_^])(?:\{([^}]*)\}|([0-9][0-9.]*)|([^\n]))", f"{SUB_OPEN}$1$2$3$4{SUB_CLOSE}")
+    """What follows ``_`` or ``^`` (braces, a run of digits and dots, or one character) between two marks; the sign goes."""
+    return F.regexp_replace(text, r"[_^](?:\{([^}]*)\}|(\p{Nd}[\p{Nd}.]*)|([^\n]))", f"{SUB_OPEN}$1$2$3{SUB_CLOSE}")
 
 
 def sentinel_split(text: Column) -> Column:

@@ -34,12 +34,19 @@ def regex_spans(pattern: str):
 OPTIONS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("recovered", T.BooleanType())]))
 
 
+def _may_begin(text: str, at: int) -> bool:
+    """Whether a marker may stand here: after no ASCII letter, or after one that stands alone."""
+    letter = lambda c: c.isascii() and c.isalpha()
+    before, two = text[at - 1 : at] if at else "", text[at - 2 : at - 1] if at > 1 else ""
+    return not letter(before) or not (two.isascii() and two.isalnum())
+
+
 def option_row(text: str, chars: str = "ABCDEFGH", separators: str = ".．、:：") -> list[dict]:
     """The options of a line: markers in alphabet order, each after the one before it.
 
-    A marker stands after no ASCII letter (or is a letter alone) and before a separator. Labels before the
-    first found are skipped; the first absence after it ends the row. Text before a first marker that is
-    not the alphabet's first belongs to the label missing before it.
+    A marker stands before a separator and not inside a word. Labels before the first found are skipped;
+    the first absence after it ends the row. Text before a first marker that is not the alphabet's first
+    belongs to the label missing before it.
     """
     found: list[tuple[str, int]] = []
     at = 0
@@ -48,8 +55,7 @@ def option_row(text: str, chars: str = "ABCDEFGH", separators: str = ".．、:
         k = text.find(label, at)
         while k >= 0:
             after = text[k + 1 : k + 2]
-            before = text[k - 1 : k]
-            if after and after in separators and not (before.isascii() and before.isalnum()):
+            if after and after in separators and _may_begin(text, k):
                 place = k
                 break
             k = text.find(label, k + 1)
@@ -60,9 +66,10 @@ def option_row(text: str, chars: str = "ABCDEFGH", separators: str = ".．、:
             break
     out: list[dict] = []
     if found and found[0][0] != chars[0]:
-        head = text[: found[0][1]].strip().lstrip(separators).strip()
+        missing = chars[chars.index(found[0][0]) - 1]
+        head = text[: found[0][1]].strip().removeprefix(missing).lstrip(separators).strip()
         if head:
-            out.append({"label": chars[chars.index(found[0][0]) - 1], "start": 0, "end": found[0][1], "text": head, "recovered": True})
+            out.append({"label": missing, "start": 0, "end": found[0][1], "text": head, "recovered": True})
     for k, (label, start) in enumerate(found):
         end = found[k + 1][1] if k + 1 < len(found) else len(text)
         out.append({"label": label, "start": start, "end": end, "text": text[start + 2 : end].strip(), "recovered": False})

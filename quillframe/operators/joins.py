@@ -96,12 +96,19 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def disposition(files: DataFrame, consumed: DataFrame, excluded: DataFrame) -> DataFrame:
-    """What became of each file of a batch: consumed, containedIn (a holder that is itself consumed), excluded, ORPHAN."""
+    """What became of each file of a batch.
+
+    consumed; containedIn (a holder that is itself consumed, with evidence where the column exists), else
+    no-evidence or holder-not-consumed; excluded (for a reason), else no-reason; ORPHAN: nobody says.
+    """
     used = consumed.select("file", F.lit(True).alias("used")).distinct()
     holder = used.select(F.col("file").alias("holder"), F.col("used").alias("holder_used"))
-    rows = files.join(used, "file", "left").join(holder, "holder", "left").join(excluded.select("file", "reason").distinct(), "file", "left")
-    status = F.when(F.col("used"), "consumed").when(F.col("holder_used"), "containedIn").when(F.col("reason").isNotNull(), "excluded").otherwise("ORPHAN")
-    return rows.withColumn("status", status).drop("used", "holder_used")
+    rows = files.join(used, "file", "left").join(holder, "holder", "left").join(excluded.select("file", "reason", F.lit(True).alias("declared")).distinct(), "file", "left")
+    evident = F.trim(F.coalesce("evidence", F.lit(""))) != "" if "evidence" in files.columns else F.lit(True)
+    status = F.when(F.col("used"), "consumed").when(F.col("holder_used"), F.when(evident, "containedIn").otherwise("no-evidence"))
+    status = status.when(F.col("declared"), F.when(F.trim(F.coalesce("reason", F.lit(""))) != "", "excluded").otherwise("no-reason"))
+    status = status.when(F.col("holder").isNotNull() & F.lit("evidence" in files.columns), "holder-not-consumed").otherwise("ORPHAN")
+    return rows.withColumn("status", status).drop("used", "holder_used", "declared")
 
 
 def adjudicated_drift(rows: DataFrame, upstream: DataFrame, decisions: DataFrame) -> DataFrame:

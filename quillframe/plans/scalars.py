@@ -38,7 +38,7 @@ def _formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size").select("p_partkey", text.alias("text"))
 
 
-_EXPANDED = r"regexp_replace(text, '([_^])(?:\{([^}]*)\}|([0-9][0-9.]*)|([^\n]))', chr(57344) || '\1\2\3\4' || chr(57345), 'g')"
+_EXPANDED = r"regexp_replace(text, '[_^](?:\{([^}]*)\}|(\p{Nd}[\p{Nd}.]*)|([^\n]))', chr(57344) || '\1\2\3' || chr(57345), 'g')"
 
 
 @query(f"WITH {_FORMULAS} SELECT p_partkey, {_EXPANDED} AS expanded FROM f")
