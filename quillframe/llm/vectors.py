@@ -98,10 +98,10 @@ class _Queries:
         off = self.size @ step / 2 + scale * 1e-12 + 1  # cells, rounding of these sums
         large = float(np.abs(exact).max()) * self.size.max() * self.dim >= 2.0**53 if exact.size and self.size.size else False
         for q in range(len(self.ids)):
-            upper = near[q] + off[q]
+            upper = np.clip(near[q] + off[q], -(2.0**63), 2.0**63)  # as scores are
             certain = -np.inf
             if len(upper) > self.k:  # one of them may be the query's own
-                certain = np.partition(near[q], len(upper) - self.k - 1)[len(upper) - self.k - 1] - off[q]
+                certain = np.clip(np.partition(near[q], len(upper) - self.k - 1)[len(upper) - self.k - 1] - off[q], -(2.0**63), 2.0**63)
             if len(self.best[q]) == self.k:
                 certain = max(certain, -self.best[q][-1][0])
             left = np.flatnonzero(upper >= certain)
