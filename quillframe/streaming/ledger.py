@@ -12,25 +12,30 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 QUESTION_SCHEMA = "document long, ordinal long, question long, is_stem boolean"
 
 
+def _watermarked(events: DataFrame, late: str) -> DataFrame:
+    """A stream with its watermark, which needs times with a zone; a batch as it is."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def tumbling(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums by window and type; rows later than ``late`` are not counted in a stream."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = _watermarked(events, late)
     return rows.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("v")).select(F.col("window.start").alias("start"), "event_type", "n", "v")
 
 
 def sliding(events: DataFrame, width: str = "1 hour", step: str = "30 minutes", late: str = "2 hours") -> DataFrame:
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = _watermarked(events, late)
     return rows.groupBy(F.window("ts", width, step)).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "n")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = _watermarked(events, late)
     return rows.groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
 
 
 def once(events: DataFrame, *keys: str, late: str = "2 hours") -> DataFrame:
     """Repeats of the same keys within the watermark are dropped."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([*keys]) if events.isStreaming else events.dropDuplicates([*keys])
+    return _watermarked(events, late).dropDuplicatesWithinWatermark([*keys]) if events.isStreaming else events.dropDuplicates([*keys])
 
 
 def question_machine(blocks: DataFrame) -> DataFrame:
