@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillframe.sources.tables import share_package
 
+BATCH_ROWS = 2000
 #: Bytes that the regular expression class [\x20\x09-\x0D] matches.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -33,6 +34,15 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """``frame``, in a session whose Arrow batches hold BATCH_ROWS rows at most: texts are long, and a batch is held whole."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = frame.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return frame
+
+
 def partitions_for(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -296,6 +296,7 @@ def classes(docs: DataFrame) -> DataFrame:
     copy_id is the least doc_id with the same shingles; n_links counts the other documents linked, copies
     included; label is null for a text without words.
     """
+    common.small_batches(docs)
     rows = common.checkpointed(docs.select(*_identity(docs), F.col("text").alias("__text")).mapInArrow(_profiled, "d long, no_id boolean, t long, f binary, sig binary, bands array<long>"))
     least = F.min(F.struct("no_id", "d", "t"))
     one = rows.where("f IS NOT NULL").groupBy("f").agg(F.count("*").alias("n_copies"), least.alias("least"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))

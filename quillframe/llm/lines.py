@@ -212,7 +212,7 @@ def kept_lines(text: str | None, keep: bytes | None) -> list[str]:
 
 
 def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in common.slices(batches, "__text", 8 << 20):
+    for part in common.slices(batches, "__text"):
         at = part.schema.get_field_index
         texts, keeps = part.column(at("__text")).to_pylist(), part.column(at("__keep")).to_pylist()
         kept = ["\n".join(kept_lines(t, k)) for t, k in zip(texts, keeps)]
@@ -230,6 +230,7 @@ def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def applied(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep`` of each row with __n_lines, __kept (the text left), __sha256 and __n_dropped."""
+    common.small_batches(docs)
     bitmaps = keep_bitmaps(docs).select(*(F.col(c).alias(f"__{c}") for c in ("doc", "no_id", "row", "n_dropped", "keep")))
     rows = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__doc"), F.col("doc_id").isNull().alias("__no_id"), _row().alias("__row"))
     joined = rows.join(bitmaps, ["__doc", "__no_id", "__row"], "left").select(*keep, "__text", "__keep", F.coalesce("__n_dropped", F.lit(0)).alias("__n_dropped"))

@@ -35,7 +35,7 @@ from quillframe.llm import common
 CAPACITY = 4096
 CLOSING_ID = 1
 #: Distinct words that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 
 
 _TAIL = np.zeros(256, dtype=bool)
@@ -48,7 +48,7 @@ def _without_tails(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple
     """Words with a trailing run of marks after a letter made a word of its own, as the pre-tokenizer does."""
     if not len(start):
         return start, end
-    place = np.where(_TAIL[raw], -1, np.arange(len(raw)))
+    place = np.where(_TAIL[raw], np.int32(-1), np.arange(len(raw), dtype=np.int32))
     body = np.maximum.accumulate(place)[end - 1] + 1  # end of the word without its marks
     latin = np.zeros(len(start), dtype=bool)  # two bytes of a letter with an accent
     two = np.flatnonzero(body - 2 >= start)
@@ -143,7 +143,7 @@ def _pieces(path: str, with_ids: bool) -> callable:
 
         encode, part = encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(CAPACITY + 1, dtype=np.int64)
-        for batch in common.slices(batches, "__text", 8 << 20):
+        for batch in common.slices(batches, "__text"):
             ids, bounds = encode(batch.column(batch.schema.get_field_index("__text")))
             rows, out = [], {"__piece": [], "__start": [], "__length": [], "__crc32": [], "__nth": [], "__ids": []}
             for row in range(batch.num_rows):
@@ -173,6 +173,7 @@ def _pieces(path: str, with_ids: bool) -> callable:
 
 def pieces(docs: DataFrame, path: str, *keep: str, with_ids: bool = False) -> DataFrame:
     """A row per piece: the columns ``keep``, __piece, __start, __length, __crc32, __nth, __part (and __ids)."""
+    common.small_batches(docs)
     chosen = docs.select(*keep, F.col("text").alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__text"), "__piece int, __start long, __length long, __crc32 long, __nth long, __part long"] + ["__ids binary"] * with_ids)
     return chosen.mapInArrow(_pieces(path, with_ids), schema)

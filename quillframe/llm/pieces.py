@@ -293,6 +293,7 @@ def encoded(docs: DataFrame, path: str, key: Column, *keep: str, rate: float = 0
 
     ``key`` (long) tells texts apart for the dropout; __lossless says that the ids decode to the text.
     """
+    common.small_batches(docs)
     chosen = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(key, F.lit(0)).alias("__key"))
     rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name not in ("__text", "__key")]
     return chosen.mapInArrow(_encoded(path, rate, seed, with_ids), ", ".join([*rest, "__n_ids long, __crc32 long, __lossless boolean"] + ["__ids array<int>"] * with_ids))

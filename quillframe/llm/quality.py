@@ -144,6 +144,7 @@ def coverage(docs: DataFrame, *keep: str) -> DataFrame:
 
     Adds the columns of MEASURES, ``base_failed`` and ``kept``.
     """
+    common.small_batches(docs)
     chosen = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema), MEASURES])
     out = chosen.mapInArrow(_measured, schema)

@@ -224,5 +224,6 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None,
             rest = [c for c in part.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(score)], names=[*rest, "__score"])
 
+    common.small_batches(docs)
     chosen = docs.select(*keep, F.col("text").alias("__text"))
     return chosen.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__text"), "__score double"]))
