@@ -27,7 +27,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def labelled(edges: DataFrame) -> DataFrame:
     """node and label (the least node of its component) for every node of the edges (a, b)."""
-    now, seen = common.checkpointed(_small_star(edges.where("a <> b"))), None
+    edges = common.checkpointed(edges.where("a <> b"))  # read several times below
+    now, seen = common.checkpointed(_small_star(edges)), None
     while True:
         state = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if state == seen or not state["n"]:
