@@ -9,7 +9,7 @@ from quillframe.functions import dialect
 from quillframe.functions.dialect import Rule
 from quillframe.functions.text import collapse_ws
 from quillframe.sources.lines import line_blocks, turn_blocks
-from quillframe.sources.tables import table
+from quillframe.sources.tables import spread, table
 
 PLAIN = "plain"
 #: Roles of lines, most specific first; two rules may share an id.
@@ -28,8 +28,9 @@ ROLES = sorted({r.id for r in RULES} | {PLAIN})
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the documents with text, role and kind."""
-    lines = line_blocks(table(spark, sf_dir, "documents", "doc_id", "text")).withColumn("text", collapse_ws(F.col("raw_text")))
-    return lines.withColumn("role", dialect.first_match(RULES, F.col("text"), PLAIN)).withColumn("kind", dialect.kind_of(RULES, F.col("role")))
+    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    lines = line_blocks(docs, derived={"text": collapse_ws, "role": lambda text: dialect.first_match(RULES, text, PLAIN)})
+    return lines.withColumn("kind", dialect.kind_of(RULES, F.col("role")))
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from quillframe.functions import text as T, udfs
 from quillframe.functions.dialect import portable
 from quillframe.plans.corpus import blocks, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
-from quillframe.sources.tables import table
+from quillframe.sources.tables import spread, table
 
 _SPICED = "spiced AS (SELECT doc_id, replace(replace(text, ' the ', ' ' || chr(8203) || 'the' || chr(173) || ' '), 'tion', 'tion' || chr(65279)) AS text FROM documents)"
 
@@ -25,7 +25,7 @@ def strip_format_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def normal_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compatibility form without marks, number marker and white space: what texts are compared by."""
-    rows = table(spark, sf_dir, "documents", "doc_id", "text")
+    rows = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
     plain = T.strip_marker(F.regexp_replace(udfs.nfkc(F.col("text")), f"[{T.SUB_OPEN}{T.SUB_CLOSE}]", ""))
     return rows.select("doc_id", F.regexp_replace(plain, portable(r"\s+"), "").alias("normal"))
 
@@ -174,7 +174,7 @@ def uncovered_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = spark.createDataFrame([(32, 126)], "first int, last int").collect()
     exceptions = ["é", "è", "\n"]
     char = F.explode(F.split("text", ""))
-    rows = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", char.alias("ch")).groupBy("doc_id", "ch").agg(F.count("*").alias("k"))
+    rows = spread(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", char.alias("ch")).groupBy("doc_id", "ch").agg(F.count("*").alias("k"))
     covered = F.lit(False)
     for r in ranges:
         covered = covered | F.ascii("ch").between(r["first"], r["last"])
@@ -194,7 +194,7 @@ def option_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Option rows made from lines and taken apart again."""
     row = F.concat(F.lit("A."), "l_returnflag", F.lit("  B．"), "l_linestatus", F.lit(" C、"), F.col("l_partkey").cast("string"))
     rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus")
-    found = rows.select("l_orderkey", "l_linenumber", "l_partkey", F.explode(udfs.split_options()(row)).alias("o"))
+    found = spread(rows).select("l_orderkey", "l_linenumber", "l_partkey", F.explode(udfs.split_options()(row)).alias("o"))
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "o.label", "o.text")
 
 

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def line_blocks(docs: DataFrame, document: str = "doc_id", text: str = "text") -> DataFrame:
-    """document, ordinal (from 1), locator and raw_text of every line."""
-    lines = docs.select(F.col(document).alias("document"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "raw_text"))
+def _with_field(name: str, make: Callable[[Column], Column], of: str) -> Callable[[Column], Column]:
+    return lambda row: row.withField(name, make(row[of]))
+
+
+def line_blocks(docs: DataFrame, document: str = "doc_id", text: str = "text", derived: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """document, ordinal (from 1), locator and raw_text of every line, and columns derived from one another in turn.
+
+    The first of ``derived`` is a function of the line, each further one of the one before. They are made
+    before the lines are taken apart, so that each is computed once, whatever filters come later.
+    """
+    each = F.transform(F.split(F.col(text), "\n"), lambda x: F.struct(x.alias("raw_text")))
+    last = "raw_text"
+    for name, make in (derived or {}).items():
+        each = F.transform(each, _with_field(name, make, last))
+        last = name
+    lines = docs.select(F.col(document).alias("document"), F.posexplode(each).alias("pos", "line"))
     ordinal = F.col("pos").cast("long") + 1
-    return lines.select("document", ordinal.alias("ordinal"), F.concat(F.lit("body/p["), ordinal.cast("string"), F.lit("]")).alias("locator"), "raw_text")
+    return lines.select("document", ordinal.alias("ordinal"), F.concat(F.lit("body/p["), ordinal.cast("string"), F.lit("]")).alias("locator"), "line.*")
 
 
 def turn_blocks(conversations: DataFrame) -> DataFrame:

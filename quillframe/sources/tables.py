@@ -18,6 +18,18 @@ def share_package(spark: SparkSession) -> None:
             context.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{have}".rstrip(":")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """``frame`` over as many partitions as there are cores, where its files give fewer.
+
+    A few files, or files of one row group, leave cores idle before work that costs far more than this
+    exchange. Inputs of a cluster's size have more partitions than cores and stay as they are.
+    """
+    context = getattr(frame.sparkSession, "sparkContext", None)
+    if context is None or frame.rdd.getNumPartitions() >= context.defaultParallelism:
+        return frame
+    return frame.repartition(context.defaultParallelism)
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The table ``name`` of ``folder``; only ``columns`` when any are given, so the scan is pruned."""
     share_package(spark)
