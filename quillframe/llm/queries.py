@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import html, jaccard, lines, packing, pieces, pii, quality, toxicity, vectors, warc
-from quillframe.sources.tables import table
+from quillframe.sources.tables import spread, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -29,13 +29,46 @@ def query(f):
 
 @query
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
     return quality.coverage(docs, "doc_id")
 
 
+def _repetition_sql() -> str:
+    """The same measures by joining words to strings instead of rolling hashes over their numbers."""
+    grams, covered, chars, over = [], [], [], []
+    for n, most in quality.MOST_NGRAM.items():
+        words = ", ".join(["w", *(f"lead(w, {k}) OVER t" for k in range(1, n))])
+        grams.append(f"CASE WHEN lead(w, {n - 1}) OVER t IS NOT NULL THEN concat_ws(chr(1), {words}) END AS g{n}")
+        covered.append(f"coalesce(max(k{n}) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 0) > 1 AS c{n}")
+        chars.append(f"coalesce(sum(length(w)) FILTER (WHERE c{n}), 0)::BIGINT AS dup_chars_{n}")
+        over.append(f"dup_chars_{n} > {most} * word_chars")
+    counted = ", ".join(f"CASE WHEN g{n} IS NOT NULL THEN count(*) OVER (PARTITION BY r, g{n}) END AS k{n}" for n in quality.MOST_NGRAM)
+    word, white = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+m AS (SELECT r, regexp_extract_all(text, '{word}') AS ws, string_split(text, chr(10)) AS ls FROM d),
+w AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM m),
+g AS (SELECT r, i, w, {", ".join(grams)} FROM w WINDOW t AS (PARTITION BY r ORDER BY i)),
+k AS (SELECT r, i, w, {counted} FROM g),
+c AS (SELECT r, w, {", ".join(covered)} FROM k),
+n AS (SELECT r, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars, count(*) FILTER (WHERE c{quality.BASE}) AS n_repeat_words, {", ".join(chars)} FROM c GROUP BY r),
+l AS (SELECT r, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM m),
+y AS (SELECT r, x, row_number() OVER (PARTITION BY r, x ORDER BY i) > 1 AS again, length(regexp_replace(x, '{white}', '', 'g')) AS chars FROM l WHERE regexp_matches(x, '{word}')),
+z AS (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup_lines, coalesce(sum(chars) FILTER (WHERE again), 0)::BIGINT AS dup_line_chars FROM y GROUP BY r),
+a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+      coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, {", ".join(f"coalesce(dup_chars_{n}, 0) AS dup_chars_{n}" for n in quality.MOST_NGRAM)}
+      FROM d LEFT JOIN n USING (r) LEFT JOIN z USING (r)),
+b AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEAT_PERCENT} * n_words AS base_failed FROM a)
+SELECT *, NOT base_failed AND NOT (n_dup_lines > {quality.MOST_LINES} * n_lines OR dup_line_chars > {quality.MOST_LINE_CHARS} * word_chars OR {" OR ".join(over)}) AS kept FROM b
+"""
+
+
+ORACLE_SQL["op1_repetition"] = _repetition_sql()
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.with_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = pii.with_spans(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
     base = F.filter("spans", lambda s: s["kind_no"] < len(pii.BASE_KINDS))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *(count(k) for k in pii.BASE_KINDS), F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
@@ -61,7 +94,7 @@ FROM m GROUP BY r
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file(WORD_TOKENIZER), "doc_id")
+    out = packing.packed(spread(table(spark, sf_dir, "documents", "doc_id", "text")), tokenizer_file(WORD_TOKENIZER), "doc_id")
     return out.select("doc_id", F.col("__piece").alias("piece"), F.col("__start").alias("start"), F.col("__length").alias("length"), F.col("__crc32").alias("ids_crc32"), F.col("__sequence").alias("sequence_id"), F.col("__offset").alias("offset"))
 
 
@@ -82,13 +115,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 @query
 def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file(PIECE_MODEL), F.xxhash64("doc_id"), "doc_id", with_ids=False)
+    out = pieces.encoded(spread(table(spark, sf_dir, "documents", "doc_id", "text")), tokenizer_file(PIECE_MODEL), F.xxhash64("doc_id"), "doc_id", with_ids=False)
     return out.select("doc_id", F.col("__n_ids").alias("n_ids"), F.col("__crc32").alias("ids_crc32"), F.col("__lossless").alias("lossless"))
 
 
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jaccard.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = jaccard.classes(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
     return found.select(F.when(~F.col("no_id"), F.col("d")).alias("doc_id"), "class_id", "copy_id", "n_links")
 
 
@@ -96,7 +129,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.trained(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    out = toxicity.scored(docs, model, "doc_id")
+    out = toxicity.scored(spread(docs), model, "doc_id")
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 
 
