@@ -24,8 +24,8 @@ from quillframe.llm import common
 
 #: Largest share of a text's word characters inside repeated windows, by window length in words.
 MOST_NGRAM = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
-#: Largest shares of lines, and of word characters, in lines equal to an earlier one.
-MOST_LINES = 0.30
+#: Largest share of word characters in lines equal to an earlier one. Their number does not count: a short text between
+#: two equal lines is no repetition.
 MOST_LINE_CHARS = 0.20
 LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
@@ -151,7 +151,7 @@ def coverage(docs: DataFrame, *keep: str) -> DataFrame:
     if "text" not in keep:
         out = out.drop("text")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
-    over = (F.col("n_dup_lines") > MOST_LINES * F.col("n_lines")) | (F.col("dup_line_chars") > MOST_LINE_CHARS * F.col("word_chars"))
+    over = F.col("dup_line_chars") > MOST_LINE_CHARS * F.col("word_chars")
     for n, most in MOST_NGRAM.items():
         over = over | (F.col(f"dup_chars_{n}") > most * F.col("word_chars"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~over)

@@ -59,7 +59,7 @@ a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS
       coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, {", ".join(f"coalesce(dup_chars_{n}, 0) AS dup_chars_{n}" for n in quality.MOST_NGRAM)}
       FROM d LEFT JOIN n USING (r) LEFT JOIN z USING (r)),
 b AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEAT_PERCENT} * n_words AS base_failed FROM a)
-SELECT *, NOT base_failed AND NOT (n_dup_lines > {quality.MOST_LINES} * n_lines OR dup_line_chars > {quality.MOST_LINE_CHARS} * word_chars OR {" OR ".join(over)}) AS kept FROM b
+SELECT *, NOT base_failed AND NOT (dup_line_chars > {quality.MOST_LINE_CHARS} * word_chars OR {" OR ".join(over)}) AS kept FROM b
 """
 
 
