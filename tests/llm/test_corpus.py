@@ -215,6 +215,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</scri
 
 def test_page_structure():
     assert [b.text for b in html.blocks(PAGE)] == ["Title & more", "First para boldtext next.", "Second", "1", "2", "1 < 2 < 3 &am"]
+    assert [b.text for b in html.blocks("<article class='post has-comments no-sidebar'><p>Kept</p><div class='comment-list'>c</div></article>")] == ["Kept"]
     assert html.blocks("") == [] and [b.text for b in html.blocks("just text")] == ["just text"]
     assert [b.text for b in html.blocks("<div class='cookie-notice'>We</div><div class=content><p>Body</p></div><div role=navigation>x</div><p hidden>h</p>")] == ["Body"]
     assert html.blocks("<p>" * 5000 + "x" + "</div>" * 5000)[0].text == "x"
