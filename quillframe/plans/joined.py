@@ -13,7 +13,7 @@ from quillframe.sources.tables import table
 
 
 def _events_as_questions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Clicks are questions, purchases answers; place is the type's day, null now and then, stems are texts by value."""
+    """Views and clicks are questions, all else answers; places may be null, stems are texts by value."""
     rows = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value").select(
         F.col("event_id").alias("ordinal"),
         F.when(F.col("user_id") % 5 != 0, F.col("user_id") % 40).alias("section"),
@@ -21,14 +21,15 @@ def _events_as_questions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
         F.concat(F.lit("question about the value "), F.floor("value").cast("string")).alias("stem"),
         F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 25).alias("number"),
         F.concat(F.lit("answer "), F.col("event_id").cast("string")).alias("answer"),
+        F.col("event_type").isin("view", "click").alias("asks"),
     )
-    return rows.where("ordinal % 3 = 0").drop("answer"), rows.where("ordinal % 3 <> 0")
+    return rows.where("asks").drop("answer", "asks"), rows.where("NOT asks").drop("asks")
 
 
 _QA = (
     "WITH e AS (SELECT event_id AS ordinal, CASE WHEN user_id % 5 <> 0 THEN user_id % 40 END AS section, CASE WHEN user_id % 3 <> 0 THEN user_id % 7 END AS node, "
-    "'question about the value ' || floor(value)::BIGINT AS stem, CASE WHEN event_id % 4 <> 0 THEN event_id % 25 END AS number, 'answer ' || event_id AS answer FROM events), "
-    "q AS (SELECT * FROM e WHERE ordinal % 3 = 0), a AS (SELECT * FROM e WHERE ordinal % 3 <> 0), "
+    "'question about the value ' || floor(value)::BIGINT AS stem, CASE WHEN event_id % 4 <> 0 THEN event_id % 25 END AS number, 'answer ' || event_id AS answer, event_type IN ('view', 'click') AS asks FROM events), "
+    "q AS (SELECT * FROM e WHERE asks), a AS (SELECT * FROM e WHERE NOT asks), "
     "s AS (SELECT section, node, substr(stem, 1, 18) AS prefix, arg_max(answer, ordinal) AS stem_answer FROM a GROUP BY ALL), n AS (SELECT section, node, number, arg_max(answer, ordinal) AS number_answer FROM a WHERE number IS NOT NULL GROUP BY ALL) "
     "SELECT q.ordinal, coalesce(stem_answer, number_answer) AS answer, CASE WHEN stem_answer IS NOT NULL THEN 'stem' WHEN number_answer IS NOT NULL THEN 'number' END AS matched_by FROM q "
     "LEFT JOIN s ON q.section IS NOT DISTINCT FROM s.section AND q.node IS NOT DISTINCT FROM s.node AND substr(q.stem, 1, 18) = s.prefix "
@@ -66,12 +67,12 @@ def sub_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.sub_answers(rows.select("o_orderkey", text.alias("text"))).select("o_orderkey", "label", "body", "shared_body", "answer_shared")
 
 
-@query("WITH l AS (SELECT l_orderkey AS document, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN 'body/tbl[' || l_linenumber // 2 || ']/tr[1]/tc[' || l_partkey % 3 || ']/p[1]' ELSE 'body/p[' || l_linenumber || ']' END AS locator FROM lineitem), r AS (SELECT *, split_part(locator, '/tr[', 1) AS root FROM l), u AS (SELECT document, root, min(l_partkey) AS owner FROM r WHERE l_partkey % 2 = 0 GROUP BY ALL) SELECT r.document, r.locator, r.l_partkey, u.owner FROM r LEFT JOIN u USING (document, root)")
+@query("WITH l AS (SELECT l_orderkey AS document, l_linenumber, l_partkey, l_returnflag, CASE WHEN l_linenumber % 2 = 0 THEN 'body/tbl[' || l_linenumber // 2 || ']/tr[1]/tc[' || l_partkey % 3 || ']/p[1]' ELSE 'body/p[' || l_linenumber || ']' END AS locator FROM lineitem), r AS (SELECT *, split_part(locator, '/tr[', 1) AS root FROM l), u AS (SELECT document, root, min(l_partkey) AS owner FROM r WHERE l_returnflag = 'N' GROUP BY ALL) SELECT r.document, r.locator, r.l_partkey, u.owner FROM r LEFT JOIN u USING (document, root)")
 def owner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, part = F.col("l_linenumber"), F.col("l_partkey")
     cell = F.concat(F.lit("body/tbl["), F.floor(n / 2).cast("string"), F.lit("]/tr[1]/tc["), (part % 3).cast("string"), F.lit("]/p[1]"))
-    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select(F.col("l_orderkey").alias("document"), F.when(n % 2 == 0, cell).otherwise(F.concat(F.lit("body/p["), n.cast("string"), F.lit("]"))).alias("locator"), "l_partkey")
-    units = rows.where("l_partkey % 2 = 0").select("document", F.substring_index("locator", "/tr[", 1).alias("locator"), F.col("l_partkey").alias("unit"), F.col("l_partkey").alias("ordinal"))
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").select(F.col("l_orderkey").alias("document"), F.when(n % 2 == 0, cell).otherwise(F.concat(F.lit("body/p["), n.cast("string"), F.lit("]"))).alias("locator"), "l_partkey", "l_returnflag")
+    units = rows.where("l_returnflag = 'N'").select("document", F.substring_index("locator", "/tr[", 1).alias("locator"), F.col("l_partkey").alias("unit"), F.col("l_partkey").alias("ordinal"))
     return joins.owner_join(rows, units).select("document", "locator", "l_partkey", "owner")
 
 
@@ -102,29 +103,29 @@ def worst_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy(F.desc("uncovered"), "document", "ordinal").limit(5)
 
 
-@query("WITH f AS (SELECT c_custkey AS file, CASE WHEN c_custkey % 3 = 0 THEN c_custkey // 2 END AS holder FROM customer), u AS (SELECT DISTINCT o_custkey AS file FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 2 = 0) SELECT f.file, f.holder, CASE WHEN f.file IN (SELECT file FROM u) THEN NULL WHEN f.file % 7 = 0 THEN 'duplicate' END AS reason, CASE WHEN f.file IN (SELECT file FROM u) THEN 'consumed' WHEN f.holder IN (SELECT file FROM u) THEN 'containedIn' WHEN f.file % 7 = 0 THEN 'excluded' ELSE 'ORPHAN' END AS status FROM f")
+@query("WITH f AS (SELECT c_custkey AS file, c_acctbal, CASE WHEN c_custkey % 3 = 0 THEN c_custkey // 2 END AS holder FROM customer), u AS (SELECT DISTINCT o_custkey AS file FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000) SELECT f.file, f.holder, CASE WHEN f.file IN (SELECT file FROM u) THEN NULL WHEN c_acctbal < 0 THEN 'duplicate' END AS reason, CASE WHEN f.file IN (SELECT file FROM u) THEN 'consumed' WHEN f.holder IN (SELECT file FROM u) THEN 'containedIn' WHEN c_acctbal < 0 THEN 'excluded' ELSE 'ORPHAN' END AS status FROM f")
 def disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = table(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("file"), F.when(F.col("c_custkey") % 3 == 0, F.floor(F.col("c_custkey") / 2)).alias("holder"))
-    consumed = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus").where("o_orderstatus = 'F' AND o_custkey % 2 = 0").select(F.col("o_custkey").alias("file"))
-    excluded = files.where("file % 7 = 0").select("file", F.lit("duplicate").alias("reason"))
+    files = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").select("c_acctbal", F.col("c_custkey").alias("file"), F.when(F.col("c_custkey") % 3 == 0, F.floor(F.col("c_custkey") / 2)).alias("holder"))
+    consumed = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_totalprice").where("o_orderstatus = 'F' AND o_totalprice > 200000").select(F.col("o_custkey").alias("file"))
+    excluded = files.where("c_acctbal < 0").select("file", F.lit("duplicate").alias("reason"))
     out = joins.disposition(files, consumed, excluded)
     return out.select("file", "holder", F.when(F.col("status") != "consumed", F.col("reason")).alias("reason"), "status")
 
 
-@query("SELECT p_partkey AS path, CASE WHEN p_partkey % 10 = 0 THEN 'UPSTREAM_GONE' WHEN p_partkey % 4 <> 0 THEN 'in-sync' WHEN p_size > 25 THEN 'adjudicated' ELSE 'UPSTREAM_MOVED' END AS status FROM part")
+@query("SELECT p_partkey AS path, CASE WHEN p_size <= 5 THEN 'UPSTREAM_GONE' WHEN p_partkey % 4 <> 0 THEN 'in-sync' WHEN p_size > 25 THEN 'adjudicated' ELSE 'UPSTREAM_MOVED' END AS status FROM part")
 def adjudicated_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
     rows = parts.select(F.col("p_partkey").alias("path"), F.sha2("p_name", 256).alias("digest"))
     moved = F.when(F.col("p_partkey") % 4 == 0, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name"))
-    upstream = parts.where("p_partkey % 10 <> 0").select(F.col("p_partkey").alias("path"), F.sha2(moved, 256).alias("digest"))
+    upstream = parts.where("p_size > 5").select(F.col("p_partkey").alias("path"), F.sha2(moved, 256).alias("digest"))
     decisions = parts.where("p_size > 25").select(F.col("p_partkey").alias("path"), F.sha2(moved, 256).alias("digest"))
     return joins.adjudicated_drift(rows, upstream, decisions).select("path", "status")
 
 
 @query(
     "WITH b AS (SELECT item_id, text, row_number() OVER (ORDER BY item_id) AS n FROM benchmark), o AS (SELECT item_id, CASE item_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'x ' || text || ' y' WHEN 2 THEN substr(text, 1, 20) WHEN 3 THEN reverse(text) WHEN 4 THEN 'zzz' ELSE text END AS got FROM b), "
-    "r AS (SELECT b.item_id, regexp_replace(b.text, '[\\t\\n\\v\\f\\r ]+', '', 'g') AS w, regexp_replace(coalesce(o.got, ''), '[\\t\\n\\v\\f\\r ]+', '', 'g') AS g, o.got FROM b JOIN o USING (item_id)) "
-    "SELECT item_id, CASE WHEN w = '' THEN 'blank' WHEN w = g THEN 'ok' WHEN item_id % 12 = 0 THEN 'declared' WHEN got IS NULL THEN 'TEXT_MISSING' WHEN contains(g, w) THEN 'transcription' WHEN g <> '' AND contains(w, g) THEN 'TEXT_PARTIAL' "
+    "r AS (SELECT b.item_id, b.text, regexp_replace(b.text, '[\\t\\n\\v\\f\\r ]+', '', 'g') AS w, regexp_replace(coalesce(o.got, ''), '[\\t\\n\\v\\f\\r ]+', '', 'g') AS g, o.got FROM b JOIN o USING (item_id)) "
+    "SELECT item_id, CASE WHEN w = '' THEN 'blank' WHEN w = g THEN 'ok' WHEN text < 'F' THEN 'declared' WHEN got IS NULL THEN 'TEXT_MISSING' WHEN contains(g, w) THEN 'transcription' WHEN g <> '' AND contains(w, g) THEN 'TEXT_PARTIAL' "
     "WHEN len(list_filter(string_split(w, ''), lambda c: NOT contains(g, c))) = 0 THEN 'letters_only' ELSE 'TEXT_CHANGED' END AS status FROM r"
 )
 def reconcile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +134,7 @@ def reconcile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("item_id") % 6
     got = F.when(kind == 0, F.lit(None)).when(kind == 1, F.concat(F.lit("x "), "text", F.lit(" y"))).when(kind == 2, F.substring("text", 1, 20)).when(kind == 3, F.reverse("text")).when(kind == 4, "zzz").otherwise(F.col("text"))
     output = source.select("item_id", got.alias("text")).where("text IS NOT NULL")
-    return joins.reconcile_text(source, output, ["item_id"], source.where("item_id % 12 = 0")).select("item_id", "status")
+    return joins.reconcile_text(source, output, ["item_id"], source.where("text < 'F'")).select("item_id", "status")
 
 
 @query("SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -141,11 +142,11 @@ def layout_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.layout_missing(table(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "labels", "doc_id"), ["doc_id"])
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'absentInRepro' WHEN o_totalprice < 20000 THEN 'different' ELSE 'same' END AS status FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'absentInRepro' WHEN o_totalprice < 20000 THEN 'different' ELSE 'same' END AS status FROM orders")
 def artifact_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
     digest = F.sha2(F.concat(F.col("o_orderkey").cast("string"), "o_orderstatus"), 256)
-    again = orders.where("o_orderkey % 9 <> 0").select("o_orderkey", F.when(F.col("o_totalprice") < 20000, "other").otherwise(digest).alias("digest"))
+    again = orders.where("o_orderstatus <> 'P'").select("o_orderkey", F.when(F.col("o_totalprice") < 20000, "other").otherwise(digest).alias("digest"))
     return joins.artifact_reconcile(orders.select("o_orderkey", digest.alias("digest")), again, ["o_orderkey"]).select("o_orderkey", "status")
 
 

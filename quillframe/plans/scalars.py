@@ -226,10 +226,10 @@ def inherit_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.coalesce("size", F.lit(24)).alias("size"))
 
 
-@query("SELECT r_regionkey, coalesce(max(n_name) FILTER (WHERE n_nationkey % 2 = 1), r_name) AS value, CASE WHEN max(n_name) FILTER (WHERE n_nationkey % 2 = 1) IS NULL THEN 'default' ELSE 'deviation' END AS origin FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")
+@query("SELECT r_regionkey, coalesce(max(n_name) FILTER (WHERE n_name > 'NATION_2'), r_name) AS value, CASE WHEN max(n_name) FILTER (WHERE n_name > 'NATION_2') IS NULL THEN 'default' ELSE 'deviation' END AS origin FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")
 def schema_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults with deviations on top, and where each value comes from."""
-    deviations = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey", "n_name").where("n_nationkey % 2 = 1").groupBy("n_regionkey").agg(F.max("n_name").alias("own"))
+    deviations = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey", "n_name").where("n_name > 'NATION_2'").groupBy("n_regionkey").agg(F.max("n_name").alias("own"))
     regions = table(spark, sf_dir, "region", "r_regionkey", "r_name")
     rows = regions.join(deviations, regions["r_regionkey"] == deviations["n_regionkey"], "left")
     return rows.select("r_regionkey", F.coalesce("own", "r_name").alias("value"), F.when(F.col("own").isNull(), "default").otherwise("deviation").alias("origin"))

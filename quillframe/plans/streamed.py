@@ -43,14 +43,14 @@ def skipped_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.unbound(blocks(spark, sf_dir), mapping)
 
 
-@query("WITH d AS (SELECT o_orderkey AS item, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 3 THEN 'z' ELSE 'yes' END AS choice FROM orders) SELECT item, CASE WHEN item % 4 IN (1, 2) THEN 'decided' ELSE 'pending' END AS state, CASE WHEN item % 4 IN (1, 2) THEN 'yes' END AS choice FROM d")
+@query("SELECT o_orderkey AS item, CASE WHEN o_orderstatus = 'F' THEN 'decided' ELSE 'pending' END AS state, CASE WHEN o_orderstatus = 'F' THEN 'yes' END AS choice FROM orders")
 def decision_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as queue items: opened, then decided well, decided with no option, or not at all; opened again at the end."""
-    orders = table(spark, sf_dir, "orders", "o_orderkey").withColumnRenamed("o_orderkey", "item")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus").withColumnRenamed("o_orderkey", "item")
     options, none = F.array(F.lit("yes"), F.lit("no")), F.lit(None).cast("string")
     opened = lambda at: orders.select("item", F.lit(at).alias("at"), F.lit("open").alias("event"), none.alias("choice"), none.alias("reason"), options.alias("options"))
-    choice = F.when(F.col("item") % 4 == 3, "z").otherwise("yes")
-    decided = orders.where("item % 4 <> 0").select("item", F.lit(2).alias("at"), F.lit("decide").alias("event"), choice.alias("choice"), F.lit("seen").alias("reason"), F.lit(None).cast("array<string>").alias("options"))
+    choice = F.when(F.col("o_orderstatus") == "O", "z").otherwise("yes")
+    decided = orders.where("o_orderstatus <> 'P'").select("item", F.lit(2).alias("at"), F.lit("decide").alias("event"), choice.alias("choice"), F.lit("seen").alias("reason"), F.lit(None).cast("array<string>").alias("options"))
     return control.decisions(opened(1).unionByName(decided).unionByName(opened(3))).select("item", "state", "choice")
 
 

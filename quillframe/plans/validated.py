@@ -55,10 +55,10 @@ def figure_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.figure_widths(rows).select("code", "document", "locator")
 
 
-@query("WITH s AS (SELECT text, any_value(doc_id) AS wanted FROM documents WHERE length(text) >= 8 GROUP BY text HAVING count(*) = 1), o AS (SELECT text, any_value(doc_id // 2) AS got FROM documents WHERE length(text) >= 8 AND doc_id % 2 = 0 GROUP BY text HAVING count(*) = 1) SELECT 'NUMBER_DIFFERS' AS code, wanted || ' ' || got AS detail FROM s JOIN o USING (text) WHERE wanted <> got")
+@query("WITH s AS (SELECT text, any_value(doc_id) AS wanted FROM documents WHERE length(text) >= 8 GROUP BY text HAVING count(*) = 1), o AS (SELECT text, any_value(doc_id // 2) AS got FROM documents WHERE length(text) >= 8 AND lang <> 'en' GROUP BY text HAVING count(*) = 1) SELECT 'NUMBER_DIFFERS' AS code, wanted || ' ' || got AS detail FROM s JOIN o USING (text) WHERE wanted <> got")
 def numbering_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of texts that stand once on each side."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     source = docs.select("text", F.col("doc_id").alias("ordinal"))
-    output = docs.where("doc_id % 2 = 0").select("text", F.floor(F.col("doc_id") / 2).alias("ordinal"))
+    output = docs.where("lang <> 'en'").select("text", F.floor(F.col("doc_id") / 2).alias("ordinal"))
     return gates.numbering_rendered(source, output).select("code", "detail")
