@@ -61,6 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ from quillframe.llm import common
 CAPACITY = 4096
 CLOSING_ID = 1
 #: Distinct words that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 
 
 _TAIL = np.zeros(256, dtype=bool)
@@ -143,7 +143,7 @@ def _pieces(path: str, with_ids: bool) -> callable:
 
         encode, part = encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(CAPACITY + 1, dtype=np.int64)
-        for batch in common.slices(batches, "__text", 4 << 20):
+        for batch in common.slices(batches, "__text", 1 << 20):
             ids, bounds = encode(batch.column(batch.schema.get_field_index("__text")))
             rows, out = [], {"__piece": [], "__start": [], "__length": [], "__crc32": [], "__nth": [], "__ids": []}
             for row in range(batch.num_rows):
