@@ -99,18 +99,18 @@ class _Queries:
         large = float(np.abs(exact).max()) * self.size.max() * self.dim >= 2.0**53 if exact.size and self.size.size else False
         for q in range(len(self.ids)):
             upper = np.clip(near[q] + off[q], -(2.0**63), 2.0**63)  # as scores are
+            others = np.flatnonzero(ids != self.ids[q])  # the query's own rows, however many, bound nothing
             certain = -np.inf
-            if len(upper) > self.k:  # one of them may be the query's own
-                certain = np.clip(np.partition(near[q], len(upper) - self.k - 1)[len(upper) - self.k - 1] - off[q], -(2.0**63), 2.0**63)
+            if len(others) >= self.k:
+                certain = np.clip(np.partition(near[q][others], len(others) - self.k)[len(others) - self.k] - off[q], -(2.0**63), 2.0**63)
             if len(self.best[q]) == self.k:
                 certain = max(certain, -self.best[q][-1][0])
-            left = np.flatnonzero(upper >= certain)
+            left = others[upper[others] >= certain]
             left = left[np.argsort(-upper[left])]
             for at in range(0, len(left), 64):
                 some = left[at : at + 64]
                 if len(self.best[q]) == self.k and upper[some[0]] < -self.best[q][-1][0]:
                     break
-                some = some[ids[some] != self.ids[q]]
                 if large:
                     mine = [int(x) for x in self.v[q]]
                     scores = [max(-(2**63), min(2**63 - 1, sum(a * int(b) for a, b in zip(mine, exact[i])))) for i in some]

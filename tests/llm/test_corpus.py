@@ -208,6 +208,19 @@ def test_top_k(spark):
     assert vectors.top_k(frame.limit(0), frame, 5).count() == 0
 
 
+def test_top_k_with_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, rng.normal(size=8).astype("float32").tolist()) for k in range(200)]
+    rows += [r for r in rows if r[0] % 10 == 0 for _ in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = defaultdict(list)
+    for r in vectors.top_k(frame.where("vec_id % 10 = 0"), frame, 5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((-r["score"], r["vec_id"]))
+    whole = [(k, np.floor(256 * np.array(v, dtype="float32").astype(float)).astype(int)) for k, v in rows]
+    for q, v in whole[:200:10]:
+        assert got[q] == sorted((-int(v @ w), k) for k, w in whole if k != q)[:5], q
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body class="has-sidebar"><header>Site</header><nav><ul><li><a href="/a">Home</a></li></ul></nav>
 <article><header><h1>Title &amp; more</h1></header><p>First&nbsp;para <b>bold</b>text<br>next.<p>Second</p><div class="advert">Buy</div><aside>Side</aside><form><input>Send</form>
 <section id="comments"><article><p>A reader</p></article></section><table><tr><td>1<td>2</table><p>1 < 2 &lt; 3 &am</p></article><footer>&copy; x</footer></body></html>"""
