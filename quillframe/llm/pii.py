@@ -7,7 +7,8 @@ code point that no pattern matches). Patterns are possessive and start only wher
 impossible, which gives the leftmost non-overlapping matches in time linear in the text.
 
 Kinds, in order: email, ip, card, phone are confirmed by their digits alone and always stay; iban needs
-the mod-97 checksum; ssn needs context words to reach ``LEAST_SCORE``.
+the mod-97 checksum; ssn needs context words to reach ``LEAST_SCORE``. The context of a span is the CONTEXT
+code points before it and after it, whatever other matches they hold.
 
 Defined results: a null or empty text has no spans (``base_sha256`` is that of the empty string). Rows
 are judged one by one, so repeated rows get equal results. Columns of the input other than ``text`` are
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 FENCE, STAND_IN = "\u0001", "�"
 CONTEXT = 40
+_REACH = CONTEXT + 1  # so many pieces hold CONTEXT code points at least: every second one is a match, of two or more
 LEAST_SCORE = 0.5
 _STEP = 512
 
@@ -108,11 +110,14 @@ def _fenced(text: Column, kind: str) -> Column:
     return F.split(F.regexp_replace(F.translate(text, FENCE, STAND_IN), PATTERNS[kind], f"{FENCE}$0{FENCE}"), FENCE)
 
 
-def _found(pieces: Column, starts: Column, kind: str) -> Column:
-    """The confirmed spans of one kind, from its pieces and where each begins."""
+def _found(pieces: Column, starts: Column, heads: Column, tails: Column, kind: str) -> Column:
+    """The confirmed spans of one kind, from its pieces, where each begins, and the first and last code points of each."""
 
     def span(i: Column) -> Column:
-        near = F.lower(F.concat_ws(" ", F.right(F.get(pieces, i - 1), F.lit(CONTEXT)), F.left(F.get(pieces, i + 1), F.lit(CONTEXT))))
+        least = F.greatest(i - _REACH, F.lit(0))
+        before = F.right(F.array_join(F.slice(tails, least + 1, i - least), ""), F.lit(CONTEXT))
+        after = F.left(F.array_join(F.slice(heads, i + 2, F.lit(_REACH)), ""), F.lit(CONTEXT))
+        near = F.lower(F.concat_ws(" ", before, after))
         start = F.get(starts, i)
         return F.struct(
             start.alias("start"),
@@ -134,13 +139,14 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> Data
 
     A span has start and end (code points, end exclusive), kind, kind_no and score.
     """
-    pieces, starts = ({k: f"__{into}_{k}_{what}" for k in KINDS} for what in ("pieces", "starts"))
+    pieces, starts, heads, tails = ({k: f"__{into}_{k}_{what}" for k in KINDS} for what in ("pieces", "starts", "heads", "tails"))
     source = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     staged = docs.select("*", *(_fenced(source, k).alias(pieces[k]) for k in KINDS))
     # A column of its own: inside the lambdas below, an expression would be computed anew for every span.
-    staged = staged.select("*", *(F.when(F.size(pieces[k]) > 1, _starts(F.transform(pieces[k], F.length))).alias(starts[k]) for k in KINDS))
-    found = F.concat(*(_found(F.col(f"`{pieces[k]}`"), F.col(f"`{starts[k]}`"), k) for k in KINDS))
-    return staged.withColumn(into, F.sort_array(found)).drop(*pieces.values(), *starts.values())
+    each = {k: {starts[k]: _starts(F.transform(pieces[k], F.length)), heads[k]: F.transform(pieces[k], lambda p: F.left(p, F.lit(CONTEXT))), tails[k]: F.transform(pieces[k], lambda p: F.right(p, F.lit(CONTEXT)))} for k in KINDS}
+    staged = staged.select("*", *(F.when(F.size(pieces[k]) > 1, c).alias(name) for k in KINDS for name, c in each[k].items()))
+    found = F.concat(*(_found(*(F.col(f"`{x[k]}`") for x in (pieces, starts, heads, tails)), k) for k in KINDS))
+    return staged.withColumn(into, F.sort_array(found)).drop(*(c for x in (pieces, starts, heads, tails) for c in x.values()))
 
 
 def joined(spans: Column) -> Column:

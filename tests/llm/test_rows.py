@@ -91,6 +91,14 @@ def test_pii_checksums_and_context(spark):
     assert found == [[("iban", 0.9)], [], [("ssn", 0.6)], [], [("ip", 0.9)], [("ip", 0.3)]]
 
 
+def test_pii_context_reaches_over_other_matches(spark):
+    texts = ["SSN: 123-45-6789, 219-09-9999", "123-45-6789 219-09-9999 are SSN", "SSN: 123-45-6789" + " " * 30 + "219-09-9999", "host " + "1.1.1.1 " * 6]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: [(s["start"], s["score"]) for s in r["spans"]] for r in pii.with_spans(rows).collect()}
+    assert found == {0: [(5, 0.6), (18, 0.6)], 1: [(0, 0.6), (12, 0.6)], 2: [(5, 0.6)], 3: [(5 + 8 * k, 0.9 if k < 5 else 0.6) for k in range(6)]}
+    assert pii.masked_out(helpers.docs(spark, texts[0])).first()["text"] == "SSN: [SSN], [SSN]"
+
+
 def test_pii_stage(spark):
     rows = helpers.clashing(helpers.awkward(spark).union(helpers.docs(spark, "mail me@x.org or 4111111111111111 now", "é +1 (743) 555-3824", first=50)), "spans", "score")
     out = {(r["doc_id"], r["text"]): r for r in pii.masked_out(rows).collect()}
