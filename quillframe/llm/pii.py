@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 FENCE, STAND_IN = "\u0001", "�"
 CONTEXT = 40
 _REACH = CONTEXT + 1  # so many pieces hold CONTEXT code points at least: every second one is a match, of two or more
+_HEAD = 2 * CONTEXT  # what follows the first four code points of an IBAN: 39 at most, and its context; its matches have four
 LEAST_SCORE = 0.5
 _STEP = 512
 
@@ -35,9 +36,10 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]{4}){2})",  # its first four; IBAN finds the rest
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
+IBAN = r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 #: Score of a confirmed span, and what context words (lower case, anywhere in the context) add or take.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
 RAISES = {
@@ -91,13 +93,21 @@ def _confirmed(kind: str, x: Column) -> Column:
         return n.between(14, 19) & _luhn(x)
     if kind == "phone":
         return n.between(10, 15)
-    if kind == "iban":
-        return F.length(F.regexp_replace(x, " ", "")).between(15, 34) & _mod_97(x)
     if kind == "ssn":
         return ~x.rlike("^(000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
+def _iban(x: Column) -> Column:
+    """The longest text that ``x`` begins with, up to its end or a space, that is an IBAN; else null.
+
+    Upper-case words after an IBAN look like groups of it, so each end is tried. The longest leaves no part of one.
+    """
+    words = F.split(F.regexp_extract(x, IBAN, 0), " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    return F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.filter(ends, lambda e: F.length(F.regexp_replace(e, " ", "")).between(15, 34) & _mod_97(e))), -1)
+
+
 def _score(kind: str, context: Column) -> Column:
     score = F.lit(SCORES[kind]) + F.when(context.rlike(RAISES[kind]), RAISE).otherwise(0.0)
     if kind in LOWERS:
@@ -113,27 +123,39 @@ def _fenced(text: Column, kind: str) -> Column:
 def _found(pieces: Column, starts: Column, heads: Column, tails: Column, kind: str) -> Column:
     """The confirmed spans of one kind, from its pieces, where each begins, and the first and last code points of each."""
 
-    def span(i: Column) -> Column:
+    def following(i: Column) -> Column:
+        return F.array_join(F.slice(heads, i + 2, F.lit(_REACH)), "")
+
+    def span(i: Column, text: Column, after: Column) -> Column:
         least = F.greatest(i - _REACH, F.lit(0))
         before = F.right(F.array_join(F.slice(tails, least + 1, i - least), ""), F.lit(CONTEXT))
-        after = F.left(F.array_join(F.slice(heads, i + 2, F.lit(_REACH)), ""), F.lit(CONTEXT))
-        near = F.lower(F.concat_ws(" ", before, after))
+        near = F.lower(F.concat_ws(" ", before, F.left(after, F.lit(CONTEXT))))
         start = F.get(starts, i)
         return F.struct(
             start.alias("start"),
             F.lit(KINDS.index(kind)).alias("kind_no"),
-            (start + F.length(F.get(pieces, i))).alias("end"),
+            (start + F.length(text)).alias("end"),
             F.lit(kind).alias("kind"),
             _score(kind, near).alias("score"),
         )
 
-    odd = F.filter(F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)), lambda i: _confirmed(kind, F.get(pieces, i)))
-    spans = F.transform(odd, span)
+    odd = F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
+    if kind == "iban":
+        tried = F.transform(odd, lambda i: F.struct(i.alias("i"), _iban(F.concat(F.get(pieces, i), following(i))).alias("text")))
+        right = F.filter(tried, lambda t: t["text"].isNotNull())
+        spans = F.transform(right, lambda t: span(t["i"], t["text"], F.substring(following(t["i"]), F.length(t["text"]) - 3, F.lit(CONTEXT))))
+    else:
+        spans = F.transform(F.filter(odd, lambda i: _confirmed(kind, F.get(pieces, i))), lambda i: span(i, F.get(pieces, i), following(i)))
     if kind not in BASE_KINDS:
         spans = F.filter(spans, lambda s: s["score"] >= LEAST_SCORE)
     return F.when(F.size(pieces) > 1, spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
+def _apart(spans: Column) -> Column:
+    """Spans of one kind in order, without those that begin inside the one before."""
+    return F.filter(spans, lambda s, k: F.coalesce(s["start"] >= F.get(spans, k - 1)["end"], F.lit(True)))
+
+
 def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """``docs`` with all spans of ``text`` in the array ``into``, by start, then kind as listed.
 
@@ -143,10 +165,12 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> Data
     source = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     staged = docs.select("*", *(_fenced(source, k).alias(pieces[k]) for k in KINDS))
     # A column of its own: inside the lambdas below, an expression would be computed anew for every span.
-    each = {k: {starts[k]: _starts(F.transform(pieces[k], F.length)), heads[k]: F.transform(pieces[k], lambda p: F.left(p, F.lit(CONTEXT))), tails[k]: F.transform(pieces[k], lambda p: F.right(p, F.lit(CONTEXT)))} for k in KINDS}
+    each = {k: {starts[k]: _starts(F.transform(pieces[k], F.length)), heads[k]: F.transform(pieces[k], lambda p: F.left(p, F.lit(_HEAD))), tails[k]: F.transform(pieces[k], lambda p: F.right(p, F.lit(CONTEXT)))} for k in KINDS}
     staged = staged.select("*", *(F.when(F.size(pieces[k]) > 1, c).alias(name) for k in KINDS for name, c in each[k].items()))
-    found = F.concat(*(_found(*(F.col(f"`{x[k]}`") for x in (pieces, starts, heads, tails)), k) for k in KINDS))
-    return staged.withColumn(into, F.sort_array(found)).drop(*(c for x in (pieces, starts, heads, tails) for c in x.values()))
+    spans = {k: f"__{into}_{k}_spans" for k in KINDS}
+    staged = staged.select("*", *(_found(*(F.col(f"`{x[k]}`") for x in (pieces, starts, heads, tails)), k).alias(spans[k]) for k in KINDS))
+    found = F.concat(*(_apart(F.col(f"`{spans[k]}`")) if k == "iban" else F.col(f"`{spans[k]}`") for k in KINDS))
+    return staged.withColumn(into, F.sort_array(found)).drop(*(c for x in (pieces, starts, heads, tails, spans) for c in x.values()))
 
 
 def joined(spans: Column) -> Column:

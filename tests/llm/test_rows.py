@@ -99,6 +99,15 @@ def test_pii_context_reaches_over_other_matches(spark):
     assert pii.masked_out(helpers.docs(spark, texts[0])).first()["text"] == "SSN: [SSN], [SSN]"
 
 
+def test_pii_ibans_before_upper_case_words(spark):
+    be, at, es, gb = "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"IBAN {be} BIC KREDBEBB", f"{at} BIC X", f"{es} BIC", f"{gb} SWIFT ABNA", f"{be} {at} {es}", f"{be[:-1]}5 BIC", f"{es}BIC", f"é {at}. {es},"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"] for r in pii.with_spans(rows).collect()}
+    assert found == {0: [be], 1: [at], 2: [es], 3: [gb], 4: [be, at, es], 5: [], 6: [], 7: [at, es]}
+    assert pii.masked_out(helpers.docs(spark, texts[0])).first()["text"] == "IBAN [IBAN] BIC KREDBEBB"
+
+
 def test_pii_stage(spark):
     rows = helpers.clashing(helpers.awkward(spark).union(helpers.docs(spark, "mail me@x.org or 4111111111111111 now", "é +1 (743) 555-3824", first=50)), "spans", "score")
     out = {(r["doc_id"], r["text"]): r for r in pii.masked_out(rows).collect()}
