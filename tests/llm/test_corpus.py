@@ -252,6 +252,18 @@ def test_host_repetition(spark):
     assert html.main_text(frame.limit(0), "page_id").count() == 0
 
 
+def test_short_and_unspaced_blocks_repeat():
+    story = lambda k: "".join(chr(0x4E00 + (k * 7919 + i * i * 31 + i * 17) % 5000) for i in range(60))
+    notice = "版权所有未经许可不得转载本站内容"
+    body = lambda k: [f"Unique{k} opening", "Powered by WordPress", f"Other{k} words", "版权所有", story(k), notice + f"第{k}页", f"Last{k}", "Share"]
+    pages = [[html.Block(t, 0, 0) for t in body(k)] for k in range(50)]
+    got = html.unique_text(pages)
+    assert got == ["\n".join((f"Unique{k} opening", f"Other{k} words", story(k), f"Last{k}")) for k in range(50)]
+    assert html.unique_text(pages[:1]) == ["\n".join(body(0))] and html.unique_text(pages[:1] * 3) == ["\n".join(body(0))] * 3
+    article = [[html.Block(b.text, 2, 0) for b in p] for p in pages[:11]]
+    assert html.unique_text(article) == ["\n".join(body(k)) for k in range(11)]
+
+
 def test_repeated_runs_against_brute_force():
     rng = np.random.default_rng(3)
     streams = [rng.integers(0, 3, int(rng.integers(1, 60))) for _ in range(6)]
