@@ -19,14 +19,11 @@ def carve_report(blocks: DataFrame) -> DataFrame:
 
 def census(blocks: DataFrame, scope: Column, style: str, samples: int = 4) -> DataFrame:
     """By role: hits, hits in scope, the most frequent style (least on ties), first samples, promotable from two hits."""
-    ranked = blocks.withColumn("nth", F.row_number().over(Window.partitionBy("role").orderBy("document", "ordinal")))
-    counts = blocks.groupBy("role", style).agg(F.count("*").alias("n")).groupBy("role").agg(F.max_by(style, F.struct("n", F.lit(0) - F.col(style))).alias("dominant"))
-    rows = ranked.groupBy("role").agg(
-        F.count("*").alias("hits"),
-        F.sum(scope.cast("long")).alias("in_scope"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("nth") <= samples, F.struct("nth", "locator")))), lambda s: s["locator"]), ";").alias("samples"),
-    )
-    return rows.join(counts, "role").withColumn("promotable", F.col("hits") >= 2)
+    by_style = blocks.groupBy("role", style).agg(F.count("*").alias("n"), F.sum(scope.cast("long")).alias("s"))
+    counts = by_style.groupBy("role").agg(F.sum("n").alias("hits"), F.sum("s").alias("in_scope"), F.max_by(style, F.struct("n", F.lit(0) - F.col(style))).alias("dominant"))
+    first = first_rows(blocks, samples, "role", order=["document", "ordinal"])
+    shown = first.groupBy("role").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "locator"))), lambda s: s["locator"]), ";").alias("samples"))
+    return counts.join(shown, "role").withColumn("promotable", F.col("hits") >= 2)
 
 
 def fingerprint(blocks: DataFrame, matched: Column, least: float = 0.8) -> DataFrame:
@@ -112,5 +109,18 @@ def top_rows(rows: DataFrame, k: int, *order: Column) -> DataFrame:
     return rows.orderBy(*order).limit(k)
 
 
-def samples(rows: DataFrame, k: int, *keys: str, order: list) -> DataFrame:
+def first_rows(rows: DataFrame, k: int, *keys: str, order: list) -> DataFrame:
+    """The first ``k`` rows of each key, with nth. The limit on the rank lets every partition drop all but its own first ones before the exchange."""
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("nth") <= k)
+
+
+def origin_limit(rows: DataFrame, origin: str, *keys: str) -> DataFrame:
+    """The most occurrences of ``keys`` in any one origin: the number that a batch may claim."""
+    return rows.groupBy(origin, *keys).agg(F.count("*").alias("n")).groupBy(*keys).agg(F.max("n").alias("limit"), F.count("*").alias("n_origins"))
+
+
+def plain_mode(rows: DataFrame, *keys: str, value: str, place: str) -> DataFrame:
+    """The most frequent value, each row counted once; on ties the one seen first. Null values do not count."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    best = F.min(F.struct((-F.col("n")).alias("k"), "first", F.col(value).alias("v"))).alias("b")
+    return counted.groupBy(*keys).agg(best).select(*keys, F.col("b.v").alias(value), (-F.col("b.k")).alias("n"))

@@ -8,26 +8,55 @@ from pyspark.sql import functions as F
 from quillframe.functions.udfs import regex_spans
 
 
+SPAN = ("block", "char_start", "char_end", "unit", "role")
+
+
+def event(start: Column, end: Column, unit: Column, role: Column) -> Column:
+    """A span as an element of a stream."""
+    return F.struct(start.cast("long").alias("char_start"), end.cast("long").alias("char_end"), unit.cast("string").alias("unit"), role.cast("string").alias("role"))
+
+
+def block_end(n_chars: Column) -> Column:
+    """Where a block ends: an element without unit and role."""
+    nothing = F.lit(None)
+    return event(n_chars, n_chars, nothing, nothing)
+
+
+def stream(spans: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Spans and block ends (role null) of two tables as one; sources that make both in one pass build it themselves."""
+    ends = blocks.select("block", F.inline(F.array(block_end(F.col("n_chars")))))
+    return spans.select(*SPAN).unionByName(ends)
+
+
 def _by_start():
     return Window.partitionBy("block").orderBy("char_start", "char_end")
 
 
-def gaps(spans: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Character ranges of each block that no span covers; a block without spans is one gap."""
-    reached = F.coalesce(F.max("char_end").over(_by_start().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inner = spans.withColumn("gap_start", reached).where("char_start > gap_start").select("block", "gap_start", F.col("char_start").alias("gap_end"))
-    ends = spans.groupBy("block").agg(F.max("char_end").alias("gap_start"))
-    tail = blocks.join(ends, "block", "left").select("block", F.coalesce("gap_start", F.lit(0)).alias("gap_start"), F.col("n_chars").alias("gap_end")).where("gap_end > gap_start")
-    return inner.unionByName(tail)
+def filled_stream(rows: DataFrame) -> DataFrame:
+    """The spans and a residual span for each gap, of the block's first unit or, without one, of a unit of its own.
+
+    One exchange by block: what was reached so far, the block's end last, gives every gap.
+    """
+    at_end = F.col("role").isNull()
+    order = Window.partitionBy("block").orderBy(at_end, "char_start", "char_end").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.min(F.when(~at_end, F.struct("char_start", "unit"))).over(Window.partitionBy("block"))
+    placed = rows.select(*SPAN, F.coalesce(F.max("char_end").over(order), F.lit(0)).cast("long").alias("reached"), first["unit"].alias("owner"))
+    unit = F.coalesce("owner", F.concat(F.col("block").cast("string"), F.lit("#residual")))
+    gap = F.when(F.col("char_start") > F.col("reached"), event(F.col("reached"), F.col("char_start"), unit, F.lit("residual")))
+    own = F.when(~at_end, event(*(F.col(c) for c in SPAN[1:])))
+    return placed.select("block", F.inline(F.array_compact(F.array(gap, own))))
 
 
 def filled(spans: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The spans and a residual span for each gap, of the block's first unit or, without one, of a unit of its own."""
-    owner = spans.groupBy("block").agg(F.min_by("unit", F.struct("char_start", "unit")).alias("unit"))
-    rest = gaps(spans, blocks).join(owner, "block", "left")
-    unit = F.coalesce("unit", F.concat(F.col("block").cast("string"), F.lit("#residual")))
-    residual = rest.select("block", F.col("gap_start").alias("char_start"), F.col("gap_end").alias("char_end"), unit.alias("unit"), F.lit("residual").alias("role"))
-    return spans.select("block", "char_start", "char_end", "unit", "role").unionByName(residual)
+    """:func:`filled_stream` of spans and the blocks (block, n_chars) they lie in."""
+    return filled_stream(stream(spans, blocks))
+
+
+def attributed_stream(rows: DataFrame, *keys: str) -> DataFrame:
+    """attributed, total and their ratio by ``keys``, columns that spans and block ends both have."""
+    at_end = F.col("role").isNull()
+    sums = rows.groupBy(*keys).agg(F.sum(F.when(at_end, F.lit(0)).otherwise(F.col("char_end") - F.col("char_start"))).cast("long").alias("attributed"), F.sum(F.when(at_end, F.col("char_end")).otherwise(0)).cast("long").alias("total"))
+    return sums.withColumn("ratio", F.when(F.col("total") > 0, F.round(F.col("attributed") / F.col("total"), 6)))
 
 
 def overlaps(spans: DataFrame) -> DataFrame:

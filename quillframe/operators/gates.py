@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillframe.functions import text as T
+from quillframe.functions.dialect import SPACES
 from quillframe.operators import attribution, joins
 
 FINDING = ["gate", "code", "severity", "document", "locator", "detail"]
@@ -115,20 +116,34 @@ def schema_constraints(tables: dict[str, DataFrame]) -> DataFrame:
     return union(*found)
 
 
-def persisted(spans: DataFrame, blocks: DataFrame, runs: DataFrame) -> DataFrame:
-    """All characters attributed, none twice, no block without spans, no ratio below the run before."""
-    gate = "persisted"
-    total = attribution.attribution(spans, blocks.withColumn("document", F.lit("all")), "document")
-    orphan = blocks.where("n_chars > 0").join(spans.select("block").distinct(), "block", "left_anti")
+def persisted_stream(rows: DataFrame, runs: DataFrame, fill: bool = True) -> DataFrame:
+    """No block with visible text that no span claims; then, with gaps filled, all characters attributed and none twice; no ratio below the run before.
+
+    rows: an attribution stream with ``visible``. Orphans are looked for before filling, which would hide them.
+    ``fill``: whether gaps get residual spans, as they do where tables are written.
+    """
+    gate, at_end = "persisted", F.col("role").isNull()
+    claimed = rows.groupBy("block").agg(F.count_if(~at_end).alias("n_spans"), F.max(F.when(at_end, F.col("visible"))).alias("visible"))
+    orphan = claimed.where("n_spans = 0 AND visible")
+    ends = rows.where(at_end).select(*attribution.SPAN)
+    spans = attribution.filled_stream(rows) if fill else rows.where(~at_end).select(*attribution.SPAN)
+    total = attribution.attributed_stream(spans.unionByName(ends))
+    code = F.when(F.col("attributed") > F.col("total"), "ATTRIBUTED_OVER_TOTAL").when(F.col("attributed") < F.col("total"), "TEXT_UNATTRIBUTED")
     fallen = attribution.ratchet(runs, "source_id", "schema_hash", order="started_at", value="ratio").where("fell")
     return union(
-        findings(total.where("attributed > total"), gate, "ATTRIBUTED_OVER_TOTAL", detail=F.col("ratio")),
-        findings(total.where("attributed < total"), gate, "TEXT_UNATTRIBUTED", detail=F.col("ratio")),
+        findings(total.withColumn("code", code).where("code IS NOT NULL"), gate, F.col("code"), document=None, detail=F.col("ratio")),
         findings(orphan, gate, "ORPHAN_BLOCK", document=None, locator="block"),
         findings(fallen, gate, "RATIO_FELL", document="source_id", detail=F.col("ratio")),
     )
 
 
+def persisted(spans: DataFrame, blocks: DataFrame, runs: DataFrame, fill: bool = False) -> DataFrame:
+    """:func:`persisted_stream` of spans and blocks (block, n_chars, and raw_text or nothing: then any length counts as visible)."""
+    visible = F.col("raw_text").rlike(f"[^{SPACES}]") if "raw_text" in blocks.columns else F.col("n_chars") > 0
+    rows = attribution.stream(spans, blocks).join(blocks.select("block", visible.alias("visible")), "block", "left")
+    return persisted_stream(rows, runs, fill)
+
+
 def reconstructible(blocks: DataFrame, units: DataFrame, layout: DataFrame, weak: bool = False) -> DataFrame:
     """Whether text and layout can be put together again from what was kept: all or nothing.
 

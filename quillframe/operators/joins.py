@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType
 
 STEM_PREFIX = 18
 
@@ -54,29 +54,41 @@ def orphans(blocks: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
     return blocks.join(spans, keys, "left_anti")
 
 
-def unclaimed(blocks: DataFrame, claimed: DataFrame, keys: list[str], headings: DataFrame, per: str) -> DataFrame:
-    """Blocks that nobody claims: a heading if one of its document's heading texts is inside it, else prose."""
-    known = headings.groupBy(per).agg(F.collect_set("heading").alias("headings"))
-    rows = blocks.join(claimed, keys, "left_anti").groupBy(per).agg(F.collect_list(F.struct(*(k for k in keys if k != per), "raw_text")).alias("rows"))
-    hit = contains_any(F.transform("rows", lambda r: r["raw_text"]), F.col("headings"))
-    out = rows.join(known, per, "left").withColumn("r", F.explode(F.arrays_zip("rows", hit.alias("hit"))))
-    return out.select(per, "r.rows.*", F.when(F.col("r.hit"), "heading").otherwise("prose").alias("unit_kind"))
+def unclaimed(blocks: DataFrame, is_claimed: Column, heading: Column, per: str = "document", order: str = "ordinal", text: str = "raw_text") -> DataFrame:
+    """Blocks that nobody claims: a heading if one of its document's heading texts (``heading``, null for none) is inside it, else prose.
 
-
-@F.pandas_udf(ArrayType(BooleanType()))
-def contains_any(texts: pd.Series, wanted: pd.Series) -> pd.Series:
-    """For each text of a list, whether it holds one of the wanted ones; one automaton per list keeps it linear."""
-
-    def one(some: list, words: list | None) -> list[bool]:
-        if words is None or not len(words):
-            return [False] * len(some)
-        automaton = ahocorasick.Automaton()
-        for x in words:
-            automaton.add_word(x, 1)
-        automaton.make_automaton()
-        return [next(automaton.iter(t), None) is not None for t in some]
-
-    return pd.Series([one(t, w) for t, w in zip(texts, wanted)])
+    Both sides are the same table, so it is read once: each document's headings come first, then its
+    unclaimed blocks. A task holds the headings of one document, as an automaton, and streams the blocks.
+    """
+    sides = F.array_compact(F.array(F.when(heading != "", F.struct(F.lit(0).alias("side"), heading.alias("words"))), F.when(~is_claimed, F.struct(F.lit(1).alias("side"), F.col(text).alias("words")))))
+    rows = blocks.select(per, order, F.inline(sides))
+    dealt = rows.repartition(per).sortWithinPartitions(per, "side", order)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return dealt.mapInArrow(_headed, f"`{per}` {kinds[per]}, `{order}` {kinds[order]}, unit_kind string")
+
+
+def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks behind the headings of their document, which the side column sorts before them."""
+    unset = object()
+    key, automaton = unset, None
+    for batch in batches:
+        keys, sides, words = (batch.column(i).to_pylist() for i in (0, 2, 3))
+        kept, kinds = [], []
+        for i, (now, side, text) in enumerate(zip(keys, sides, words)):
+            if key is unset or now != key:
+                key, automaton, made = now, None, False
+            if side == 0:
+                automaton = automaton or ahocorasick.Automaton()
+                automaton.add_word(text, 1)
+                continue
+            if automaton is not None and not made:
+                automaton.make_automaton()
+                made = True
+            hit = automaton is not None and next(automaton.iter(text or ""), None) is not None
+            kept.append(i)
+            kinds.append("heading" if hit else "prose")
+        rows = batch.take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(kinds, pa.string())], names=[*batch.schema.names[:2], "unit_kind"])
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:

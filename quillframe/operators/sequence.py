@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillframe.sources.shared import checkpointed
+
 
 def over(*keys: str, order: str = "ordinal"):
     return Window.partitionBy(*keys).orderBy(order)
@@ -90,6 +94,42 @@ def heading_boundaries(blocks: DataFrame, is_heading: Column, key: Column) -> Da
     return kept.withColumn("last_key", F.lag("key").over(over("document"))).where("last_key IS NULL OR last_key <> key").drop("last_key", "next_key")
 
 
+def places(rows: DataFrame, keys: list[str], buckets: list[Column], order: list[Column | str], name: str = "place") -> DataFrame:
+    """The rank of each row in its key, however few keys there are.
+
+    ``buckets``: coarse values that never go against ``order``. Only rows of one bucket are ranked among
+    themselves; the numbers of rows in the buckets before are added.
+    """
+    coarse = [f"__b{k}" for k in range(len(buckets))]
+    rows = rows.withColumns(dict(zip(coarse, buckets)))
+    sizes = rows.groupBy(*keys, *coarse).agg(F.count("*").alias("__n"))
+    ahead = F.sum("__n").over(Window.partitionBy(*keys).orderBy(*coarse)) - F.col("__n")
+    sizes = sizes.select(*(F.col(c).alias(f"__k{k}") for k, c in enumerate([*keys, *coarse])), ahead.alias("__ahead"))
+    own = rows.withColumn("__own", F.row_number().over(Window.partitionBy(*keys, *coarse).orderBy(*order)))
+    same = [own[c].eqNullSafe(sizes[f"__k{k}"]) for k, c in enumerate([*keys, *coarse])]
+    joined = own.join(sizes, reduce(lambda a, b: a & b, same))
+    return joined.withColumn(name, (F.col("__ahead") + F.col("__own")).cast("long")).drop(*coarse, "__own", "__ahead", *(f"__k{k}" for k in range(len(same))))
+
+
+def inherited(rows: DataFrame, default: Column) -> DataFrame:
+    """id and value: each row's own value, else that of the nearest ancestor (based_on) that has one, else the default.
+
+    Pointers double: a row without a value takes over its parent's value and its parent's parent, so that the
+    number of rounds is the logarithm of the longest chain. What still points on after as many rounds as any
+    chain of these rows needs goes in a circle and gets the default.
+    """
+    now = checkpointed(rows.select("id", "based_on", "value"))
+    rounds = max(1, now.count()).bit_length() + 1
+    for _ in range(rounds):
+        open_ = F.col("value").isNull() & F.col("based_on").isNotNull()
+        if now.where(open_).isEmpty():
+            break
+        parent = now.select(F.col("id").alias("__id"), F.col("based_on").alias("__next"), F.col("value").alias("__theirs"))
+        joined = now.join(parent, open_ & (F.col("based_on") == F.col("__id")), "left")
+        now = checkpointed(joined.select("id", F.when(open_, F.col("__next")).otherwise(F.col("based_on")).alias("based_on"), F.coalesce("value", "__theirs").alias("value")))
+    return now.select("id", F.coalesce("value", default).alias("value"))
+
+
 def boundary_spans(boundaries: DataFrame, ends: DataFrame) -> DataFrame:
     """start and end (exclusive) of each boundary's part: up to the next boundary of any class, or the document's end."""
     return boundaries.withColumn("end", F.lead("ordinal").over(over("document"))).join(ends, "document").select("document", "class", "key", F.col("ordinal").alias("start"), F.coalesce("end", "stop").alias("end"))

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillframe.functions import text as T
-from quillframe.operators import attribution, sequence
-from quillframe.plans.corpus import blocks, turns, with_blocks, with_turns
+from quillframe.functions.dialect import SPACES
+from quillframe.operators import attribution
+from quillframe.plans.corpus import bare_lines, blocks, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
 from quillframe.sources.tables import table
 
-# Spans on lines: words of a line's first hundred characters that begin with a capital; the block is document and line.
+# Spans on lines: characters 5 to 25 and 40 to 90, as far as the line goes; the block is document and line.
 _SPANS = (
     ", blk AS (SELECT document || ':' || ordinal AS block, document, length(raw_text)::BIGINT AS n_chars, raw_text FROM lines), "
     "spn AS (SELECT block, 5::BIGINT AS char_start, least(n_chars, 25)::BIGINT AS char_end, block || '#a' AS unit, 'stem' AS role FROM blk WHERE n_chars > 5 "
@@ -19,10 +20,16 @@ _SPANS = (
 )
 
 
-def _spans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = blocks(spark, sf_dir).select(F.concat_ws(":", "document", "ordinal").alias("block"), "document", F.length("raw_text").cast("long").alias("n_chars"), "raw_text")
-    part = lambda start, end, unit, role: rows.where(F.col("n_chars") > start).select("block", F.lit(start).cast("long").alias("char_start"), F.least("n_chars", F.lit(end)).cast("long").alias("char_end"), F.concat("block", F.lit(unit)).alias("unit"), F.lit(role).alias("role"))
-    return part(5, 25, "#a", "stem").unionByName(part(40, 90, "#b", "option")), rows
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans and block ends of all lines in one pass; see :func:`attribution.stream`."""
+    rows = bare_lines(spark, sf_dir).select(F.concat_ws(":", "document", "ordinal").alias("block"), "document", F.length("raw_text").cast("long").alias("n_chars"), F.col("raw_text").rlike(f"[^{SPACES}]").alias("visible"))
+    part = lambda start, end, unit, role: F.when(F.col("n_chars") > start, attribution.event(F.lit(start), F.least("n_chars", F.lit(end)), F.concat("block", F.lit(unit)), F.lit(role)))
+    events = F.array_compact(F.array(part(5, 25, "#a", "stem"), part(40, 90, "#b", "option"), attribution.block_end(F.col("n_chars"))))
+    return rows.select("block", "document", "visible", F.inline(events))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream(spark, sf_dir).where("role IS NOT NULL").select(*attribution.SPAN)
 
 
 _GAPS = (
@@ -34,14 +41,12 @@ _GAPS = (
 
 @query(with_blocks(_GAPS + ", own AS (SELECT block, arg_min(unit, char_start) AS unit FROM spn GROUP BY block) SELECT block, char_start, char_end, unit, role FROM spn UNION ALL SELECT g.block, gap_start, gap_end, coalesce(unit, g.block || '#residual'), 'residual' FROM gaps g LEFT JOIN own o ON g.block = o.block"))
 def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans, rows = _spans(spark, sf_dir)
-    return attribution.filled(spans, rows)
+    return attribution.filled_stream(_stream(spark, sf_dir))
 
 
 @query(with_blocks(_SPANS + ", g AS (SELECT block, sum(char_end - char_start) AS got FROM spn GROUP BY block), t AS (SELECT document, sum(coalesce(got, 0))::BIGINT AS attributed, sum(n_chars)::BIGINT AS total FROM blk LEFT JOIN g ON blk.block = g.block GROUP BY document) SELECT *, CASE WHEN total > 0 THEN round(attributed / total, 6) END AS ratio FROM t"))
 def attribution_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans, rows = _spans(spark, sf_dir)
-    return attribution.attribution(spans, rows, "document")
+    return attribution.attributed_stream(_stream(spark, sf_dir), "document")
 
 
 @query("WITH p AS (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events) SELECT *, coalesce(value < previous, false) AS fell FROM p")

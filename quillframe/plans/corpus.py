@@ -26,6 +26,16 @@ RULES = [
 ROLES = sorted({r.id for r in RULES} | {PLAIN})
 
 
+def bare_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the documents as they stand: what nobody classifies is not normalised either."""
+    return line_blocks(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the documents with their normalised text."""
+    return line_blocks(spread(table(spark, sf_dir, "documents", "doc_id", "text")), derived={"text": collapse_ws})
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the documents with text, role and kind."""
     docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillframe.functions import dialect, text as T
-from quillframe.operators import aggregates, sequence
-from quillframe.plans.corpus import PLAIN, RULES, blocks, turns, with_blocks, with_turns
+from quillframe.operators import aggregates, classify, sequence
+from quillframe.plans.corpus import PLAIN, RULES, blocks, texts, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
 from quillframe.sources.lines import char_total as totals, line_blocks
 from quillframe.sources.tables import table
@@ -25,7 +25,7 @@ def char_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_blocks("SELECT document, ordinal, text FROM texts"))
 def collapse_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks(spark, sf_dir).select("document", "ordinal", "text")
+    return texts(spark, sf_dir).select("document", "ordinal", "text")
 
 
 @query(with_blocks("SELECT document, ordinal, role FROM roles"))
@@ -38,11 +38,16 @@ def role_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks(spark, sf_dir).select("document", "ordinal", "role", "kind")
 
 
-@query(with_blocks("SELECT document, ordinal, CASE WHEN text = '' THEN 'empty' WHEN text = 'The and attion to thanedble the, anea. Eriner thanea.' THEN 'sub-module-exact' WHEN starts_with(text, 'Released under') THEN 'callout-head' ELSE role END AS role FROM blocks"))
+_REGISTERED = ", reg AS (SELECT DISTINCT substr(sha256(b.text), 1, 12) AS banner_id FROM blocks b JOIN documents d ON d.doc_id = b.document WHERE d.lang <> 'en' AND b.ordinal = 1 AND b.text <> '')"
+
+
+@query(with_blocks(_REGISTERED + " SELECT document, ordinal, CASE WHEN text = '' THEN 'empty' WHEN substr(sha256(text), 1, 12) IN (SELECT banner_id FROM reg) THEN 'banner' WHEN starts_with(text, 'Released under') THEN 'callout-head' ELSE role END AS role FROM blocks"))
 def role_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Empty before exact text before callout heads before the rules."""
-    role = F.when(F.col("text") == "", "empty").when(F.col("text") == "The and attion to thanedble the, anea. Eriner thanea.", "sub-module-exact").when(F.startswith("text", F.lit("Released under")), "callout-head").otherwise(F.col("role"))
-    return blocks(spark, sf_dir).select("document", "ordinal", role.alias("role"))
+    """Empty before registered banners (by hash) before callout heads before the rules; banners are the first lines of documents in other languages."""
+    foreign = line_blocks(table(spark, sf_dir, "documents", "doc_id", "text", "lang").where("lang <> 'en'"), derived={"text": T.collapse_ws})
+    banners = foreign.where("ordinal = 1 AND text <> ''").select(T.content_id(F.col("text"), 12).alias("banner_id"))
+    heads = F.when(F.startswith("text", F.lit("Released under")), "callout-head")
+    return classify.precedence(blocks(spark, sf_dir), banners, heads).select("document", "ordinal", "role")
 
 
 _RUN = "sum((kind = 'section-banner')::INT) OVER w AS section_run"
@@ -135,7 +140,7 @@ def figure_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_blocks("SELECT document, ordinal, CASE WHEN regexp_matches(text, '\\(([0-9]+)\\)') THEN regexp_extract(text, '\\(([0-9]+)\\)', 1) ELSE '?' END AS label FROM blocks WHERE contains(text, '(')"))
 def sub_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.regexp_extract("text", r"\(([0-9]+)\)", 1)
-    return blocks(spark, sf_dir).where(F.contains("text", F.lit("("))).select("document", "ordinal", F.when(label != "", label).otherwise("?").alias("label"))
+    return texts(spark, sf_dir).where(F.contains("text", F.lit("("))).select("document", "ordinal", F.when(label != "", label).otherwise("?").alias("label"))
 
 
 _OPTIONS_SQL = "opts AS (SELECT l_orderkey AS question, l_linenumber * 1000000000::BIGINT + l_partkey AS ordinal, chr(65 + (l_partkey % 4)::INT) AS label FROM lineitem)"
@@ -228,8 +233,9 @@ def relevel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY coalesce(c_mktsegment, ''), coalesce(c_acctbal, 0), c_custkey)::BIGINT AS place FROM customer")
 def doc_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order by two fields, null before everything."""
-    place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.coalesce("c_mktsegment", F.lit("")), F.coalesce("c_acctbal", F.lit(0.0)), "c_custkey"))
-    return table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal").select("c_custkey", place.cast("long").alias("place"))
+    segment, balance = F.coalesce("c_mktsegment", F.lit("")), F.coalesce("c_acctbal", F.lit(0.0))
+    rows = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    return sequence.places(rows, ["c_nationkey"], [segment, F.floor(balance / 100)], [segment, balance, "c_custkey"]).select("c_custkey", "place")
 
 
 @query("SELECT doc_id, '第A' || CASE WHEN doc_id < 10 THEN '0' || doc_id ELSE doc_id::VARCHAR END || '讲' AS label FROM documents")
@@ -247,7 +253,7 @@ def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_blocks(", c AS (SELECT document, ordinal, text, sum(length(text)) OVER (PARTITION BY document ORDER BY ordinal ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM blocks), b AS (SELECT *, stop - length(text) AS start FROM c) SELECT document, ordinal, substr(text, (greatest(100, start) - start + 1), (least(600, stop) - greatest(100, start))) AS part FROM b WHERE start < 600 AND stop > 100"))
 def stream_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characters 100 to 600 of each document's stream, by block."""
-    return sequence.stream_slice(blocks(spark, sf_dir).select("document", "ordinal", "text"), 100, 600, "document").select("document", "ordinal", "part")
+    return sequence.stream_slice(texts(spark, sf_dir).select("document", "ordinal", "text"), 100, 600, "document").select("document", "ordinal", "part")
 
 
 @query(with_blocks(", r AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY document, ordinal) AS nth FROM blocks), s AS (SELECT role, count(*) AS n, length(text) // 100 AS style FROM blocks GROUP BY role, style), d AS (SELECT role, style AS dominant, row_number() OVER (PARTITION BY role ORDER BY n DESC, style) AS k FROM s) SELECT r.role, count(*) AS hits, sum((document % 2 = 0)::INT)::BIGINT AS in_scope, string_agg(locator, ';' ORDER BY nth) FILTER (WHERE nth <= 4) AS samples, any_value(dominant)::BIGINT AS dominant, count(*) >= 2 AS promotable FROM r JOIN d ON r.role = d.role AND d.k = 1 GROUP BY r.role"))
@@ -266,7 +272,7 @@ _PREDICATES = {f"{r.order}:{r.id}": r.pattern for r in RULES} | {"never": "\\d{4
 
 @query(with_blocks(", h AS (" + " UNION ALL ".join(f"SELECT {dialect.sql_literal(n)} AS predicate, sum(regexp_matches(text, {dialect.sql_literal(dialect.matching(p))})::INT)::BIGINT AS hits FROM blocks" for n, p in _PREDICATES.items()) + ") SELECT *, CASE WHEN hits = 0 THEN 'NEVER_MATCHES' END AS problem FROM h"))
 def predicate_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.predicate_hits(blocks(spark, sf_dir), {n: F.col("text").rlike(dialect.matching(p)) for n, p in _PREDICATES.items()})
+    return aggregates.predicate_hits(texts(spark, sf_dir), {n: F.col("text").rlike(dialect.matching(p)) for n, p in _PREDICATES.items()})
 
 
 @query("SELECT doc_id, sha256(text) AS digest, substr(sha256(text), 1, 16) AS atom_id, substr(sha256(text), 1, 12) AS banner_id FROM documents")

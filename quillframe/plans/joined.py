@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.operators import joins, sequence
-from quillframe.plans.corpus import blocks, turns, with_blocks, with_turns
+from quillframe.operators import joins
+from quillframe.plans.corpus import blocks, texts, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
 from quillframe.sources.lines import line_blocks
 from quillframe.sources.tables import table
@@ -78,10 +78,8 @@ def owner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_blocks(", h AS (SELECT DISTINCT document, text AS heading FROM blocks WHERE kind = 'section' AND text <> ''), u AS (SELECT * FROM blocks WHERE kind NOT IN ('stem', 'callout')) SELECT u.document, u.ordinal, CASE WHEN bool_or(coalesce(contains(u.raw_text, h.heading), false)) THEN 'heading' ELSE 'prose' END AS unit_kind FROM u LEFT JOIN h ON u.document = h.document GROUP BY u.document, u.ordinal"))
 def unclaimed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = blocks(spark, sf_dir)
-    claimed = rows.where(F.col("kind").isin("stem", "callout")).select("document", "ordinal")
-    headings = rows.where((F.col("kind") == "section") & (F.col("text") != "")).select("document", F.col("text").alias("heading"))
-    return joins.unclaimed(rows, claimed, ["document", "ordinal"], headings, "document").select("document", "ordinal", "unit_kind")
+    heading = F.when(F.col("kind") == "section", F.col("text"))
+    return joins.unclaimed(blocks(spark, sf_dir), F.col("kind").isin("stem", "callout"), heading)
 
 
 @query(with_blocks("SELECT document, ordinal FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = b.document) AND raw_text <> ''"))
@@ -99,7 +97,7 @@ def first_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_blocks("SELECT document, ordinal, length(raw_text) - length(text) AS uncovered FROM blocks ORDER BY uncovered DESC, document, ordinal LIMIT 5"))
 def worst_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five blocks with the most characters that normalisation drops."""
-    rows = blocks(spark, sf_dir).select("document", "ordinal", (F.length("raw_text") - F.length("text")).cast("long").alias("uncovered"))
+    rows = texts(spark, sf_dir).select("document", "ordinal", (F.length("raw_text") - F.length("text")).cast("long").alias("uncovered"))
     return rows.orderBy(F.desc("uncovered"), "document", "ordinal").limit(5)
 
 

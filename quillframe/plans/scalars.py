@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quillframe.functions import text as T, udfs
 from quillframe.functions.dialect import portable
-from quillframe.plans.corpus import blocks, turns, with_blocks, with_turns
+from quillframe.operators import sequence
+from quillframe.plans.corpus import bare_lines, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
 from quillframe.sources.tables import spread, table
 
@@ -198,11 +199,19 @@ def option_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "o.label", "o.text")
 
 
-@query(with_blocks("SELECT document, ordinal, m[1] AS word, (strpos(raw_text, m[1]) - 1)::INTEGER AS start FROM (SELECT document, ordinal, raw_text, regexp_extract_all(raw_text, '[A-Z]{5,}') AS m FROM lines) WHERE len(m) > 0"))
+@query(
+    with_blocks(
+        ", m AS (SELECT document, ordinal, regexp_extract_all(raw_text, '[A-Z][A-Z]{2,}') AS found, regexp_split_to_array(raw_text, '[A-Z][A-Z]{2,}') AS apart FROM lines), "
+        "p AS (SELECT document, ordinal, found, apart, unnest(range(1, len(found) + 1)) AS k FROM m WHERE len(found) > 0), "
+        "s AS (SELECT document, ordinal, k, found[k] AS word, list_sum(list_transform(apart[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:k - 1], lambda x: length(x))), 0) AS start FROM p) "
+        "SELECT document, ordinal, (k - 1)::INTEGER AS ix, word, start::INTEGER AS start, (start + length(word))::INTEGER AS stop, substr(word, 1, 1) AS first_group, substr(word, 2) AS second_group FROM s"
+    )
+)
 def regex_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first run of capitals of each line, with its position."""
-    found = blocks(spark, sf_dir).select("document", "ordinal", udfs.regex_spans("[A-Z]{5,}")(F.col("raw_text")).alias("m")).where(F.size("m") > 0)
-    return found.select("document", "ordinal", F.get("m", F.lit(0))["text"].alias("word"), F.get("m", F.lit(0))["start"].alias("start"))
+    """All runs of capitals of every line, with number, place and groups."""
+    lines = bare_lines(spark, sf_dir).where(F.col("raw_text").rlike("[A-Z]{3}"))
+    found = lines.select("document", "ordinal", F.inline(udfs.regex_spans("([A-Z])([A-Z]{2,})")(F.col("raw_text"))))
+    return found.select("document", "ordinal", "ix", F.col("text").alias("word"), "start", F.col("end").alias("stop"), F.get("groups", F.lit(0)).alias("first_group"), F.get("groups", F.lit(1)).alias("second_group"))
 
 
 @query("WITH w AS (SELECT l_orderkey, count(*) AS n, max(length(l_partkey::VARCHAR || l_returnflag || '各') + 1) AS widest FROM lineitem GROUP BY 1) SELECT l_orderkey, n, widest::BIGINT AS widest, (CASE WHEN n % 4 = 0 AND widest * 4 <= 32 THEN 4 WHEN n % 3 = 0 AND widest * 3 <= 32 THEN 3 WHEN n % 2 = 0 AND widest * 2 <= 32 THEN 2 ELSE 1 END)::INTEGER AS columns FROM w")
@@ -215,15 +224,12 @@ def fit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("columns", F.when(fits(4), 4).when(fits(3), 3).when(fits(2), 2).otherwise(1))
 
 
-@query("WITH RECURSIVE s AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_partkey // 2 END AS based_on, CASE WHEN p_size > 40 THEN p_size END AS size FROM part), c AS (SELECT id, based_on, size, 0 AS depth FROM s UNION ALL SELECT c.id, s.based_on, s.size, depth + 1 FROM c JOIN s ON s.id = c.based_on WHERE c.size IS NULL AND depth < 10) SELECT id, coalesce(max(size), 24)::INTEGER AS size FROM c GROUP BY id")
+@query("WITH RECURSIVE s AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_partkey // 2 WHEN p_partkey % 27 <> 0 THEN p_partkey - 1 END AS based_on, CASE WHEN p_size > 48 THEN p_size END AS size FROM part), c AS (SELECT id, based_on, size, 0 AS depth FROM s UNION ALL SELECT c.id, s.based_on, s.size, depth + 1 FROM c JOIN s ON s.id = c.based_on WHERE c.size IS NULL) SELECT id, coalesce(max(size), 24)::INTEGER AS size FROM c GROUP BY id")
 def inherit_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A style's size: its own, else along the chain of styles it is based on, else the default."""
     parts = table(spark, sf_dir, "part", "p_partkey", "p_size")
-    styles = parts.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 9 != 0, F.floor(F.col("p_partkey") / 2)).alias("based_on"), F.when(F.col("p_size") > 40, F.col("p_size")).alias("size"))
-    rows, parents = styles, styles.select(F.col("id").alias("based_on"), F.col("based_on").alias("next"), F.col("size").alias("theirs"))
-    for _ in range(10):  # chains are at most ten long here
-        rows = rows.join(parents, "based_on", "left").select("id", F.when(F.col("size").isNull(), F.col("next")).alias("based_on"), F.coalesce("size", "theirs").alias("size"))
-    return rows.select("id", F.coalesce("size", F.lit(24)).alias("size"))
+    styles = parts.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 9 != 0, F.floor(F.col("p_partkey") / 2)).when(F.col("p_partkey") % 27 != 0, F.col("p_partkey") - 1).alias("based_on"), F.when(F.col("p_size") > 48, F.col("p_size")).alias("size"))
+    return sequence.inherited(styles.withColumnRenamed("size", "value"), F.lit(24)).withColumnRenamed("value", "size")
 
 
 @query("SELECT r_regionkey, coalesce(max(n_name) FILTER (WHERE n_name > 'NATION_2'), r_name) AS value, CASE WHEN max(n_name) FILTER (WHERE n_name > 'NATION_2') IS NULL THEN 'default' ELSE 'deviation' END AS origin FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.operators import aggregates, sequence
-from quillframe.plans.corpus import PLAIN, blocks, turns, with_blocks, with_turns
+from quillframe.operators import aggregates, control
+from quillframe.plans.corpus import PLAIN, blocks, texts, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
 from quillframe.sources.tables import table
 
@@ -93,7 +93,7 @@ def distinct_vs_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_blocks(", c AS (SELECT sha256(text) AS digest, count(*) AS n_copies, min((document, ordinal)) AS f FROM blocks WHERE text <> '' GROUP BY 1 HAVING count(*) > 1) SELECT digest, n_copies, f[1] AS first_document, f[2] AS first_ordinal FROM c"))
 def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line texts that stand at several places, and the first of them."""
-    return aggregates.content_copies(blocks(spark, sf_dir).where("text <> ''"), F.sha2("text", 256))
+    return aggregates.content_copies(texts(spark, sf_dir).where("text <> ''"), F.sha2("text", 256))
 
 
 @query("SELECT l_orderkey, sum((l_quantity > 5)::INT)::BIGINT AS n_images, sum((l_quantity > 5 AND l_discount < 0.1)::INT)::BIGINT AS n_owners, sum((l_quantity > 5 AND l_discount < 0.1)::INT)::BIGINT AS n_placed, CASE WHEN n_images <> n_owners OR n_owners <> n_placed THEN 'FIGURE_UNATTRIBUTED' END AS code FROM lineitem GROUP BY 1")
@@ -103,11 +103,13 @@ def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.balance(rows, "l_orderkey", images=image, owners=owner, placed=owner)
 
 
-@query(with_turns(", a AS (SELECT document, ordinal, unnest(string_split(text, '.')) AS candidate FROM turns WHERE speaker = 'assistant') SELECT document, ordinal, trim(candidate) AS candidate FROM a WHERE trim(candidate) <> ''"))
+@query(with_turns(", a AS (SELECT document || ':' || ordinal AS run, unnest(list_filter(list_transform(string_split(text, '.'), lambda x: trim(x)), lambda x: x <> '')) AS rule FROM turns WHERE speaker = 'assistant') SELECT run, rule, CASE WHEN length(rule) % 3 = 0 THEN 'adopted' WHEN length(rule) % 3 = 1 THEN 'pending' END AS status, length(rule) % 3 <> 0 AS pending FROM a"))
 def harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The candidates that filled answers name, one row each."""
-    rows = turns(spark, sf_dir).where("speaker = 'assistant'").select("document", "ordinal", F.explode(F.split("text", r"\.")).alias("candidate"))
-    return rows.select("document", "ordinal", F.trim("candidate").alias("candidate")).where("candidate <> ''")
+    """Turns as debriefs, filled where the assistant speaks: the rules that they propose, and which are pending."""
+    rule = F.filter(F.transform(F.split("text", r"\."), lambda x: F.trim(x)), lambda x: x != "")
+    status = lambda x: F.when(F.length(x) % 3 == 0, "adopted").when(F.length(x) % 3 == 1, "pending")
+    debriefs = turns(spark, sf_dir).select(F.concat_ws(":", "document", "ordinal").alias("run"), (F.col("speaker") == "assistant").alias("filled"), F.transform(rule, lambda x: F.struct(x.alias("rule"), status(x).alias("status"))).alias("candidate_rules"))
+    return control.harvest(debriefs)
 
 
 @query(with_turns("SELECT document, count(*) AS n_parts, sha256(string_agg(ordinal || ':' || sha256(text), chr(10) ORDER BY ordinal)) AS digest FROM turns GROUP BY document"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillframe.functions.dialect import SPACES
 from quillframe.operators import gates
-from quillframe.plans.attributed import _GAPS, _SPANS, _spans
+from quillframe.plans.attributed import _GAPS, _SPANS, _spans, _stream
 from quillframe.plans.corpus import with_blocks
 from quillframe.plans.registry import query
 from quillframe.sources.tables import table
@@ -30,20 +31,17 @@ def ladder_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_blocks(_SPANS + ", r AS (SELECT *, max(char_end) OVER (PARTITION BY block ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (SELECT block, char_start - CASE WHEN role = 'option' AND length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_start, char_end - CASE WHEN role = 'option' AND length(block) % 5 = 0 THEN 30 ELSE 0 END AS char_end FROM spn)) SELECT block, CASE WHEN char_end <= char_start THEN 'SPAN_EMPTY' ELSE 'SPAN_OVERLAP' END AS code FROM r WHERE char_end <= char_start OR char_start < reached"))
 def span_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans moved so that some may cross: those that do, or are empty."""
-    spans, _ = _spans(spark, sf_dir)
+    spans = _spans(spark, sf_dir)
     shift = F.when((F.col("role") == "option") & (F.length("block") % 5 == 0), 30).otherwise(0)
     moved = spans.withColumn("char_start", F.col("char_start") - shift).withColumn("char_end", F.col("char_end") - shift)
     return gates.attribution.overlaps(moved).select("block", "code")
 
 
-@query(with_blocks(_GAPS + ", own AS (SELECT block, arg_min(unit, char_start) AS unit FROM spn GROUP BY block), f AS (SELECT block, char_start, char_end FROM spn UNION ALL SELECT block, gap_start, gap_end FROM gaps), g AS (SELECT block, sum(char_end - char_start) AS got FROM f GROUP BY block), t AS (SELECT sum(n_chars) AS total, sum(coalesce(got, 0)) AS attributed FROM blk LEFT JOIN g ON blk.block = g.block), e AS (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events) SELECT gate, CASE WHEN n_errors > 0 THEN 'fail' ELSE 'pass' END AS status, n_errors FROM (SELECT 'persisted' AS gate, ((SELECT (total <> attributed)::INT FROM t) + (SELECT count(*) FROM e WHERE value < previous))::BIGINT AS n_errors)"))
+@query(with_blocks(_GAPS + ", own AS (SELECT block, arg_min(unit, char_start) AS unit FROM spn GROUP BY block), f AS (SELECT block, char_start, char_end FROM spn UNION ALL SELECT block, gap_start, gap_end FROM gaps), g AS (SELECT block, sum(char_end - char_start) AS got FROM f GROUP BY block), t AS (SELECT sum(n_chars) AS total, sum(coalesce(got, 0)) AS attributed FROM blk LEFT JOIN g ON blk.block = g.block), e AS (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events) SELECT gate, CASE WHEN n_errors > 0 THEN 'fail' ELSE 'pass' END AS status, n_errors FROM (SELECT 'persisted' AS gate, ((SELECT (total <> attributed)::INT FROM t) + (SELECT count(*) FROM blk WHERE regexp_matches(raw_text, '[^" + SPACES + "]') AND block NOT IN (SELECT block FROM spn)) + (SELECT count(*) FROM e WHERE value < previous))::BIGINT AS n_errors)"))
 def gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The persistence gate over filled spans, with events as its run ledger."""
-    from quillframe.operators import attribution
-
-    spans, rows = _spans(spark, sf_dir)
+    """The persistence gate: blocks that no span claims, then all characters once gaps are filled; events are its run ledger."""
     runs = table(spark, sf_dir, "events", "user_id", "event_id", "value").select(F.col("user_id").alias("source_id"), F.lit("h").alias("schema_hash"), F.col("event_id").alias("started_at"), F.col("value").alias("ratio"))
-    return gates.status(gates.persisted(attribution.filled(spans, rows), rows, runs), ["persisted"])
+    return gates.status(gates.persisted_stream(_stream(spark, sf_dir), runs), ["persisted"])
 
 
 @query("WITH w AS (SELECT l_orderkey, l_linenumber, l_partkey, (l_partkey * 36000.0)::DOUBLE / 36000 * 10 / 12 AS expected, CASE WHEN l_partkey % 5 <> 0 THEN l_partkey * 10.0 / 12 + CASE WHEN l_partkey % 3 = 0 THEN 0.2 ELSE 0 END END AS width FROM lineitem) SELECT CASE WHEN width IS NULL THEN 'FIGURE_WIDTH_MISSING' ELSE 'FIGURE_WIDTH_DRIFT' END AS code, l_orderkey::VARCHAR AS document, l_linenumber::VARCHAR AS locator FROM w WHERE width IS NULL OR abs(width - expected) > 0.05")
