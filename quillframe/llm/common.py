@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.sources.tables import share_package
+from quillframe.sources.shared import checkpointed, removed, stage_folder  # noqa: F401
 
 BATCH_ROWS = 2000
 #: Bytes that the regular expression class [\x20\x09-\x0D] matches.
@@ -19,21 +18,6 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """``frame`` written to the shared checkpoint folder and read back, partition by partition.
-
-    The folder is the one that ``spark.checkpoint.dir`` names; only where that is unset (a local
-    session, as in tests) a temporary one is chosen.
-    """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    share_package(spark)
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillframe-checkpoint-"))
-    return frame.checkpoint(eager=True)
-
-
 def small_batches(frame: DataFrame) -> DataFrame:
     """``frame``, in a session whose Arrow batches hold BATCH_ROWS rows at most: texts are long, and a batch is held whole."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
