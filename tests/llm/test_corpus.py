@@ -252,16 +252,96 @@ def test_host_repetition(spark):
     assert html.main_text(frame.limit(0), "page_id").count() == 0
 
 
+def test_wrappers_keep_the_article():
+    text = lambda source: [b.text for b in html.blocks(source)]
+    for page in ("<div class='page-with-sidebar'><article><p>A</p></article></div>", "<div class='layout sidebar-right'><nav>n</nav><main><p>A</p></main></div>", "<form id=aspnetForm><nav>n</nav><article><p>A</p></article></form>", "<div class='theme-no-banner'><p>A</p></div>", "<aside><article>A</article></aside>"):
+        assert text(page) == ["A"], page
+    assert text("<article><p class='notice-period'>A</p><p class=related-work>B</p><div class=related-posts>no</div></article>") == ["A", "B"]
+    assert text("<form><nav>menu</nav><h1>T</h1><p>Most of the page</p></form><p>x</p>") == ["T", "Most of the page", "x"]
+    assert text("<div class=related><article>tease</article></div><article>real<div class='post-comments'>c</div></article>") == ["real"]
+    assert text("<div id=comments><article>one</article></div><p>page</p>") == ["page"]
+
+
+@pytest.mark.parametrize("piece", ['<a "', '<a ="', "<a ='>' ", "<svg>", "<p>", "<div class='sidebar'>x", "<", "<!--", "<a b='x", "<article>", "<h1 class=sidebar>t"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    began = time.perf_counter()
+    html.blocks(piece * (1_000_000 // len(piece)) + '="')
+    assert time.perf_counter() - began < 5  # a megabyte is under a second where nothing else runs
+
+
 def test_short_and_unspaced_blocks_repeat():
     story = lambda k: "".join(chr(0x4E00 + (k * 7919 + i * i * 31 + i * 17) % 5000) for i in range(60))
     notice = "版权所有未经许可不得转载本站内容"
     body = lambda k: [f"Unique{k} opening", "Powered by WordPress", f"Other{k} words", "版权所有", story(k), notice + f"第{k}页", f"Last{k}", "Share"]
-    pages = [[html.Block(t, 0, 0) for t in body(k)] for k in range(50)]
+    pages = [(body(k), [0] * 8) for k in range(50)]
     got = html.unique_text(pages)
     assert got == ["\n".join((f"Unique{k} opening", f"Other{k} words", story(k), f"Last{k}")) for k in range(50)]
     assert html.unique_text(pages[:1]) == ["\n".join(body(0))] and html.unique_text(pages[:1] * 3) == ["\n".join(body(0))] * 3
-    article = [[html.Block(b.text, 2, 0) for b in p] for p in pages[:11]]
-    assert html.unique_text(article) == ["\n".join(body(k)) for k in range(11)]
+
+
+def brute_host(pages):
+    """Texts of one host's pages (lists of blocks) by counting every string of RUN tokens in a dictionary."""
+    stream = lambda page: [None] + [t for b in page for t in [*html._tokens(b), None]]
+    prints = [tuple(stream(p)) for p in pages]
+    runs, holders = defaultdict(set), defaultdict(set)
+    for p, s in zip(pages, prints):
+        for i in range(len(s) - html.RUN + 1):
+            runs[s[i : i + html.RUN]].add(s)
+        for b in p:
+            holders[b].add(s)
+    out = []
+    for p, s in zip(pages, prints):
+        often, at, kept = [0] * len(s), 1, []
+        for i in range(len(s) - html.RUN + 1):
+            n = len(runs[s[i : i + html.RUN]])
+            for k in range(i, i + html.RUN):
+                often[k] = max(often[k], n if n >= 2 else 0)
+        for b in p:
+            n = len(html._tokens(b))
+            run = sorted(often[at : at + n])
+            seen = max(run[0 if n < html.RUN else int(n * (1 - html.COVERED))], len(holders[b]))
+            if seen < (max(3, len(set(prints)) / 2) if n >= html.PROSE_WORDS else 2):
+                kept.append(b)
+            at += n + 1
+        out.append("\n".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("parts,most", [("1", None), ("2", None), ("8", None), ("8", 0), ("3", 0)])
+def test_host_texts_against_brute_force(spark, monkeypatch, parts, most):
+    """Whatever the partitions, and whether a host is one task or comes together in exchanges."""
+    rng = np.random.default_rng(7)
+    parts_of = [helpers.prose(900 + k, n, 1) for k, n in enumerate((3, 5, 9, 14, 14, 14, 35, 60))]
+    hosts = defaultdict(list)
+    for k in range(240):
+        body = [f"Title {k}", *(parts_of[i] for i in sorted(rng.choice(8, int(rng.integers(0, 4)), replace=False))), helpers.prose(k // 2, 50, 1) if k % 5 else helpers.prose(k % 3, 40, 1)]
+        hosts["big" if k % 3 else f"h{k % 4}"].append((k, body))
+    hosts["big"] += [(1000 + k, hosts["big"][0][1]) for k in range(5)]
+    want = {k: t for pages in hosts.values() for (k, _), t in zip(pages, brute_host([b for _, b in pages]))}
+    rows = [(k, f"http://{h}.org/{k}", "".join(f"<p>{b}</p>" for b in body)) for h, pages in hosts.items() for k, body in pages]
+    if most is not None:
+        monkeypatch.setattr(html, "HOST_TOKENS", most)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r[0]: r[1] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == want and any(len(t) < len("\n".join(b)) for pages in hosts.values() for (k, b) in pages for t in [got[k]])
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(2)
+    streams = [rng.integers(0, 2, int(n)) for n in rng.integers(0, 40, 12)] + [np.zeros(33, np.int64)] * 2
+    order, shared, left = html.suffix_order(streams)
+    suffixes = [tuple(s[i:]) for s in streams for i in range(len(s))]
+    assert [suffixes[k] for k in order.tolist()] == sorted(suffixes)
+    for k in range(1, len(order)):
+        a, b = suffixes[order[k - 1]], suffixes[order[k]]
+        assert shared[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    assert left.tolist() == [len(x) for x in suffixes]
 
 
 def test_repeated_runs_against_brute_force():
