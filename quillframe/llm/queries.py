@@ -147,23 +147,22 @@ def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op2_revisits"] = r"""
-WITH t AS (SELECT page_id, trim(url) AS url, regexp_replace(trim(url), '#.*$', '') AS u, coalesce(html, '') AS html FROM pages),
-p AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), ':(80|443)$', ''), '^www\d*\.', '') AS host,
-      regexp_replace(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path, regexp_extract(u, '\?(.*)$', 1) AS query FROM t),
-k AS (SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|ref|sessionid|phpsessid)(=|$)'))), '&') AS rest FROM p),
-c AS (SELECT page_id, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN rest <> '' THEN '?' || rest ELSE '' END END AS key,
-      '"' || md5(html)[1:16] || '"' AS tag, 'day ' || (page_id // 100) AS date, length(html) AS size FROM k),
-r AS (SELECT page_id * 2 AS id, key, page_id * 10 AS ts, tag, date, size FROM c),
-v AS (SELECT page_id * 2 + 1 AS id, key, page_id * 10 + 25 AS ts, CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS tag,
-      CASE WHEN page_id % 5 = 0 THEN date END AS date FROM c),
-j AS (SELECT v.id, v.key, v.ts, v.tag AS vtag, v.date AS vdate, b.id AS base, b.tag, b.date, b.size,
-      row_number() OVER (PARTITION BY v.id ORDER BY b.ts DESC, b.id DESC) AS n FROM v LEFT JOIN r b ON b.key = v.key AND b.ts <= v.ts),
-w AS (SELECT *, CASE WHEN base IS NULL THEN 'no_base' WHEN vtag IS NOT NULL THEN CASE WHEN vtag = tag THEN 'resolved' ELSE 'etag_mismatch' END
-      WHEN vdate = date THEN 'resolved' ELSE 'date_mismatch' END AS verdict FROM j WHERE n = 1)
+WITH t AS (SELECT page_id AS p, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+/?[^/?#]*)', 1) || CASE WHEN page_id % 3 = 0 THEN '/' WHEN page_id % 3 = 1 THEN '?utm_source=feed' ELSE '#top' END AS url, coalesce(html, '') AS html FROM pages),
+u AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM t),
+o AS (SELECT *, lower(regexp_extract(u, '^([a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?[^/?]*)', 1)) AS place,
+      regexp_replace(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path, regexp_extract(u, '\?(.*)$', 1) AS query FROM u),
+h AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(place, '^(http://.*):80$', '\1'), '^(https://.*):443$', '\1'), '^[^:]*://(?:[^@]*@)?', ''), '^www\d*\.', '') AS host,
+      array_to_string(list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|ref|sessionid|phpsessid)(=|$)'))), '&') AS rest FROM o),
+c AS (SELECT p, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN rest <> '' THEN '?' || rest ELSE '' END END AS key,
+      '"' || md5(html)[1:16] || '"' AS tag, 'day ' || (p // 100) AS date, length(html) AS size FROM h),
+r AS (SELECT p * 2 AS id, key, p * 10 AS ts, tag, date, size FROM c WHERE p % 11 <> 0 AND p % 13 <> 0),
+v AS (SELECT p, p * 2 + 1 AS id, key, p * 10 + 25 AS ts, p % 17 = 0 AS bare, p % 17 <> 0 AND p % 5 = 0 AS dated, CASE WHEN p % 7 = 0 THEN '"changed"' ELSE 'W/' || tag END AS tag, CASE WHEN p % 3 = 0 THEN 'another day' ELSE date END AS date FROM c),
+j AS (SELECT v.*, b.id AS base, b.tag AS btag, b.date AS bdate, b.size, row_number() OVER (PARTITION BY v.id ORDER BY b.ts DESC, b.id DESC) AS n FROM v LEFT JOIN r b ON b.key = v.key AND b.ts <= v.ts),
+w AS (SELECT *, CASE WHEN base IS NULL THEN 'no_base' WHEN bare THEN 'unchecked' WHEN dated THEN CASE WHEN date = bdate THEN 'resolved' ELSE 'date_mismatch' END
+      WHEN regexp_replace(tag, '^W/', '') = btag THEN 'resolved' ELSE 'etag_mismatch' END AS verdict FROM j WHERE n = 1)
 SELECT id AS record_id, key AS canonical_url, ts, CASE WHEN verdict = 'resolved' THEN base END AS base_id, verdict, (CASE WHEN verdict = 'resolved' THEN 200 ELSE 304 END)::INTEGER AS status,
-  CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=' || CASE WHEN vtag IS NULL THEN '60' ELSE '3600' END || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10)
-         || 'etag: ' || CASE WHEN vtag IS NULL THEN tag ELSE 'W/' || vtag END || chr(10) || 'last-modified: ' || date
-       WHEN vtag IS NULL THEN 'content-length: 0' || chr(10) || 'last-modified: ' || vdate
-       ELSE 'cache-control: max-age=3600' || chr(10) || 'content-length: 0' || chr(10) || 'etag: ' || CASE WHEN vtag = '"changed"' THEN vtag ELSE 'W/' || vtag END END AS fields
+  CASE WHEN verdict = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=' || CASE WHEN dated THEN '60' ELSE '3600' END, 'content-length: ' || size, 'content-type: text/html', 'etag: ' || CASE WHEN dated THEN btag ELSE tag END, 'last-modified: ' || bdate)
+       WHEN dated THEN concat_ws(chr(10), 'content-length: 0', 'last-modified: ' || date)
+       ELSE concat_ws(chr(10), 'cache-control: max-age=3600', CASE WHEN NOT bare AND p % 4 = 0 THEN 'connection: X-Trace' END, 'content-length: 0', CASE WHEN NOT bare THEN 'etag: ' || tag END, CASE WHEN NOT bare AND p % 4 = 0 THEN 'x-trace: ' || p END) END AS fields
 FROM w
 """

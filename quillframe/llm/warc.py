@@ -1,10 +1,10 @@
 """WARC records, and resolution of not-modified revisits.
 
 A revisit answered "not modified" has no body of its own. It is resolved by an as-of join: among the
-records of its canonical URL, the latest full response before it. If their validators agree (entity tags by
-weak comparison, else the modification date), the record gets that response's body and status, and its
-headers merged: the revisit's fields replace the stored ones, except those that describe the connection or
-the stored body.
+records of its canonical URL, the latest full response (status 200) before it. If their validators agree
+(entity tags by weak comparison, else the modification date), the record gets that response's body and status,
+and its headers merged: the revisit's fields replace the stored ones, except those that describe the connection
+(also by being named in its Connection field) or the stored body.
 
 The join is a sorted stream: records are dealt by range over URL, time and id, so that one URL with a third
 of all records spreads over many partitions; each partition carries only the last response seen. What a
@@ -13,14 +13,17 @@ partition. Bodies are not moved; results name the response.
 
 Defined results: records without URL or time, and revisits before any response, are "no_base". Validators
 that differ give "etag_mismatch" or "date_mismatch", a pair without common validators "unchecked"; only
-"resolved" and "unchecked" get a base. At equal times responses come before revisits, then the smaller
-record id; repeated records give repeated rows.
+"resolved" gets a base. At equal times responses come before revisits, then the smaller record id (null first);
+repeated records give repeated rows, and an empty table none. Null headers are none; of names that differ only
+in case the one that sorts last counts, since a map has no order. Extra columns are left out; those asked for are found by name.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator
+from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,7 +41,9 @@ _OUT = "record_id long, key string, ts long, base_id long, verdict string, statu
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host without default port, user and "www."; no fragment, tracking fields or closing slash; the query sorted."""
     text = F.regexp_replace(F.trim(url), "#.*$", "")
-    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(text, "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)", 1)), ":(80|443)$", ""), r"^www\d*\.", "")
+    place = F.lower(F.regexp_extract(text, "^([a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?[^/?]*)", 1))
+    plain = F.regexp_replace(F.regexp_replace(place, "^(http://.*):80$", "$1"), "^(https://.*):443$", "$1")
+    host = F.regexp_replace(F.regexp_replace(plain, "^[^:]*://(?:[^@]*@)?", ""), r"^www\d*\.", "")
     path = F.regexp_replace(F.regexp_extract(text, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
     query = F.regexp_extract(text, r"\?(.*)$", 1)
     fields = F.array_sort(F.filter(F.split(query, "&"), lambda x: (x != "") & ~F.lower(x).rlike("^(utm_[a-z]+|fbclid|gclid|ref|sessionid|phpsessid)(=|$)")))
@@ -61,7 +66,8 @@ def judged(revisit: dict[str, str], base: dict[str, str]) -> str:
 
 
 def merged(revisit: dict[str, str], base: dict[str, str]) -> dict[str, str]:
-    return dict(sorted({**base, **{k: v for k, v in revisit.items() if k not in KEPT_FIELDS}}.items()))
+    hop = {x.strip().lower() for x in (revisit.get("connection") or "").split(",")}
+    return dict(sorted({**base, **{k: v for k, v in revisit.items() if k not in KEPT_FIELDS and k not in hop}}.items()))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -116,7 +122,7 @@ def _joined(carried: dict) -> callable:
                     base = [row["record_id"], row["status"], row["headers"]]
                     continue
                 verdict = "no_base" if base is None else judged(row["headers"], base[2])
-                if verdict in ("resolved", "unchecked"):
+                if verdict == "resolved":
                     out.append((row["record_id"], key, row["ts"], base[0], verdict, base[1], list(merged(row["headers"], base[2]).items())))
                 else:
                     out.append((row["record_id"], key, row["ts"], None, verdict, row["status"], list(row["headers"].items())))
@@ -128,13 +134,16 @@ def _joined(carried: dict) -> callable:
 def resolved(records: DataFrame) -> DataFrame:
     """A row per revisit of ``records`` (RECORD): record_id, key (canonical URL), ts, base_id, verdict, status, headers.
 
-    Header names are compared in lower case. Responses are records of type response with a 2xx status.
+    Header names are compared in lower case, that of equal ones which sorts last counts. Responses are records of type
+    response with status 200: a part is no body to fall back on.
     """
     key = canonical_url(F.col("url"))
-    lower = F.transform_keys(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
+    entries = F.transform(F.array_sort(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    lower = F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]))
     base = records.select("record_id", key.alias("key"), "ts", (F.col("warc_type") == "revisit").alias("revisit"), "warc_type", "status", lower.alias("headers"))
     placed = F.col("key").isNotNull() & F.col("ts").isNotNull()
-    full = F.col("revisit") | ((F.col("warc_type") == "response") & F.col("status").between(200, 299))
+    full = F.col("revisit") | ((F.col("warc_type") == "response") & F.col("status").eqNullSafe(200))
     order = ["key", "ts", "revisit", "record_id"]
     n = common.partitions_for(records.sparkSession)
     dealt = common.checkpointed(base.where(placed & full).select(*_SORTED).repartitionByRange(n, *order).sortWithinPartitions(*order))
@@ -151,8 +160,8 @@ def written(headers: dict[str, str], block: bytes) -> bytes:
 
 
 def read(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and block of each record of an uncompressed WARC file; a broken tail ends it."""
-    at = 0
+    """Header fields (lower-case names) and block of each record of a WARC file, plain or of gzip members; a broken tail ends it."""
+    data, at = _members(data), 0
     while (at := data.find(b"WARC/", at)) >= 0:
         stop = data.find(b"\r\n\r\n", at)
         if stop < 0:
@@ -175,20 +184,70 @@ def http_message(block: bytes) -> tuple[int | None, dict[str, str], bytes]:
     return int(status) if status.isdigit() else None, fields, body
 
 
+def _members(data: bytes) -> bytes:
+    """The content of a file, whose records may be gzip members one after another; a broken one ends it."""
+    if not data.startswith(b"\x1f\x8b"):
+        return data
+    out = []
+    while data.startswith(b"\x1f\x8b"):
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(data))
+        except zlib.error:
+            break
+        data = member.unused_data
+    return b"".join(out)
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from xxhash import xxh3_64_intdigest
+
+    names = [x.split()[0] for x in RECORD.split(", ")] + ["payload"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary()]
+    for batch in batches:
+        for content in batch.column(0):
+            rows = []
+            for fields, block in read(content.as_buffer().to_pybytes()):
+                status, headers, body = http_message(block)
+                try:
+                    ts = int(datetime.fromisoformat(fields.get("warc-date", "")).timestamp())
+                except ValueError:
+                    ts = None
+                rows.append((xxh3_64_intdigest(fields.get("warc-record-id", "")) >> 1, fields.get("warc-target-uri"), ts, fields.get("warc-type"), status, list(headers.items()), body))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+
+
+def records(files: DataFrame) -> DataFrame:
+    """RECORD and payload of the records in WARC files (content), plain or of gzip members; a broken tail ends a file.
+
+    record_id is a hash of the record's own id; ts is in seconds, null where the date cannot be read.
+    """
+    return common.small_batches(files).select("content").mapInArrow(_parsed, f"{RECORD}, payload binary")
+
+
 def captures(pages: DataFrame) -> DataFrame:
-    """A capture log (RECORD) of ``pages``: every page as a response, and a later not-modified revisit of its URL.
+    """A capture log (RECORD) of ``pages``, in which every verdict occurs: pages of one site section are captures of one URL.
 
-    Times come from page_id; the revisit of every seventh page names another entity tag, that of every
-    fifth has only a date.
+    Each page gives a response and, a little later, a not-modified revisit. Times come from page_id. Of the
+    responses every eleventh is partial and every thirteenth an error. A revisit names the page's entity tag,
+    that of every seventh page another one; every fifth has only a date, of which every third differs; every
+    seventeenth has no validator. Header names differ in case, every nineteenth response repeats one, and every
+    fourth revisit has a field for its connection alone.
     """
+    p = F.col("page_id")
+    site = F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]+/?[^/?#]*)", 1)
+    url = F.concat(site, F.when(p % 3 == 0, "/").when(p % 3 == 1, "?utm_source=feed").otherwise("#top"))
     tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
-    date = F.concat(F.lit("day "), F.floor(F.col("page_id") / 100).cast("string"))
+    date = F.concat(F.lit("day "), F.floor(p / 100).cast("string"))
     size = F.length(F.coalesce("html", F.lit(""))).cast("string")
-    response = F.create_map(F.lit("ETag"), tag, F.lit("Last-Modified"), date, F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), size, F.lit("Cache-Control"), F.lit("max-age=60"))
-    other = F.when(F.col("page_id") % 7 == 0, F.lit('"changed"')).otherwise(F.concat(F.lit("W/"), tag))
-    tagged = F.create_map(F.lit("ETag"), other, F.lit("Content-Length"), F.lit("0"), F.lit("Cache-Control"), F.lit("max-age=3600"))
-    dated = F.create_map(F.lit("Last-Modified"), date, F.lit("Content-Length"), F.lit("0"))
-    revisit = F.when(F.col("page_id") % 5 == 0, dated).otherwise(tagged)
-    one = lambda number, ts, kind, status, headers: F.struct(number.alias("record_id"), "url", ts.alias("ts"), F.lit(kind).alias("warc_type"), F.lit(status).alias("status"), headers.alias("headers"))
-    both = F.array(one(F.col("page_id") * 2, F.col("page_id") * 10, "response", 200, response), one(F.col("page_id") * 2 + 1, F.col("page_id") * 10 + 25, "revisit", 304, revisit))
+    field = lambda name, value, where=None: F.when(F.lit(True) if where is None else where, F.struct(F.lit(name).alias("key"), (F.lit(value) if isinstance(value, str) else value).alias("value")))
+    headers = lambda *fields: F.map_from_entries(F.array_compact(F.array(*fields)))
+    response = headers(field("ETAG", '"old"', p % 19 == 0), field("ETag", tag, p % 2 == 0), field("etag", tag, p % 2 != 0), field("Last-Modified", date), field("Content-Type", "text/html"), field("Content-Length", size), field("Cache-Control", "max-age=60"))
+    bare, dated = p % 17 == 0, (p % 17 != 0) & (p % 5 == 0)
+    tagged, traced = ~bare & ~dated, ~bare & ~dated & (p % 4 == 0)
+    other = F.when(p % 7 == 0, F.lit('"changed"')).otherwise(F.concat(F.lit("W/"), tag))
+    revisit = headers(field("Last-Modified", F.when(p % 3 == 0, "another day").otherwise(date), dated), field("ETag", other, tagged), field("Content-Length", "0"), field("Cache-Control", "max-age=3600", ~dated), field("Connection", "X-Trace", traced), field("X-Trace", p.cast("string"), traced))
+    status = F.when(p % 11 == 0, 206).when(p % 13 == 0, 404).otherwise(200)
+    one = lambda number, ts, kind, code, h: F.struct(number.alias("record_id"), url.alias("url"), ts.alias("ts"), F.lit(kind).alias("warc_type"), code.alias("status"), h.alias("headers"))
+    both = F.array(one(p * 2, p * 10, "response", status, response), one(p * 2 + 1, p * 10 + 25, "revisit", F.lit(304), revisit))
     return pages.select(F.explode(both).alias("r")).select("r.*")
