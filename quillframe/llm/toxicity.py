@@ -4,11 +4,11 @@ Confirmed toxic texts and unlabelled text train a logistic model on the presence
 and words. The risk is estimated without negatives: with class prior p, positives as a positive class
 weigh p, and the negative class is unlabelled text minus p times positives, a term that may not fall below
 zero; where it does, a step undoes it instead (non-negative estimator). Feature scales are the log ratios
-of counts under the same correction.
+of counts under the same correction, and the counts on the unlabelled side are those of all unlabelled text.
 
-The fit sees at most ``MOST_POSITIVE`` confirmed and about ``MOST_UNLABELLED`` unlabelled texts, chosen by
-a hash of doc_id; the prior is the share of toxic ones among all labelled rows that may be learned from.
-What reaches the driver is bounded by these and by the ``2**BITS`` features. Scoring reads every text
+The gradient steps see at most ``MOST_POSITIVE`` confirmed and about ``MOST_UNLABELLED`` unlabelled texts,
+chosen by a hash of doc_id; the prior is the share of toxic ones among all labelled rows that may be learned
+from. What reaches the driver is bounded by these and by the ``2**BITS`` features. Scoring reads every text
 whole, with the chosen weights as a closure of at most ``MOST_FEATURES`` numbers.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone. Rows with
@@ -109,18 +109,26 @@ def present(texts: pa.Array, chosen: np.ndarray | None = None) -> tuple[np.ndarr
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the partition's texts with each feature, the confirmed and the unlabelled ones."""
-    counts = np.zeros((2, 1 << BITS), dtype=np.int64)
-    for part in common.slices(batches, "text"):
-        owner, feature = present(part.column(0))
-        for k in range(2):
-            flag = part.column(k + 1).to_numpy(zero_copy_only=False).astype(bool)
-            counts[k] += np.bincount(feature[flag[owner]], minlength=1 << BITS)
-    seen = np.flatnonzero(counts.any(axis=0))
-    for at in range(0, len(seen), 1 << 16):
-        some = seen[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0][some]), pa.array(counts[1][some])], names=["feature", "p", "u"])
+def _counted(marked: np.ndarray | None) -> callable:
+    """How many of the partition's texts have each feature; only those whose bit is set in ``marked``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = None if marked is None else np.unpackbits(marked).astype(bool)
+        counts = np.zeros(1 << BITS, dtype=np.int64)
+        for part in common.slices(batches, "text"):
+            counts += np.bincount(present(part.column(0), mark)[1], minlength=1 << BITS)
+        seen = np.flatnonzero(counts)
+        for at in range(0, len(seen), 1 << 16):
+            some = seen[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["feature", "n"])
+
+    return run
+
+
+def feature_counts(texts: DataFrame, marked: np.ndarray | None = None) -> DataFrame:
+    """feature and n: the number of all texts that have it."""
+    common.small_batches(texts)
+    return texts.select("text").mapInArrow(_counted(marked), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _chosen_only(chosen: np.ndarray) -> callable:
@@ -156,20 +164,27 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(z / 2))
 
 
+def risk(theta: np.ndarray, positive: Sparse, unlabelled: Sparse, prior: float) -> tuple[float, float, np.ndarray]:
+    """Logistic risk of positives as positives, corrected risk of the negatives, and the direction of the step.
+
+    theta: weights, and the bias at the end. The direction is the gradient of both parts' sum; where the second
+    is below zero, that of its negative alone.
+    """
+    join = lambda x, g: np.append(x.back(g), g.sum()) / max(1, x.n)
+    zp, zu = (x.dot(theta[:-1]) + theta[-1] for x in (positive, unlabelled))
+    as_positive = prior * np.logaddexp(0, -zp).mean()
+    as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    toward = join(unlabelled, _sigmoid(zu)) - prior * join(positive, _sigmoid(zp))
+    return as_positive, as_negative, -toward if as_negative < 0 else prior * join(positive, _sigmoid(zp) - 1) + toward
+
+
 def fit(positive: Sparse, unlabelled: Sparse, prior: float) -> tuple[np.ndarray, float]:
     """Weights and bias that make the non-negative risk small, by full-batch Adam steps."""
     theta = np.zeros(len(positive.scale) + 1)
     theta[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros((2, len(theta)))
-    join = lambda x, g: np.append(x.back(g), g.sum()) / max(1, x.n)
     for step in range(1, STEPS + 1):
-        zp, zu = (x.dot(theta[:-1]) + theta[-1] for x in (positive, unlabelled))
-        as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        toward = join(unlabelled, _sigmoid(zu)) - prior * join(positive, _sigmoid(zp))
-        if as_negative >= 0:
-            gradient = prior * join(positive, _sigmoid(zp) - 1) + toward
-        else:
-            gradient = -toward
+        gradient = risk(theta, positive, unlabelled, prior)[2]
         gradient[:-1] += DECAY * theta[:-1]
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -192,14 +207,8 @@ def trained(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     n_p, n_u = sample.agg(*(F.sum(F.col(c).cast("long")) for c in ("is_positive", "is_unlabelled"))).first()
     if not n_p or not n_u:
         return None
-    counted = sample.mapInArrow(_counted, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= LEAST_COUNT)
-    share_p, share_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
-    share_n = F.greatest(share_u - prior * share_p, F.lit(0.0)) / (1 - prior) + 0.5 / (n_u + 1)
-    pooled = (F.col("p") + F.col("u")) / (n_p + n_u)
-    gain = F.abs(share_p - share_u) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)))
-    best = counted.select("feature", F.log(share_p / share_n).alias("ratio"), gain.alias("gain")).where("ratio > 0 AND gain > 0").orderBy(F.desc("gain"), "feature").limit(MOST_FEATURES).collect()
-    best.sort(key=lambda r: r["feature"])
-    chosen, ratio = np.array([r["feature"] for r in best], dtype=np.int64), np.array([r["ratio"] for r in best])
+    pool = docs.where(~held_out(F.col("doc_id")))
+    chosen, ratio = _features(sample.where("is_positive"), n_p, pool, pool.count(), prior)
     if not len(chosen):
         return chosen, np.zeros(0), float(np.log(prior / (1 - prior)))
     rows = sample.mapInArrow(_chosen_only(chosen), "is_positive boolean, is_unlabelled boolean, features binary").collect()  # the bounded sample
@@ -208,6 +217,30 @@ def trained(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     return chosen, weights * ratio, bias
 
 
+def _features(positive: DataFrame, n_p: int, pool: DataFrame, n_u: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The features by which confirmed texts differ most from all unlabelled ones, and their log ratios.
+
+    What confirmed texts have at all is counted first, so that only those features are counted in the whole pool;
+    both tables have at most 2**BITS rows.
+    """
+    found = feature_counts(positive).where(F.col("n") >= LEAST_COUNT).collect()
+    p, u, mark = (np.zeros(1 << BITS, dtype=t) for t in (np.int64, np.int64, bool))
+    for r in found:
+        p[r["feature"]], mark[r["feature"]] = r["n"], True
+    if found:
+        for r in feature_counts(pool, np.packbits(mark)).collect():
+            u[r["feature"]] = r["n"]
+    some = np.flatnonzero(mark)
+    share_p, share_u = (p[some] + 0.5) / (n_p + 1), (u[some] + 0.5) / (n_u + 1)
+    share_n = np.maximum(share_u - prior * share_p, 0) / (1 - prior) + 0.5 / (n_u + 1)
+    pooled = (n_p * share_p + n_u * share_u) / (n_p + n_u)
+    gain = (share_p - share_u) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9))
+    ratio = np.log(share_p / share_n)
+    best = np.flatnonzero((ratio > 0) & (gain > 0))
+    best = np.sort(best[np.lexsort((some[best], -gain[best]))[:MOST_FEATURES]])
+    return some[best], ratio[best]
+
+
 def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, *keep: str) -> DataFrame:
     """The columns ``keep`` of each row with __score (0 to 1)."""
 

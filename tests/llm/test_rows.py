@@ -1,9 +1,11 @@
 """Operators that judge row by row: quality, personal data, encoding, toxicity."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -182,6 +184,44 @@ def test_toxicity_learns_from_its_folds(spark):
     assert {r["doc_id"]: round(r["__score"], 9) for r in again} == {r["doc_id"]: round(r["__score"], 9) for r in found}
 
 
+def test_risk_against_plain_loops():
+    """The corrected risk by a loop over rows, and the step's direction by finite differences of it."""
+    rng = np.random.default_rng(5)
+    some = [np.sort(rng.choice(6, int(rng.integers(0, 5)), replace=False)).astype("<u2") for _ in range(30)]
+    scale = rng.uniform(0.5, 2, 6)
+    positive, unlabelled = (toxicity.Sparse([r.tobytes() for r in rows], scale) for rows in (some[:9], some[9:]))
+    soft = lambda z: math.log1p(math.exp(-abs(z))) + max(z, 0)
+    score = lambda row, theta: sum(theta[j] * scale[j] for j in row.tolist()) + theta[-1]
+
+    def plain(theta, prior):
+        as_positive = prior * sum(soft(-score(r, theta)) for r in some[:9]) / 9
+        as_negative = sum(soft(score(r, theta)) for r in some[9:]) / 21 - prior * sum(soft(score(r, theta)) for r in some[:9]) / 9
+        return as_positive, as_negative
+
+    signs = set()
+    for prior, shift in ((0.2, 0.0), (0.5, -1.0), (0.9, 3.0), (0.95, 2.0)):
+        theta = rng.normal(size=7) * (2 if shift else 0.3)
+        theta[-1] += shift
+        a, b, step = toxicity.risk(theta, positive, unlabelled, prior)
+        assert np.allclose((a, b), plain(theta, prior))
+        signs.add(b < 0)
+        objective = lambda t, p=prior, below=b < 0: -plain(t, p)[1] if below else sum(plain(t, p))
+        slope = [(objective(theta + e) - objective(theta - e)) / 2e-5 for e in np.eye(7) * 1e-5]
+        assert np.allclose(step, slope, atol=1e-5)
+    assert signs == {True, False}
+
+
+def test_feature_counts_cover_all_text(spark):
+    texts = [helpers.prose(k) for k in range(40)] + [None, ""]
+    got = {r["feature"]: r["n"] for r in toxicity.feature_counts(helpers.docs(spark, *texts)).collect()}
+    want = Counter(f for t in texts for f in set(toxicity.features(pa.array([t], pa.string()))[0].tolist()))
+    assert got == want
+    some = sorted(want)[::7]
+    mark = np.zeros(1 << toxicity.BITS, dtype=bool)
+    mark[some] = True
+    assert {r["feature"]: r["n"] for r in toxicity.feature_counts(helpers.docs(spark, *texts), np.packbits(mark)).collect()} == {f: want[f] for f in some}
+
+
 def test_toxicity_edges(spark):
     rows, labels = toxic_corpus(spark)
     model = toxicity.trained(rows, labels.union(spark.createDataFrame([(None, 1), (1, None), (0, 0)], labels.schema)))
