@@ -11,19 +11,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.sources.shared import checkpointed, removed, stage_folder  # noqa: F401
+from quillframe.sources.tables import share_package
 
 BATCH_ROWS = 2000
+BATCH_BYTES = 16 << 20
 #: Bytes that the regular expression class [\x20\x09-\x0D] matches.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def small_batches(frame: DataFrame) -> DataFrame:
-    """``frame``, in a session whose Arrow batches hold BATCH_ROWS rows at most: texts are long, and a batch is held whole."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    conf = frame.sparkSession.conf
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """``frame``, in a session whose Arrow batches hold BATCH_ROWS rows and about BATCH_BYTES at most.
+
+    Texts are long, and a batch is held whole. The session keeps the lower limits; any result is the same with others.
+    """
+    spark = frame.sparkSession
+    share_package(spark)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     return frame
 
 

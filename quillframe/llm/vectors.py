@@ -1,13 +1,14 @@
 """Exact top-k search by vector-approximation blocks.
 
-Vectors become integers and are stored in blocks with their approximation: per dimension one of
-``CELLS`` equal cells between the block's least and largest value. A scan of the cells bounds every
-inner product from both sides; exact vectors are then read in order of their bound until the k-th
-result is certain, that is until no unread vector's bound reaches it.
+Vectors become integers and are stored in blocks of bounded size with their approximation: per dimension one of
+``CELLS`` equal cells between the block's least and largest value, a byte each. A scan of the cells bounds every
+inner product from both sides; exact vectors, in the narrowest integers that hold the block, are then read in
+order of their bound until the k-th result is certain, that is until no unread vector's bound reaches it.
 
-Queries go in blocks of bounded size. Each block of queries meets each group of candidate blocks once:
-queries are copied to the groups, candidate blocks to the query blocks, and a task streams its candidate
-blocks past one block of queries, keeping k results per query. Those are merged by query.
+Queries go in blocks of at most ``QUERY_BYTES``. Each block of queries meets each group of candidate blocks
+once: queries are copied to the groups, candidate blocks to the query blocks, and a task streams its candidate
+blocks past one block of queries, keeping k results per query, whatever many candidates are equal or nearly so.
+Those are merged by query. What is copied is candidates times query blocks, so these are as large as a task can hold.
 
 Defined results: a null vector, one with a null or non-finite component, and a row without id take no
 part; components are clipped to 62 bits and scores to 64. Vectors of different length are not compared.
@@ -28,7 +29,8 @@ from quillframe.llm import common
 
 CELLS = 256
 BLOCK = 1024
-QUERIES_AT_ONCE = 2048
+BLOCK_BYTES = 4 << 20
+QUERY_BYTES = 16 << 20
 _LARGEST = 2**62
 _BLOCK_SCHEMA = "dim int, n int, ids binary, cells binary, low binary, step binary, exact binary"
 _FOUND = "query_id long, query_key long, vec_id long, score long"
@@ -48,22 +50,29 @@ def _block(dim: int, ids: np.ndarray, exact: np.ndarray) -> list:
     low, high = exact.min(axis=0).astype(np.float64), exact.max(axis=0).astype(np.float64)
     step = np.maximum((high - low) / CELLS, 1e-9)
     cells = np.minimum((exact - low) / step, CELLS - 1).astype(np.uint8)
-    return [dim, len(ids), ids.tobytes(), cells.tobytes(), low.tobytes(), step.tobytes(), exact.tobytes()]
+    return [dim, len(ids), ids.tobytes(), cells.tobytes(), low.tobytes(), step.tobytes(), exact.astype(_narrowest(exact)).tobytes()]
+
+
+def _narrowest(exact: np.ndarray) -> np.dtype:
+    """The smallest signed integers that hold all of ``exact``."""
+    return np.promote_types(np.min_scalar_type(min(int(exact.min(initial=0)), -1)), np.min_scalar_type(min(-1, ~int(exact.max(initial=0)))))
 
 
 def _blocked(size: int) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list] = {}
+        rows_of = lambda dim: max(1, min(size, BLOCK_BYTES // max(1, 8 * dim)))
 
         def emit(rows: list) -> pa.RecordBatch:
             types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[x.split()[0] for x in _BLOCK_SCHEMA.split(", ")])
 
-        def full(dim: int, least: int) -> Iterator[pa.RecordBatch]:
+        def full(dim: int, least: int | None = None) -> Iterator[pa.RecordBatch]:
             ids, exact = (np.concatenate(x) for x in zip(*waiting.pop(dim)))
-            while len(ids) >= least and len(ids):
-                yield emit([_block(dim, ids[:size], exact[:size])])
-                ids, exact = ids[size:], exact[size:]
+            n = rows_of(dim)
+            while len(ids) >= (n if least is None else least) and len(ids):
+                yield emit([_block(dim, ids[:n], exact[:n])])
+                ids, exact = ids[n:], exact[n:]
             if len(ids):
                 waiting[dim] = [(ids, exact)]
 
@@ -75,8 +84,8 @@ def _blocked(size: int) -> callable:
             for dim in np.unique(n).tolist():
                 at = np.flatnonzero(n == dim)
                 waiting.setdefault(dim, []).append((ids[at], flat[first[at][:, None] + np.arange(dim)].reshape(len(at), dim)))
-                if sum(len(x[0]) for x in waiting[dim]) >= size:
-                    yield from full(dim, size)
+                if sum(len(x[0]) for x in waiting[dim]) >= rows_of(dim):
+                    yield from full(dim)
         for dim in list(waiting):
             yield from full(dim, 1)
 
@@ -96,7 +105,8 @@ class _Queries:
         near = self.float @ middle.T
         scale = self.size @ np.abs(middle).max(axis=0)
         off = self.size @ step / 2 + scale * 1e-12 + 1  # cells, rounding of these sums
-        large = float(np.abs(exact).max()) * self.size.max() * self.dim >= 2.0**53 if exact.size and self.size.size else False
+        most = max(abs(int(exact.min(initial=0))), abs(int(exact.max(initial=0))))
+        large = float(most) * float(self.size.max(initial=0)) * self.dim >= 2.0**53
         for q in range(len(self.ids)):
             upper = np.clip(near[q] + off[q], -(2.0**63), 2.0**63)  # as scores are
             others = np.flatnonzero(ids != self.ids[q])  # the query's own rows, however many, bound nothing
@@ -115,7 +125,7 @@ class _Queries:
                     mine = [int(x) for x in self.v[q]]
                     scores = [max(-(2**63), min(2**63 - 1, sum(a * int(b) for a, b in zip(mine, exact[i])))) for i in some]
                 else:
-                    scores = (exact[some] @ self.v[q]).tolist()
+                    scores = (exact[some].astype(np.int64) @ self.v[q]).tolist()
                 found = [(-s, i) for s, i in zip(scores, ids[some].tolist())]
                 self.best[q] = sorted(self.best[q] + found)[: self.k]
 
@@ -128,7 +138,8 @@ def _met(k: int) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, open_key = None, None
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]  # one block at a time as Python bytes
                 dim, key = row["dim"], (row["dim"], row["side"], row["group"])
                 view = lambda name, kind, row=row: np.frombuffer(row[name], dtype=kind)
                 shaped = lambda name, kind, row=row, dim=dim: view(name, kind).reshape(row["n"], dim)
@@ -139,7 +150,8 @@ def _met(k: int) -> callable:
                 if row["is_query"]:
                     queries = _Queries(dim, view("ids", np.int64), view("cells", np.int64), shaped("exact", np.int64), k)
                 elif queries is not None:
-                    queries.scan(view("ids", np.int64), shaped("cells", np.uint8), view("low", np.float64), view("step", np.float64), shaped("exact", np.int64))
+                    width = len(row["exact"]) // max(1, row["n"] * dim)
+                    queries.scan(view("ids", np.int64), shaped("cells", np.uint8), view("low", np.float64), view("step", np.float64), shaped("exact", f"<i{width or 8}"))
         if queries is not None:
             yield queries.rows()
 
@@ -159,12 +171,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
 
     Both have vec_id and embedding.
     """
-    spark = candidates.sparkSession
+    spark = common.small_batches(candidates).sparkSession
     groups = common.partitions_for(spark)
     blocks = common.checkpointed(integers(candidates).mapInArrow(_blocked(BLOCK), _BLOCK_SCHEMA))
     asked = integers(queries).select("vec_id", "v", F.xxhash64("v").alias("key"), F.size("v").alias("dim")).dropDuplicates(["vec_id", "key"])
-    n = asked.count()
-    sides = max(1, -(-n // QUERIES_AT_ONCE) * 2)  # by hash: about half full, so that each stays small
+    size = asked.agg(F.coalesce(F.sum(F.lit(8) * (F.col("dim") + 2)), F.lit(0))).first()[0]
+    sides = max(1, -(-size // QUERY_BYTES) * 2)  # by hash: about half full, so that each stays small
     dealt = asked.withColumn("side", F.pmod(F.xxhash64("vec_id", "key"), F.lit(sides))).groupBy("dim", "side").agg(F.collect_list(F.struct("vec_id", "key", "v")).alias("rows"))
     asked_blocks = common.checkpointed(dealt.mapInArrow(_query_blocks, "dim int, side long, n int, ids binary, cells binary, exact binary"))
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
