@@ -83,6 +83,12 @@ def exact_ids(values: pa.Array) -> np.ndarray:
     return values.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values. For large arrays of integers a plain sort is far faster than numpy's own function, which hashes."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit finalizer of a published generator (splitmix64), by element."""
     with np.errstate(over="ignore"):

@@ -105,7 +105,7 @@ def present(texts: pa.Array, chosen: np.ndarray | None = None) -> tuple[np.ndarr
     if chosen is not None:
         some = chosen[feature]
         feature, owner = feature[some], owner[some]
-    pair = np.unique((owner.astype(np.int64) << BITS) | feature)
+    pair = common.distinct((owner.astype(np.int64) << BITS) | feature)
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
