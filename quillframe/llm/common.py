@@ -15,6 +15,7 @@ from quillframe.sources.tables import share_package
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
+HOT_ROWS = 5000
 #: Bytes that the regular expression class [\x20\x09-\x0D] matches.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -39,6 +40,22 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hot_limit(spark: SparkSession, n_rows: int) -> int:
+    """Rows of one key from which it is hot: a quarter of a partition's mean. At most four keys a partition are."""
+    return max(HOT_ROWS, -(-n_rows // (4 * partitions_for(spark))))
+
+
+def joined_to_hot(rows: DataFrame, one: DataFrame, key: str, weight: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``one``, which has a row per ``key`` and in ``weight`` how many of the ``n_rows`` rows have it.
+
+    The few hot keys are looked up where their rows are; all others meet in an exchange.
+    """
+    hot = F.col(weight) > hot_limit(rows.sparkSession, n_rows)
+    few = F.broadcast(one.where(hot))  # at most four rows a partition
+    rest = rows.join(F.broadcast(one.where(hot).select(key)), key, "left_anti")
+    return rows.join(few, key).unionByName(rest.join(one.where(~hot), key, how), allowMissingColumns=True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes; a longer text is a run of its own."""
     for batch in batches:

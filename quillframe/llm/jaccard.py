@@ -9,10 +9,12 @@ components the groups in which pairs are then verified: there all pairs of a gro
 and the survivors' shingle sets are intersected exactly. Verified links are counted per representative
 and, again as spanning forests, give the classes.
 
-Buckets and groups of any size are cut into blocks of at most about ``BLOCK`` rows; each pair of blocks is
-a task of its own. No pairs are written: a task gives counts and at most one edge per row. Bands of
-``ROWS`` values miss a pair of similarity 0.8 with probability 5e-5 (less above), and the comparison
-within groups finds most of those.
+Buckets and groups of any size are cut into blocks; each pair of blocks is a task of its own. A block has about
+``BLOCK`` rows, more where that would make over ``BLOCKS`` of them, since each row is copied once per block, and
+at most ``MOST_ROWS`` rows or ``MOST_BYTES`` of shingles. No pairs are written: a task compares ``BLOCK`` by
+``BLOCK`` rows at a time and gives counts and at most one edge per row. While candidates are looked for, a task
+ends once its rows are connected. Bands of ``ROWS`` values miss a pair of similarity 0.8 with probability 5e-5
+(less above), and the comparison within groups finds most of those.
 
 Defined results: a text without words (null, empty, white space) has no shingles, no links and a class of
 its own. class_id is the least doc_id of the class; a null doc_id is never the least while there is
@@ -38,6 +40,9 @@ VALUES = BANDS * ROWS
 CHUNK = 25
 TOLERANCE = 1e-6
 BLOCK = 256
+BLOCKS = 64
+MOST_ROWS = 16384
+MOST_BYTES = 32 << 20
 _FACTORS = (common.mixed(np.arange(VALUES), 11) | np.uint64(1)).astype(np.uint64)
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -140,10 +145,11 @@ def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 *columns,
                 spread({i: prints[k] for i, k in where.items()}, pa.binary()),
+                pa.array(np.diff(bounds)),
                 spread({i: low[k].tobytes() for i, k in where.items()}, pa.binary()),
                 spread({i: bands[k].astype(np.int64).tolist() for i, k in where.items()}, pa.list_(pa.int64())),
             ],
-            names=[*names, "f", "sig", "bands"],
+            names=[*names, "f", "n_shingles", "sig", "bands"],
         )
 
 
@@ -152,6 +158,7 @@ class Forest:
 
     def __init__(self, n: int):
         self.parent = list(range(n))
+        self.trees = n
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -164,6 +171,7 @@ class Forest:
         if a == b:
             return False
         self.parent[max(a, b)] = min(a, b)
+        self.trees -= 1
         return True
 
 
@@ -210,19 +218,33 @@ def _sides(run: list[dict]) -> tuple[list[dict], list[dict], bool]:
 _TASK = ("key", "i", "j")
 
 
+def _matrix(rows: list[dict]) -> np.ndarray:
+    return np.frombuffer(b"".join(r["sig"] for r in rows), dtype="<u2").reshape(len(rows), VALUES)
+
+
+def _likely_pairs(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`likely` of two sides of any size, a square of BLOCK by BLOCK rows at a time."""
+    for a in range(0, len(left), BLOCK):
+        for b in range(a if same else 0, len(right), BLOCK):
+            i, j = likely(left[a : a + BLOCK], right[b : b + BLOCK], same and a == b)
+            if len(i):
+                yield i + a, j + b
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the likely pairs of each task."""
     for run in _grouped(batches, _TASK):
         left, right, same = _sides(run)
         if not left or not right:
             continue
-        matrix = lambda rows: np.frombuffer(b"".join(r["sig"] for r in rows), dtype="<u2").reshape(len(rows), VALUES)
-        i, j = likely(matrix(left), matrix(right), same)
         names = [r["f"] for r in left] + ([] if same else [r["f"] for r in right])
         forest, out = Forest(len(names)), []
-        for a, b in zip(i.tolist(), (j if same else j + len(left)).tolist()):
-            if forest.join(a, b):
-                out.append((names[a], names[b]))
+        for i, j in _likely_pairs(_matrix(left), _matrix(right), same):
+            for a, b in zip(i.tolist(), (j if same else j + len(left)).tolist()):
+                if forest.join(a, b):
+                    out.append((names[a], names[b]))
+            if forest.trees == 1:
+                break
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.binary()) for x in zip(*out)], names=["a", "b"])
 
@@ -244,40 +266,38 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, same = _sides(run)
         if not left or not right:
             continue
-        matrix = lambda rows: np.frombuffer(b"".join(r["sig"] for r in rows), dtype="<u2").reshape(len(rows), VALUES)
-        i, j = likely(matrix(left), matrix(right), same)
-        if not len(i):
-            continue
-        rows, columns = np.unique(i), np.unique(j)
-        sets = lambda side, some: [np.frombuffer(side[k]["shingles"], dtype="<u8") for k in some.tolist()]
-        a, b = sets(left, rows), sets(right, columns)
-        common_n = intersections(a, b)[np.searchsorted(rows, i), np.searchsorted(columns, j)]
-        size = lambda x: np.array([len(s) for s in x])
-        union = size(a)[np.searchsorted(rows, i)] + size(b)[np.searchsorted(columns, j)] - common_n
-        linked = 10 * common_n >= round(10 * THRESHOLD) * union
-        i, j = i[linked], j[linked]
-        if not len(i):
-            continue
         weight = lambda side: np.array([r["n_copies"] for r in side], dtype=np.int64)
         names = [r["f"] for r in left] + ([] if same else [r["f"] for r in right])
-        links = np.zeros(len(names), dtype=np.int64)
-        other = j if same else j + len(left)
-        np.add.at(links, i, weight(right)[j])
-        np.add.at(links, other, weight(left)[i])
+        links, w_left, w_right = np.zeros(len(names), dtype=np.int64), weight(left), weight(right)
         forest, out = Forest(len(names)), []
-        for x, y in zip(i.tolist(), other.tolist()):
-            if forest.join(x, y):
-                out.append((names[x], names[y], None))
+        for i, j in _likely_pairs(_matrix(left), _matrix(right), same):
+            rows, columns = np.unique(i), np.unique(j)
+            sets = lambda side, some: [np.frombuffer(side[k]["shingles"], dtype="<u8") for k in some.tolist()]
+            a, b = sets(left, rows), sets(right, columns)
+            common_n = intersections(a, b)[np.searchsorted(rows, i), np.searchsorted(columns, j)]
+            size = lambda x: np.array([len(s) for s in x])
+            union = size(a)[np.searchsorted(rows, i)] + size(b)[np.searchsorted(columns, j)] - common_n
+            linked = 10 * common_n >= round(10 * THRESHOLD) * union
+            i, j = i[linked], j[linked]
+            other = j if same else j + len(left)
+            np.add.at(links, i, w_right[j])
+            np.add.at(links, other, w_left[i])
+            if forest.trees > 1:
+                for x, y in zip(i.tolist(), other.tolist()):
+                    if forest.join(x, y):
+                        out.append((names[x], names[y], None))
         out += [(names[k], None, int(links[k])) for k in np.flatnonzero(links).tolist()]
+        if not out:
+            continue
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.int64()))], names=["f", "other", "links"])
 
 
-def _tasks(rows: DataFrame, size: Column) -> DataFrame:
-    """Rows with ``key`` dealt to the pairs of blocks of their key; ``size`` counts the rows of a key."""
-    blocks = F.ceil(size / BLOCK).cast("int")
+def _tasks(rows: DataFrame, size: Column, held: Column | None = None) -> DataFrame:
+    """Rows with ``key`` dealt to the pairs of blocks of their key; ``size`` counts the rows of a key, ``held`` their bytes."""
+    blocks = F.greatest(F.least(F.ceil(size / BLOCK), F.lit(BLOCKS)), F.ceil(size / MOST_ROWS), F.ceil((F.lit(0) if held is None else held) / MOST_BYTES)).cast("int")
     own = F.pmod(F.xxhash64("f"), blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    paired = dealt.withColumn("i", F.least("own", "other_block")).withColumn("j", F.greatest("own", "other_block")).drop("other_block", "size")
+    paired = dealt.withColumn("i", F.least("own", "other_block")).withColumn("j", F.greatest("own", "other_block")).drop("other_block", "size", "held")
     n = common.partitions_for(rows.sparkSession)
     return paired.repartition(n, *_TASK).sortWithinPartitions(*_TASK)
 
@@ -297,28 +317,32 @@ def classes(docs: DataFrame) -> DataFrame:
     included; label is null for a text without words.
     """
     common.small_batches(docs)
-    rows = common.checkpointed(docs.select(*_identity(docs), F.col("text").alias("__text")).mapInArrow(_profiled, "d long, no_id boolean, t long, f binary, sig binary, bands array<long>"))
+    rows = common.checkpointed(docs.select(*_identity(docs), F.col("text").alias("__text")).mapInArrow(_profiled, "d long, no_id boolean, t long, f binary, n_shingles long, sig binary, bands array<long>"))
+    n_rows = rows.count()
     least = F.min(F.struct("no_id", "d", "t"))
-    one = rows.where("f IS NOT NULL").groupBy("f").agg(F.count("*").alias("n_copies"), least.alias("least"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    one = common.checkpointed(one.select("f", "n_copies", F.col("least.no_id").alias("no_id"), F.col("least.d").alias("d"), F.col("least.t").alias("t"), "sig", "bands"))
+    one = rows.where("f IS NOT NULL").groupBy("f").agg(F.count("*").alias("n_copies"), least.alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    one = common.checkpointed(one.select("f", "n_copies", "n_shingles", F.col("least.no_id").alias("no_id"), F.col("least.d").alias("d"), F.col("least.t").alias("t"), "sig", "bands"))
+    n_one = one.count()
     keyed = one.select("f", F.explode("bands").alias("key"))
     full = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = keyed.join(full, "key").join(one.select("f", "sig"), "f")
+    members = common.joined_to_hot(keyed, full, "key", "size", BANDS * n_one).join(one.select("f", "sig"), "f")
     near = components.labelled(_tasks(members, F.col("size")).mapInArrow(_edges, "a binary, b binary"))
 
-    grouped = common.checkpointed(near.select(F.col("node").alias("f"), F.col("label").alias("key")).join(one.select("f", "n_copies", *IDENTITY, "sig"), "f"))
-    size = grouped.groupBy("key").agg(F.count("*").alias("size"))
+    grouped = common.checkpointed(near.select(F.col("node").alias("f"), F.col("label").alias("key")).join(one.select("f", "n_copies", "n_shingles", *IDENTITY, "sig"), "f"))
+    size = grouped.groupBy("key").agg(F.count("*").alias("size"), (F.lit(8) * F.sum("n_shingles")).alias("held"))
     texts = docs.select(*_identity(docs), F.col("text").alias("__text"))
-    held = texts.join(grouped.join(size, "key"), IDENTITY).select("key", "size", "f", "n_copies", "sig", "__text")
-    sets = held.mapInArrow(_with_sets, "key binary, size long, f binary, n_copies long, sig binary, shingles binary")
-    found = common.checkpointed(_tasks(sets, F.col("size")).mapInArrow(_verified, "f binary, other binary, links long"))
+    sized = common.joined_to_hot(grouped, size, "key", "size", n_one)
+    wanted = texts.join(sized, IDENTITY).select("key", "size", "held", "f", "n_copies", "sig", "__text")
+    sets = wanted.mapInArrow(_with_sets, "key binary, size long, held long, f binary, n_copies long, sig binary, shingles binary")
+    found = common.checkpointed(_tasks(sets, F.col("size"), F.col("held")).mapInArrow(_verified, "f binary, other binary, links long"))
     label = components.labelled(found.where("other IS NOT NULL").select(F.col("f").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "f"})
     links = found.where("links IS NOT NULL").groupBy("f").agg(F.sum("links").alias("links"))
     own = F.when(~F.col("no_id"), F.col("d"))
     each = one.select("f", "n_copies", own.alias("copy_id")).join(label, "f", "left").join(links, "f", "left")
-    each = common.checkpointed(each.select("f", F.coalesce("label", "f").alias("label"), "copy_id", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links")))
-    by_print = each.join(each.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label")
-    out = rows.select(*IDENTITY, "f").join(by_print, "f", "left")
+    each = common.checkpointed(each.select("f", F.coalesce("label", "f").alias("label"), "n_copies", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links")))
+    class_of = each.groupBy("label").agg(F.min("copy_id").alias("class_id"), F.count("*").alias("n_texts"))
+    by_print = common.checkpointed(common.joined_to_hot(each, class_of, "label", "n_texts", n_one))
+    out = common.joined_to_hot(rows.select(*IDENTITY, "f"), by_print, "f", "n_copies", n_rows, "left")
     alone = F.col("f").isNull()
     return out.select(*IDENTITY, "label", *(F.when(alone, own).otherwise(F.col(c)).alias(c) for c in ("class_id", "copy_id")), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

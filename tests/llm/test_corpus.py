@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from quillframe.llm import components, html, jaccard, lines, packing, queries, vectors, warc
+from quillframe.llm import common, components, html, jaccard, lines, packing, queries, vectors, warc
 from tests.llm import helpers
 
 
@@ -97,9 +97,11 @@ def brute_links(rows):
     return sorted(((d, name(i), links[i]) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("block", [4, 256])
-def test_jaccard_join(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,blocks,hot", [(4, 64, 5000), (4, 2, 1), (256, 64, 5000)])
+def test_jaccard_join(spark, monkeypatch, block, blocks, hot):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCKS", blocks)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     rows = helpers.corpus(spark).union(helpers.awkward(spark))
     found = jaccard.classes(helpers.clashing(rows, "f", "sig", "key")).collect()
     got = sorted(((None if r["no_id"] else r["d"], r["class_id"], r["n_links"]) for r in found), key=str)
@@ -129,7 +131,9 @@ def test_jaccard_stage(spark):
     assert jaccard.classes(helpers.empty(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [1, 5000])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (7, 7)]
     found = components.labelled(spark.createDataFrame(chain, "a int, b int"))
     assert sorted((r["node"], r["label"]) for r in found.collect()) == sorted([(k, 0) for k in range(41)] + [(100, 100), (101, 100), (102, 100)])
