@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import jaccard, lines, packing, pii, quality, queries
+from quillframe.llm import common, jaccard, lines, packing, pii, quality, queries
 from quillframe.sources.tables import table
 
 
@@ -51,11 +48,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over ``documents``, each but the last written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quillframe-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """The stages one after another over ``documents``, each but the last written to the shared folder and read again.
+
+    A stage's table goes once the next one is written; that of the last but one stays, as the result reads it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    folder = common.stage_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}_{name}")
-        docs = spark.read.parquet(f"{folder}/{k}_{name}")
+        here = f"{folder}/{k}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(here)
+        docs = spark.read.parquet(here)
+        if before is not None:
+            common.removed(spark, before)
+        before = here
     return STAGES[-1][1](spark, docs, sf_dir)
