@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,12 @@ def small_batches(frame: DataFrame) -> DataFrame:
     return frame
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of tables that nothing reads any more: Spark deletes them once the driver's objects are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def partitions_for(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -40,4 +40,5 @@ def labelled(edges: DataFrame) -> DataFrame:
         if state == seen or not state["n"]:
             break
         now, seen = common.checkpointed(_small_star(_large_star(now, state["n"]), state["n"])), state
+    common.freed(now.sparkSession)
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(now.select(F.col("b"), F.col("b")).distinct())

@@ -310,31 +310,45 @@ def _identity(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64(common.text_or_empty()).alias("t")]
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """A row per row of ``docs``: d, no_id, t (its identity), label, class_id, copy_id and n_links.
-
-    copy_id is the least doc_id with the same shingles; n_links counts the other documents linked, copies
-    included; label is null for a text without words.
-    """
-    common.small_batches(docs)
+def _representatives(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A row per row of ``docs`` with its fingerprint; and a row per fingerprint: copies, least identity, signature, bands."""
     rows = common.checkpointed(docs.select(*_identity(docs), F.col("text").alias("__text")).mapInArrow(_profiled, "d long, no_id boolean, t long, f binary, n_shingles long, sig binary, bands array<long>"))
-    n_rows = rows.count()
     least = F.min(F.struct("no_id", "d", "t"))
     one = rows.where("f IS NOT NULL").groupBy("f").agg(F.count("*").alias("n_copies"), least.alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    one = common.checkpointed(one.select("f", "n_copies", "n_shingles", F.col("least.no_id").alias("no_id"), F.col("least.d").alias("d"), F.col("least.t").alias("t"), "sig", "bands"))
-    n_one = one.count()
+    return rows, common.checkpointed(one.select("f", "n_copies", "n_shingles", F.col("least.no_id").alias("no_id"), F.col("least.d").alias("d"), F.col("least.t").alias("t"), "sig", "bands"))
+
+
+def _groups(one: DataFrame, n: int) -> DataFrame:
+    """f and key: the groups that pairs sharing a band, and not pruned, connect."""
     keyed = one.select("f", F.explode("bands").alias("key"))
     full = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = common.joined_to_hot(keyed, full, "key", "size", BANDS * n_one).join(one.select("f", "sig"), "f")
+    members = common.joined_to_hot(keyed, full, "key", "size", BANDS * n).join(one.select("f", "sig"), "f")
     near = components.labelled(_tasks(members, F.col("size")).mapInArrow(_edges, "a binary, b binary"))
+    return common.checkpointed(near.select(F.col("node").alias("f"), F.col("label").alias("key")).join(one.select("f", "n_copies", "n_shingles", *IDENTITY, "sig"), "f"))
+
 
-    grouped = common.checkpointed(near.select(F.col("node").alias("f"), F.col("label").alias("key")).join(one.select("f", "n_copies", "n_shingles", *IDENTITY, "sig"), "f"))
+def _links(docs: DataFrame, grouped: DataFrame, n: int) -> DataFrame:
+    """Verified links inside groups: (f, other) of a spanning forest, and (f, links)."""
     size = grouped.groupBy("key").agg(F.count("*").alias("size"), (F.lit(8) * F.sum("n_shingles")).alias("held"))
     texts = docs.select(*_identity(docs), F.col("text").alias("__text"))
-    sized = common.joined_to_hot(grouped, size, "key", "size", n_one)
-    wanted = texts.join(sized, IDENTITY).select("key", "size", "held", "f", "n_copies", "sig", "__text")
+    wanted = texts.join(common.joined_to_hot(grouped, size, "key", "size", n), IDENTITY).select("key", "size", "held", "f", "n_copies", "sig", "__text")
     sets = wanted.mapInArrow(_with_sets, "key binary, size long, held long, f binary, n_copies long, sig binary, shingles binary")
     found = common.checkpointed(_tasks(sets, F.col("size"), F.col("held")).mapInArrow(_verified, "f binary, other binary, links long"))
+    del wanted, sets
+    common.freed(docs.sparkSession)
+    return found
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """A row per row of ``docs``: d, no_id, t (its identity), label, class_id, copy_id and n_links.
+
+    copy_id is the least doc_id with the same shingles; n_links counts the other documents linked, copies
+    included; label is null for a text without words.
+    """
+    common.small_batches(docs)
+    rows, one = _representatives(docs)
+    n_rows, n_one = rows.count(), one.count()
+    found = _links(docs, _groups(one, n_one), n_one)
     label = components.labelled(found.where("other IS NOT NULL").select(F.col("f").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "f"})
     links = found.where("links IS NOT NULL").groupBy("f").agg(F.sum("links").alias("links"))
     own = F.when(~F.col("no_id"), F.col("d"))
