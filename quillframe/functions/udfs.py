@@ -1,10 +1,10 @@
-"""Arrow functions for what no built-in expresses: compatibility form, all match positions, option rows, formulas."""
+"""Arrow functions for what no built-in expresses: compatibility form, all match positions, option rows."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
-import xml.etree.ElementTree as ET
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -34,45 +34,36 @@ def regex_spans(pattern: str):
 OPTIONS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("recovered", T.BooleanType())]))
 
 
-def _may_begin(text: str, at: int) -> bool:
-    """Whether a marker may stand here: after no ASCII letter, or after one that stands alone."""
-    letter = lambda c: c.isascii() and c.isalpha()
-    before, two = text[at - 1 : at] if at else "", text[at - 2 : at - 1] if at > 1 else ""
-    return not letter(before) or not (two.isascii() and two.isalnum())
+@lru_cache
+def _markers(chars: str, separators: str) -> re.Pattern:
+    """A label before a separator; not the end of a word, though a letter alone may stand before it."""
+    return re.compile(rf"(?<![A-Za-z0-9][A-Za-z])([{re.escape(chars)}])[{re.escape(separators)}]")
 
 
 def option_row(text: str, chars: str = "ABCDEFGH", separators: str = ".．、:：") -> list[dict]:
-    """The options of a line: markers in alphabet order, each after the one before it.
+    """The options of a line, from all its markers in one pass.
 
-    A marker stands before a separator and not inside a word. Labels before the first found are skipped;
-    the first absence after it ends the row. Text before a first marker that is not the alphabet's first
-    belongs to the label missing before it.
+    The least label that stands there begins; after it every next label of the alphabet counts where it first
+    comes, and one that does not come ends the row. Text before the first marker, if labels are missing before
+    it, is the option of the label just before, whose marker was lost.
     """
-    found: list[tuple[str, int]] = []
-    at = 0
-    for label in chars:
-        place = -1
-        k = text.find(label, at)
-        while k >= 0:
-            after = text[k + 1 : k + 2]
-            if after and after in separators and _may_begin(text, k):
-                place = k
-                break
-            k = text.find(label, k + 1)
-        if place >= 0:
-            found.append((label, place))
-            at = place + 2
-        elif found:
-            break
-    out: list[dict] = []
-    if found and found[0][0] != chars[0]:
-        missing = chars[chars.index(found[0][0]) - 1]
-        head = text[: found[0][1]].strip().removeprefix(missing).lstrip(separators).strip()
+    marks = list(_markers(chars, separators).finditer(text))
+    if not marks:
+        return []
+    due = min(chars.index(m[1]) for m in marks)
+    taken: list[re.Match] = []
+    for m in marks:
+        if due < len(chars) and m[1] == chars[due]:
+            taken.append(m)
+            due += 1
+    first = chars.index(taken[0][1])
+    edges = [m.start() for m in taken] + [len(text)]
+    out = [{"label": m[1], "start": m.start(), "end": end, "text": text[m.end() : end].strip(), "recovered": False} for m, end in zip(taken, edges[1:])]
+    if first:
+        lost = chars[first - 1]
+        head = text[: edges[0]].strip().removeprefix(lost).lstrip(separators).strip()
         if head:
-            out.append({"label": missing, "start": 0, "end": found[0][1], "text": head, "recovered": True})
-    for k, (label, start) in enumerate(found):
-        end = found[k + 1][1] if k + 1 < len(found) else len(text)
-        out.append({"label": label, "start": start, "end": end, "text": text[start + 2 : end].strip(), "recovered": False})
+            out.insert(0, {"label": lost, "start": 0, "end": edges[0], "text": head, "recovered": True})
     return out
 
 
@@ -84,86 +75,3 @@ def split_options(chars: str = "ABCDEFGH", separators: str = ".．、:："):
         return text.map(lambda x: None if x is None else option_row(x, chars, separators))
 
     return options
-
-
-_M = "{http://schemas.openxmlformats.org/officeDocument/2006/math}"
-# Formula signs and their names in LaTeX.
-SIGNS = {"×": r"\times ", "÷": r"\div ", "±": r"\pm ", "≤": r"\le ", "≥": r"\ge ", "≠": r"\ne ", "≈": r"\approx ", "→": r"\to ", "∞": r"\infty ", "α": r"\alpha ", "β": r"\beta ", "γ": r"\gamma ", "δ": r"\delta ", "θ": r"\theta ", "λ": r"\lambda ", "μ": r"\mu ", "π": r"\pi ", "ρ": r"\rho ", "σ": r"\sigma ", "ω": r"\omega ", "Δ": r"\Delta ", "Ω": r"\Omega ", "·": r"\cdot ", "∠": r"\angle ", "⊥": r"\perp ", "∥": r"\parallel "}
-NARY = {"∑": r"\sum", "∫": r"\int", "∏": r"\prod", "∮": r"\oint", "⋃": r"\bigcup", "⋂": r"\bigcap"}
-ACCENTS = {"̂": r"\hat", "̃": r"\tilde", "̄": r"\bar", "̅": r"\overline", "⃗": r"\vec", "̇": r"\dot", "̈": r"\ddot"}
-
-
-def latex(node: ET.Element) -> str:
-    """A formula element as LaTeX; unknown elements give the text of their children."""
-    name = node.tag.removeprefix(_M)
-
-    def part(child: str) -> str:
-        found = node.find(_M + child)
-        return "" if found is None else inner(found)
-
-    def inner(of: ET.Element) -> str:
-        return "".join(latex(x) for x in of)
-
-    def value(path: str, default: str) -> str:
-        found = node.find("/".join(_M + p for p in path.split("/")))
-        return default if found is None else found.get(_M + "val", default)
-
-    match name:
-        case "t":
-            return "".join(SIGNS.get(c, c) for c in node.text or "")
-        case "f":
-            if value("fPr/type", "bar") == "lin":
-                return f"{part('num')}/{part('den')}"
-            return rf"\frac{{{part('num')}}}{{{part('den')}}}"
-        case "sSup":
-            return f"{{{part('e')}}}^{{{part('sup')}}}"
-        case "sSub":
-            return f"{{{part('e')}}}_{{{part('sub')}}}"
-        case "sSubSup":
-            return f"{{{part('e')}}}_{{{part('sub')}}}^{{{part('sup')}}}"
-        case "sPre":
-            return f"{{}}_{{{part('sub')}}}^{{{part('sup')}}}{part('e')}"
-        case "rad":
-            degree = part("deg")
-            return rf"\sqrt[{degree}]{{{part('e')}}}" if degree else rf"\sqrt{{{part('e')}}}"
-        case "nary":
-            sign = NARY.get(value("naryPr/chr", "∫"), value("naryPr/chr", "∫"))
-            low, high = part("sub"), part("sup")
-            return sign + (f"_{{{low}}}" if low else "") + (f"^{{{high}}}" if high else "") + f"{{{part('e')}}}"
-        case "d":
-            left, right, mid = value("dPr/begChr", "("), value("dPr/endChr", ")"), value("dPr/sepChr", "|")
-            shown = lambda c: {"": ".", "{": r"\{", "}": r"\}"}.get(c, c)
-            return rf"\left{shown(left)}" + mid.join(inner(x) for x in node.findall(_M + "e")) + rf"\right{shown(right)}"
-        case "func":
-            return f"{part('fName')}{{{part('e')}}}"
-        case "limLow":
-            return rf"\underset{{{part('lim')}}}{{{part('e')}}}"
-        case "limUpp":
-            return rf"\overset{{{part('lim')}}}{{{part('e')}}}"
-        case "acc":
-            return rf"{ACCENTS.get(value('accPr/chr', chr(0x302)), r'\hat')}{{{part('e')}}}"
-        case "bar":
-            return rf"{r'\underline' if value('barPr/pos', 'bot') == 'bot' else r'\overline'}{{{part('e')}}}"
-        case "groupChr":
-            return rf"{r'\overbrace' if value('groupChrPr/pos', 'bot') == 'top' else r'\underbrace'}{{{part('e')}}}"
-        case "m":
-            rows = [" & ".join(inner(e) for e in r.findall(_M + "e")) for r in node.findall(_M + "mr")]
-            return r"\begin{matrix}" + r" \\ ".join(rows) + r"\end{matrix}"
-        case "eqArr":
-            return r"\begin{aligned}" + r" \\ ".join(inner(e) for e in node.findall(_M + "e")) + r"\end{aligned}"
-        case "box" | "borderBox" | "phant" | "r" | "oMath" | "oMathPara" | "e" | "num" | "den":
-            return inner(node)
-        case _ if name.endswith("Pr"):
-            return ""
-        case _:
-            return inner(node)
-
-
-def omml_latex(source: str) -> str:
-    return latex(ET.fromstring(source))
-
-
-@F.pandas_udf(T.StringType())
-def omml_to_latex(source: pd.Series) -> pd.Series:
-    """Formula markup as LaTeX."""
-    return source.map(lambda x: None if x is None else omml_latex(x))

@@ -12,6 +12,7 @@ import io
 import re
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.udfs import latex
+from quillframe.functions.formulas import formula
+from quillframe.sources.shared import checkpointed
 
 # Namespaces of the file format.
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -124,15 +126,14 @@ class Package:
             return None, None
         return hashlib.sha256(data).hexdigest()[:16], target.rpartition(".")[2].lower()
 
-    def number(self, num_id: str, level: int) -> str | None:
-        """The next shown number of a list level; no other level resets it."""
-        found = self.numbering.get((num_id, level))
-        if found is None:
-            return None
-        kind, template, start = found
+    def number(self, num_id: str, level: int) -> dict[str, str]:
+        """The next number of a list level, as it is shown and how it is to be formatted; no other level resets it.
+
+        Only the level's own place in the template is filled. A level that nobody defined counts from 1.
+        """
+        kind, template, start = self.numbering.get((num_id, level), ("", "", 1))
         n = self.counters[num_id, level] = self.counters.get((num_id, level), start - 1) + 1
-        shown = {"decimal": str(n), "lowerLetter": chr(96 + (n - 1) % 26 + 1), "upperLetter": chr(64 + (n - 1) % 26 + 1), "decimalEnclosedCircle": chr(9311 + n) if n <= 20 else str(n)}.get(kind, str(n))
-        return re.sub(r"%\d", shown, template)
+        return {"shown": (template or "%1.").replace(f"%{level + 1}", str(n)), "index": str(n), "format": kind}
 
 
 def _mark(properties: ET.Element | None, name: str, attribute: str = "val") -> str | None:
@@ -258,7 +259,7 @@ def read_paragraph(p: ET.Element, package: Package) -> Paragraph:
             elif x.tag in (f"{W}pict", f"{W}object"):
                 vml(x)
             elif x.tag in (f"{M}oMath", f"{M}oMathPara"):
-                out.formulas.append(latex(x))
+                out.formulas.append(formula(x))
                 add("".join(t.text or "" for t in x.iter(f"{M}t")), marks)
             elif x.tag in (f"{W}p", f"{W}rPr", f"{W}pPr", f"{W}txbxContent"):
                 continue
@@ -304,11 +305,10 @@ def read(content: bytes, source: str) -> dict[str, list[tuple]]:
         style = _mark(properties, "pStyle")
         number = None if properties is None else properties.find(f"{W}numPr")
         num_id, level = (None, None) if number is None else (_mark(number, "numId"), int(_mark(number, "ilvl") or 0))
-        shown = package.number(num_id, level) if num_id else None
+        shown = package.number(num_id, level) if num_id else {}
         runs = [{k: r[k] for k in ("text", "bold", "italic", "underline", "color", "size", "highlight", "vert", "emphasis", "shading")} for r in got.runs]
         out["blocks"].append((source, len(out["blocks"]) + 1, locator, kind, True, got.text, style, num_id, level, got.fallback_chars, got.unrendered, runs, got.formulas))
-        if shown is not None:
-            layer(locator, "number", None, {"shown": shown})
+        layer(locator, "number", None, {k: v for k, v in shown.items() if v})
         layer(locator, "pPr", None, facts(properties, ("rPr", "sectPr")))
         for k, r in enumerate(p.iter(f"{W}r")):
             layer(locator, "rPr", k, facts(r.find(f"{W}rPr")))
@@ -361,14 +361,47 @@ def files(spark, path: str, volume: str = "v1") -> DataFrame:
     return found.select(F.concat(F.lit("src-"), F.substring(F.sha2("content", 256), 1, 16), F.lit(f"-{volume}")).alias("source_id"), F.sha2("content", 256).alias("file_sha256"), F.lit(volume).alias("volume_key"), "path", "content")
 
 
+def _columns(schema: str) -> list[str]:
+    return re.findall(r"(?:^|, )(\w+) (?=string|long|boolean|int|array)", schema)
+
+
+def _problem(content: bytes, source: str) -> tuple[dict[str, list[tuple]], str | None]:
+    """The rows of a file, or none and why it cannot be read."""
+    try:
+        return read(content, source), None
+    except (zipfile.BadZipFile, KeyError, ET.ParseError, ValueError, zlib.error) as e:
+        return {name: [] for name in SCHEMAS}, f"{type(e).__name__}: {e}"[:200]
+
+
+def parsed(sources: DataFrame) -> DataFrame:
+    """One row per file (source_id, content), read once: its tables as arrays, and problem, null for a readable one."""
+    nested = ", ".join(f"{name} array<struct<{re.sub(r'(^|, )([a-z_]+) ', r'\1\2:', schema)}>>" for name, schema in SCHEMAS.items())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, content in zip(batch["source_id"], batch["content"]):
+                tables, problem = _problem(bytes(content), source)
+                rows = {name: [[dict(zip(_columns(schema), row)) for row in tables[name]]] for name, schema in SCHEMAS.items()}
+                yield pd.DataFrame({"source_id": [source], "problem": [problem], **rows})
+
+    return sources.select("source_id", "content").mapInPandas(run, f"source_id string, problem string, {nested}")
+
+
+def docx_tables(sources: DataFrame) -> dict[str, DataFrame]:
+    """All tables of the files, which are parsed once: blocks, figures, facts, cells, and diagnostics of unreadable files."""
+    whole = checkpointed(parsed(sources))
+    out = {name: whole.select(F.inline(name)) for name in SCHEMAS}
+    out["diagnostics"] = whole.where("problem IS NOT NULL").select("source_id", F.lit("FILE_UNREADABLE").alias("code"), F.col("problem").alias("detail"))
+    return out
+
+
 def docx_table(sources: DataFrame, name: str) -> DataFrame:
-    """One of the tables blocks, figures, facts, cells of all files (source_id, content)."""
+    """One of the tables blocks, figures, facts, cells of all files (source_id, content). An unreadable file has no rows."""
     schema = SCHEMAS[name]
-    columns = re.findall(r"(?:^|, )(\w+) (?=string|long|boolean|int|array)", schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for source, content in zip(batch["source_id"], batch["content"]):
-                yield pd.DataFrame(read(bytes(content), source)[name], columns=columns)
+                yield pd.DataFrame(_problem(bytes(content), source)[0][name], columns=_columns(schema))
 
     return sources.select("source_id", "content").mapInPandas(run, schema)

@@ -87,13 +87,30 @@ def test_blocks(sources):
     assert found["body/tbl[1]"]["is_text_carrier"] is False
     assert found["body/tbl[1]/tr[1]/tc[1]/p[2]"]["raw_text"] == "two"
     assert found["body/p[5]"]["raw_text"] == "achosen" and found["body/p[5]"]["in_fallback_chars"] == 6
-    assert found["body/p[11]"]["formulas"] == ["{r}^{2}"]
+    assert found["body/p[11]"]["formulas"] == ["r^{2}"]
     assert found["body/p[12]/box[1]/p[1]"]["raw_text"] == "inside"
 
 
 def test_numbers_are_not_reset_by_their_parent(sources):
-    shown = docx.docx_table(sources, "facts").where("layer = 'number'").select("locator", "value").collect()
-    assert [v for _, v in sorted((int(r["locator"][7:-1]), r["value"]) for r in shown)] == ["1.", "(a)", "(b)", "2.", "(c)"]
+    shown = docx.docx_table(sources, "facts").where("layer = 'number' AND key = 'shown'").select("locator", "value").collect()
+    assert [v for _, v in sorted((int(r["locator"][7:-1]), r["value"]) for r in shown)] == ["1.", "(1)", "(2)", "2.", "(3)"]
+    formats = docx.docx_table(sources, "facts").where("layer = 'number' AND key = 'format'").groupBy("value").count().collect()
+    assert sorted(map(tuple, formats)) == [("decimal", 2), ("lowerLetter", 3)]
+
+
+def test_only_the_own_level_of_a_template_is_filled():
+    package = docx.Package.open(build())
+    package.numbering["9", 1] = ("decimal", "%1.%2", 4)
+    assert [package.number("9", 1)["shown"], package.number("9", 1)["shown"], package.number("8", 0)["shown"]] == ["%1.4", "%1.5", "1."]
+
+
+def test_unreadable_files_are_reported(spark):
+    files = spark.createDataFrame([("good", build()), ("torn", build()[:300]), ("text", b"no file"), ("none", b"")], "source_id string, content binary")
+    found = docx.docx_tables(files)
+    assert sorted(r["source_id"] for r in found["diagnostics"].collect()) == ["none", "text", "torn"]
+    for name in docx.SCHEMAS:
+        one = docx.docx_table(files, name)
+        assert {r["source_id"] for r in found[name].collect()} == {"good"} and sorted(map(str, one.collect())) == sorted(map(str, found[name].collect()))
 
 
 def test_figures(sources):

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillframe.functions import dialect, text as T
-from quillframe.functions.udfs import nfkc, omml_latex, option_row, regex_spans
+from quillframe.functions.formulas import omml_latex
+from quillframe.functions.udfs import nfkc, option_row, regex_spans
 from quillframe.operators import aggregates, attribution, control, gates, joins, sequence
 from quillframe.sources.docx import css_emu
 
@@ -219,11 +220,36 @@ def test_positions_and_forms(spark):
 
 
 def test_formulas():
-    m = 'xmlns:m="http://schemas.openxmlformats.org/officeDocument/2006/math"'
-    run = lambda t: f"<m:r><m:t>{t}</m:t></m:r>"
-    assert omml_latex(f"<m:oMath {m}><m:f><m:num>{run('a')}</m:num><m:den>{run('b')}</m:den></m:f></m:oMath>") == r"\frac{a}{b}"
-    assert omml_latex(f"<m:oMath {m}><m:rad><m:radPr/><m:deg/><m:e>{run('x')}</m:e></m:rad>{run('≤')}</m:oMath>") == r"\sqrt{x}\le "
-    assert omml_latex(f"<m:oMath {m}><m:sSubSup><m:e>{run('x')}</m:e><m:sub>{run('1')}</m:sub><m:sup>{run('2')}</m:sup></m:sSubSup><m:odd>{run('y')}</m:odd></m:oMath>") == "{x}_{1}^{2}y"
+    space = 'xmlns:m="http://schemas.openxmlformats.org/officeDocument/2006/math"'
+    run = lambda t, style="": f"<m:r>{f'<m:rPr><m:sty m:val={chr(34)}{style}{chr(34)}/></m:rPr>' if style else ''}<m:t>{t}</m:t></m:r>"
+    tag = lambda name, inside, **properties: f"<m:{name}>" + (f"<m:{name}Pr>" + "".join(f'<m:{k} m:val="{v}"/>' for k, v in properties.items()) + f"</m:{name}Pr>" if properties else "") + inside + f"</m:{name}>"
+    e = lambda t: tag("e", run(t))
+    two = tag("num", run("a")) + tag("den", run("b"))
+    cases = {
+        tag("f", two): r"\frac{a}{b}",
+        tag("f", two, type="lin"): "{a}/{b}",
+        tag("f", two, type="skw"): "{}^{a}/_{b}",
+        tag("f", two, type="noBar"): r"\binom{a}{b}",
+        tag("rad", "<m:radPr/><m:deg/>" + e("x")) + run("≤"): r"\sqrt{x}\leq",
+        tag("rad", tag("deg", run("3")) + e("x")): r"\sqrt[3]{x}",
+        tag("rad", tag("deg", run("3")) + e("x"), degHide="1"): r"\sqrt{x}",
+        tag("sSubSup", e("x") + tag("sub", run("1")) + tag("sup", run("2"))) + "<m:odd>" + run("y") + "</m:odd>": "x_{1}^{2}y",
+        tag("nary", tag("sub", run("i")) + tag("sup", run("n")) + e("k"), chr="∑"): r"\sum_{i}^{n} k",
+        tag("nary", tag("sub", run("i")) + tag("sup", run("n")) + e("k"), subHide="on", supHide="1"): r"\int k",
+        tag("d", e("x") + e("y"), begChr="[", endChr="]"): r"\left[ x|y \right]",
+        tag("d", tag("e", tag("eqArr", e("1, x") + e("0"))), begChr="{", endChr=""): r"\begin{cases} 1, & x \\ 0 \end{cases}",
+        tag("func", tag("fName", run("sin", "p")) + e("x")): r"\sin x",
+        tag("func", tag("fName", tag("limLow", e("lim") + tag("lim", run("x→0")))) + e("f")): r"\lim_{x\to 0} f",
+        tag("borderBox", e("x")) + tag("phant", e("y")): r"\boxed{x}\phantom{y}",
+        tag("acc", e("x"), chr="⃗") + tag("bar", e("y"), pos="top") + tag("groupChr", e("z"), chr="⏞"): r"\vec{x}\overline{y}\overbrace{z}",
+        tag("m", tag("mr", e("a") + e("b")) + tag("mr", e("c") + e("d"))): r"\begin{matrix} a & b \\ c & d \end{matrix}",
+        run("5% &amp; #$ {x}"): r"5\% \& \#\$ \{x\}",
+        run("𝑥𝟐αΩλεφϕ速度km"): r"x2\alpha \Omega \lambda \varepsilon \varphi \phi \text{速度}km",
+        run("km", "p") + run("α1", "p"): r"\mathrm{km}α1",
+    }
+    for source, want in cases.items():
+        assert omml_latex(f"<m:oMath {space}>{source}</m:oMath>") == want, source
+    assert omml_latex(f"<m:oMathPara {space}><m:oMath>{run('a')}</m:oMath><m:oMath>{run('b')}</m:oMath></m:oMathPara>") == r"a \\ b"
 
 
 def test_modes(spark):
