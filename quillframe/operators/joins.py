@@ -54,17 +54,18 @@ def orphans(blocks: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
     return blocks.join(spans, keys, "left_anti")
 
 
-def unclaimed(blocks: DataFrame, is_claimed: Column, heading: Column, per: str = "document", order: str = "ordinal", text: str = "raw_text") -> DataFrame:
+def unclaimed(blocks: DataFrame, is_claimed: Column, heading: Column, per: str = "document", order: str = "ordinal", text: str = "raw_text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Blocks that nobody claims: a heading if one of its document's heading texts (``heading``, null for none) is inside it, else prose.
 
     Both sides are the same table, so it is read once: each document's headings come first, then its
-    unclaimed blocks. A task holds the headings of one document, as an automaton, and streams the blocks.
+    unclaimed blocks, with the columns ``carry``. A task holds the headings of one document, as an automaton, and
+    streams the blocks.
     """
     sides = F.array_compact(F.array(F.when(heading != "", F.struct(F.lit(0).alias("side"), heading.alias("words"))), F.when(~is_claimed, F.struct(F.lit(1).alias("side"), F.col(text).alias("words")))))
-    rows = blocks.select(per, order, F.inline(sides))
+    rows = blocks.select(per, order, F.inline(sides), *carry)
     dealt = rows.repartition(per).sortWithinPartitions(per, "side", order)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return dealt.mapInArrow(_headed, f"`{per}` {kinds[per]}, `{order}` {kinds[order]}, unit_kind string")
+    return dealt.mapInArrow(_headed, ", ".join([*(f"`{c}` {kinds[c]}" for c in (per, order, *carry)), "unit_kind string"]))
 
 
 def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +88,9 @@ def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = automaton is not None and next(automaton.iter(text or ""), None) is not None
             kept.append(i)
             kinds.append("heading" if hit else "prose")
-        rows = batch.take(pa.array(kept, pa.int64()))
-        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(kinds, pa.string())], names=[*batch.schema.names[:2], "unit_kind"])
+        names = [c for c in batch.schema.names if c not in ("side", "words")]
+        rows = batch.select(names).take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(kinds, pa.string())], names=[*names, "unit_kind"])
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
