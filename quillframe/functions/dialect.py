@@ -6,6 +6,7 @@ characters and the dot. ``match`` anchors at the start, ``search`` does not.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -49,6 +50,11 @@ def matching(pattern: str) -> str:
     return f"^(?:{portable(pattern)})"
 
 
+def filled(pattern: str, values: dict[str, str]) -> str:
+    """``pattern`` with each placeholder ``{name}`` as a class of the characters given for it; others, and counts like {2}, stay."""
+    return re.sub(r"\{([A-Za-z]\w*)\}", lambda m: f"[{re.escape(values[m[1]])}]" if m[1] in values else m[0], pattern)
+
+
 @dataclass(frozen=True)
 class Rule:
     order: int

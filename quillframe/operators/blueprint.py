@@ -106,10 +106,14 @@ def option_rows(options: DataFrame, columns: str = "columns") -> DataFrame:
     return rows.groupBy("document", "question", "row_no").agg(F.transform(whole, lambda r: r["text"]).alias("cells"), F.sort_array(F.collect_set("source_row")).alias("source_rows"))
 
 
+#: A dashed arrow, with its condition in it or none, or a bare one.
+ARROW = "——+[^—→+]{0,40}→|——+>?|--+>|→|⟶|=+>"
+
+
 def reactions(lines: DataFrame, adjudicated: DataFrame) -> DataFrame:
     """Reactions in lines: dashed arrows always, bare ones only between joined terms; kind by the numbers of terms."""
-    arrow = F.regexp_extract("text", "(——+>?|--+>|→|⟶|=+>)", 1)
-    sides = F.split(F.regexp_replace("text", "(——+>?|--+>|→|⟶|=+>)", "\u0001"), "\u0001")
+    arrow = F.regexp_extract("text", f"({ARROW})", 1)
+    sides = F.split(F.regexp_replace("text", ARROW, "\u0001"), "\u0001")
     rows = lines.withColumn("arrow", arrow).where("arrow <> ''").withColumn("sides", sides).where("size(sides) = 2")
     rows = rows.withColumn("reactants", T.terms(F.get("sides", F.lit(0)))).withColumn("products", T.terms(F.get("sides", F.lit(1))))
     joined = F.contains("text", F.lit("+"))
@@ -121,6 +125,51 @@ def reactions(lines: DataFrame, adjudicated: DataFrame) -> DataFrame:
     return rows.withColumn("kind", F.coalesce("decided", kind)).withColumn("basis", F.when(F.col("decided").isNotNull(), "adjudicated").otherwise("counts")).withColumn("reaction", F.when(F.col("status") == "reaction", number)).drop("sides", "decided")
 
 
+def table_blocks(cells: DataFrame, figures: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables as one block each, rows of cells; and the images of tables that no cell claims, as exclusions.
+
+    cells: document, table, row_no, column_no, grid_span, v_merge, v_align, paragraphs (array). A blank cell has one
+    empty segment; without an alignment it is at the top; several paragraphs stay apart. figures: document, table,
+    row_no, column_no, figure_no, file, kind: pictures with a file become segments of their cell, others are carried.
+    listed: document, table, image_no: the images of each table.
+    """
+    keys = ["document", "table", "row_no", "column_no"]
+    pictured = F.coalesce((F.col("kind") == "picture") & F.col("file").isNotNull(), F.lit(False))
+    number = F.sum(pictured.cast("long")).over(Window.partitionBy("document", "table").orderBy("row_no", "column_no", "figure_no").rowsBetween(Window.unboundedPreceding, 0))
+    drawn = figures.withColumns({"image_no": F.when(pictured, number)})
+    inside = drawn.where("image_no IS NOT NULL").groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("figure_no", "file"))), lambda f: f["file"]).alias("files"))
+    words = F.filter(F.coalesce("paragraphs", F.array().cast("array<string>")), lambda p: p != "")
+    segments = F.concat(words, F.coalesce("files", F.array().cast("array<string>")))
+    cell = F.struct(
+        "column_no",
+        F.when(F.size(segments) == 0, F.array(F.lit(""))).otherwise(segments).alias("segments"),
+        F.when(F.size(words) > 1, words).alias("paragraphs"),
+        F.coalesce("grid_span", F.lit(1)).alias("grid_span"),
+        F.col("v_merge").alias("v_merge"),
+        F.coalesce("v_align", F.lit("top")).alias("v_align"),
+    )
+    rows = cells.join(inside, keys, "left").groupBy("document", "table", "row_no").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    tables = rows.groupBy("document", "table").agg(F.sort_array(F.collect_list(F.struct("row_no", "cells"))).alias("rows"))
+    claimed = drawn.where("image_no IS NOT NULL").select("document", "table", "image_no")
+    left = listed.join(claimed, ["document", "table", "image_no"], "left_anti").withColumn("disposition", F.lit("exclude"))
+    return tables, left
+
+
+def sweep_shapes(shapes: DataFrame, claimed: DataFrame) -> DataFrame:
+    """The shapes of a block (source, locator, shape_no, has_box) that nothing claims yet: each is carried, with its reason."""
+    rows = shapes.join(claimed.select("source", "locator", "shape_no"), ["source", "locator", "shape_no"], "left_anti")
+    return rows.withColumns({"disposition": F.lit("carry"), "reason": F.when(F.col("has_box"), "text box").otherwise("artwork")})
+
+
+def transferred(done: DataFrame, claims_: DataFrame) -> DataFrame:
+    """Claims of replaced assets go to the block that prints the replacement, each object once; with how many blocks used it.
+
+    done: document, block, media_id, replacement; claims_: document, media_id, object, owner.
+    """
+    used = done.where("replacement IS NOT NULL").groupBy("document", "media_id").agg(F.min("block").alias("__to"), F.countDistinct("block").alias("n_blocks"))
+    return claims_.join(used, ["document", "media_id"], "left").withColumns({"owner": F.coalesce("__to", "owner"), "n_blocks": F.coalesce("n_blocks", F.lit(0))}).drop("__to").dropDuplicates(["document", "object"])
+
+
 def substitutions(segments_: DataFrame, registered: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segments with registered assets replaced by content, and registered assets that nothing used."""
     known = registered.select("media_id", "replacement")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import json
+import zipfile
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,11 +55,44 @@ def chain_health(declared: DataFrame, present: DataFrame, prior: DataFrame) -> D
     return rows.withColumn("status", status).drop("now", "then")
 
 
-def step_status(steps: DataFrame, inputs: DataFrame) -> DataFrame:
-    """A step holds while an input's digest differs from the one it ran with. inputs: step, artifact, ran_with, now."""
-    drift = inputs.groupBy("step").agg(F.max((F.col("ran_with") != F.col("now")).cast("int")).alias("drifted"), F.max(F.col("now").isNull().cast("int")).alias("lacking"))
-    status = F.when(F.col("runner").isNull(), "no-runner").when(F.col("lacking") == 1, "blocked").when(F.col("drifted") == 1, "HOLD_INPUT_DRIFT").otherwise("ok")
-    return steps.join(drift, "step", "left").withColumn("status", status).drop("drifted", "lacking")
+def unknown(named: DataFrame, declared: DataFrame, external: DataFrame, bound: DataFrame) -> DataFrame:
+    """Artifacts (step, artifact) that nobody declares, and external ones without a binding: artifact, step, problem."""
+    lost = named.join(declared.select("artifact"), "artifact", "left_anti").select("artifact", "step", F.lit("UNKNOWN_ID").alias("problem"))
+    loose = external.select("artifact").join(bound.select("artifact"), "artifact", "left_anti").select("artifact", F.lit(None).cast("string").alias("step"), F.lit("UNBOUND_EXTERNAL").alias("problem"))
+    return lost.unionByName(loose)
+
+
+def step_status(steps: DataFrame, inputs: DataFrame, outputs: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
+    """What becomes of each step of a chain, first that holds, one of STATUSES.
+
+    blocked while an input that is not optional is missing; HOLD_INPUT_DRIFT while an input that is followed by its
+    digest differs from the one last run with; a person's step awaits its products or is satisfied; without a command
+    it is an external runner's, or nobody's; a dry run stops here; then failed or ok by its return code.
+
+    steps: step and, where there are such, runner, command, external_entry, return_code, code_then, code_now.
+    inputs: step, artifact, ran_with, now and perhaps optional. outputs: step, artifact, there. With code digests,
+    code_drift tells that products made by other code are there; that is reported, it does not hold.
+    """
+    names = steps.columns
+    have = lambda c, kind: F.col(c) if c in names else F.lit(None).cast(kind)
+    optional = F.coalesce("optional", F.lit(False)) if "optional" in inputs.columns else F.lit(False)
+    drift = inputs.groupBy("step").agg(F.max((F.col("ran_with") != F.col("now")).cast("int")).alias("__drifted"), F.max((F.col("now").isNull() & ~optional).cast("int")).alias("__lacking"))
+    rows = steps.join(drift, "step", "left")
+    if outputs is None:
+        rows = rows.withColumns({"__absent": F.lit(1), "__made": F.lit(0)})
+    else:
+        there = outputs.groupBy("step").agg(F.max((~F.col("there")).cast("int")).alias("__absent"), F.max(F.col("there").cast("int")).alias("__made"))
+        rows = rows.join(there, "step", "left")
+    command = have("command" if "command" in names else "runner", "string")
+    status = F.when(F.col("__lacking") == 1, "blocked").when(F.col("__drifted") == 1, "HOLD_INPUT_DRIFT")
+    status = status.when(have("runner", "string") == "human", F.when(F.coalesce("__absent", F.lit(1)) == 1, "awaiting-human").otherwise("satisfied"))
+    status = status.when(command.isNull(), F.when(have("external_entry", "string").isNotNull(), "external-runner").otherwise("no-runner"))
+    if dry_run:
+        status = status.otherwise("dry-run")
+    else:
+        status = status.when(F.coalesce(have("return_code", "int"), F.lit(0)) != 0, "failed").otherwise("ok")
+    drifted = F.coalesce((have("code_then", "string") != have("code_now", "string")) & (F.col("__made") == 1), F.lit(False))
+    return rows.withColumns({"status": status, "code_drift": drifted}).drop("__drifted", "__lacking", "__absent", "__made")
 
 
 def decisions(log: DataFrame) -> DataFrame:
@@ -71,6 +107,28 @@ def decisions(log: DataFrame) -> DataFrame:
     return opened.join(last, "item", "left").select("item", "options", F.when(F.col("d").isNull(), "pending").otherwise("decided").alias("state"), "d.choice", "d.reason")
 
 
+def archive(parts: dict[str, bytes]) -> bytes:
+    """A zip file of the parts whose bytes depend on nothing else: names sorted, one date for all, no attributes."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=6) as file:
+        for name in sorted(parts):
+            entry = zipfile.ZipInfo(name, date_time=(1980, 1, 1, 0, 0, 0))
+            entry.compress_type, entry.create_system, entry.external_attr = zipfile.ZIP_DEFLATED, 0, 0
+            file.writestr(entry, parts[name])
+    return out.getvalue()
+
+
+def archives(parts: DataFrame, *keys: str) -> DataFrame:
+    """One archive by key of its parts (name, content): archive and its sha256. A key's parts are the files of one document."""
+
+    @F.pandas_udf("binary")
+    def packed(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda some: archive({p["name"]: bytes(p["content"]) for p in some}))
+
+    grouped = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("name", "content"))).alias("parts"))
+    return grouped.select(*keys, packed("parts").alias("archive")).withColumn("digest", F.sha2("archive", 256))
+
+
 def latest_run(ledger: DataFrame) -> DataFrame:
     """The last run of each source, volume and schema of an append-only ledger."""
     nth = F.row_number().over(Window.partitionBy("source_id", "volume_key", "schema_hash").orderBy(F.desc("started_at"), F.desc("run_id")))

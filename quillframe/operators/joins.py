@@ -126,11 +126,16 @@ def disposition(files: DataFrame, consumed: DataFrame, excluded: DataFrame) -> D
 
 
 def adjudicated_drift(rows: DataFrame, upstream: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Vendored rows against upstream: in-sync, UPSTREAM_MOVED, adjudicated (for exactly the present hash), UPSTREAM_GONE."""
+    """Vendored rows against upstream: in-sync, UPSTREAM_MOVED, adjudicated (for exactly the present hash), UPSTREAM_GONE.
+
+    A row without a path is a consumer without provenance: PROVENANCE_MISSING; one with a path and no digest names a
+    provenance from which nothing could be read: NO_ROWS.
+    """
     now = upstream.select("path", F.col("digest").alias("current"))
     known = decisions.select("path", F.col("digest").alias("current"), F.lit(True).alias("decided")).distinct()
     joined = rows.join(now, "path", "left").join(known, ["path", "current"], "left")
-    status = F.when(F.col("current").isNull(), "UPSTREAM_GONE").when(F.col("digest") == F.col("current"), "in-sync").when(F.col("decided"), "adjudicated").otherwise("UPSTREAM_MOVED")
+    status = F.when(F.col("path").isNull(), "PROVENANCE_MISSING").when(F.col("digest").isNull(), "NO_ROWS")
+    status = status.when(F.col("current").isNull(), "UPSTREAM_GONE").when(F.col("digest") == F.col("current"), "in-sync").when(F.col("decided"), "adjudicated").otherwise("UPSTREAM_MOVED")
     return joined.withColumn("status", status).drop("decided")
 
 

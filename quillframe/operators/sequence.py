@@ -153,6 +153,12 @@ def suppress_repeats(titles: DataFrame, *keys: str, title: str = "title") -> Dat
     return titles.withColumn("repeats", F.coalesce(F.lag(title).over(over(*keys)) == F.col(title), F.lit(False)))
 
 
+def printed_once(titles: DataFrame, *keys: str, title: str = "title") -> tuple[DataFrame, DataFrame]:
+    """Titles without those that repeat the one before them on their level; and these, as exclusions with their reason."""
+    rows = suppress_repeats(titles, *keys, title=title)
+    return rows.where("NOT repeats").drop("repeats"), rows.where("repeats").drop("repeats").withColumn("exclusion_class", F.lit("carrier"))
+
+
 def nearest_owner(rows: DataFrame, is_owner: Column, owner: Column, *keys: str) -> DataFrame:
     """owner: the nearest row before this one for which ``is_owner`` holds."""
     return rows.withColumn("owner", F.last(F.when(is_owner, owner), ignorenulls=True).over(before(*keys)))
@@ -164,6 +170,18 @@ def near_neighbour(rows: DataFrame, reach: int, *keys: str, value: str) -> DataF
     return rows.withColumn("distance", F.least(*found))
 
 
+def reclaimed(blocks: DataFrame, *keys: str, reach: int = 2) -> DataFrame:
+    """carrier: a text-box body whose whole text is a condition on an arrow at most ``reach`` blocks away.
+
+    blocks: ordinal, text, is_body, in_box, conditions (array, null for none).
+    """
+    near = [f("conditions", k).over(over(*keys)) for k in range(1, reach + 1) for f in (F.lag, F.lead)]
+    none = F.array().cast("array<string>")
+    known = F.flatten(F.array(*(F.coalesce(c, none) for c in near)))
+    text = F.trim("text")
+    return blocks.withColumn("carrier", F.col("is_body") & F.col("in_box") & (text != "") & F.array_contains(F.transform(known, lambda c: F.trim(c)), text))
+
+
 def list_level(rows: DataFrame, event: Column, *keys: str) -> DataFrame:
     """list_level: the level that the last event set, 0 before any."""
     return rows.withColumn("list_level", F.coalesce(carried(event, *keys), F.lit(0)))
@@ -187,6 +205,14 @@ def relevel(rows: DataFrame, rules: list[tuple[str, str, int]], default: int) ->
     return rows.withColumn("new_level", out.otherwise(F.lit(default)))
 
 
+def run_slice(runs: DataFrame, start: int, end: int, *keys: str) -> DataFrame:
+    """:func:`stream_slice` of runs (a struct array with text and marks, in order), marks kept: the runs inside, cut at the ends."""
+    each = runs.select(*keys, "ordinal", F.posexplode("runs").alias("run_no", "run"))
+    rows = each.select(*keys, F.struct("ordinal", "run_no").alias("ordinal"), F.col("run.text").alias("text"), "run")
+    cut = stream_slice(rows, start, end, *keys)
+    return cut.select(*keys, "ordinal.ordinal", "ordinal.run_no", F.col("run").withField("text", F.col("part")).alias("run"))
+
+
 def stream_slice(pieces: DataFrame, start: int, end: int, *keys: str, text: str = "text") -> DataFrame:
     """The part of each piece that lies in the characters from ``start`` to ``end`` of its stream."""
     stop = F.sum(F.length(text)).over(so_far(*keys))

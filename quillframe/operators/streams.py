@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _GAP = re.compile(r"(?<=\S)[\s　]{2,}(?=\S)")
@@ -18,42 +19,97 @@ def gaps_taken(text: str, n: int) -> list[tuple[int, int]]:
     return sorted(found[: max(0, n)])
 
 
-def filled(text: str, signs: list[str], limit: int) -> tuple[str, int]:
-    """``text`` with signs in its widest gaps, ``limit`` at most; and how many found one."""
-    spans = gaps_taken(text, min(limit, len(signs)))
-    out, at = [], 0
-    for (start, end), sign in zip(spans, signs):
-        out += [text[at:start], sign]
-        at = end
-    return "".join([*out, text[at:]]), len(spans)
+def edits(text: str, signs: list[str], limit: int) -> list[tuple[int, int, str]]:
+    """Where signs go: (start, end, sign) of the widest gaps, ``limit`` at most."""
+    return [(*span, sign) for span, sign in zip(gaps_taken(text, min(limit, len(signs))), signs)]
 
 
-PLACED = "document long, ordinal long, text string, n_placed int, unplaced array<string>"
+def filled(text: str, signs: list[str], limit: int) -> tuple[str, int]:
+    """``text`` with signs in its widest gaps, ``limit`` at most; and how many found one."""
+    made = edits(text, signs, limit)
+    return replayed([{"text": text}], made)[0]["text"], len(made)
 
 
 def place_arrows(blocks: DataFrame, carry: int = 2) -> DataFrame:
     """Arrows (an array per block) put into the gaps of their line or, unplaced, of at most ``carry`` later ones.
 
     A line takes as many as one place anchored at most. ``unplaced`` names the arrows given up at a block.
-    The queue is short and lives within one document.
+    The queue is short and lives within one document, whose lines are streamed.
     """
 
-    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: deque[tuple[str, int, int]] = deque()  # sign, where it was drawn, lines waited
-        out = []
-        for ordinal, text, arrows in frame.sort_values("ordinal")[["ordinal", "text", "arrows"]].itertuples(index=False):
-            waiting.extend((a, ordinal, 0) for a in (arrows if arrows is not None else []))
-            places = [w for _, w, _ in waiting]
-            limit = max((places.count(p) for p in set(places)), default=0)
-            text, n = filled(text or "", [a for a, _, _ in waiting], limit)
-            for _ in range(n):
-                waiting.popleft()
-            given_up = [a for a, _, age in waiting if age + 1 > carry]
-            waiting = deque((a, w, age + 1) for a, w, age in waiting if age + 1 <= carry)
-            out.append((key[0], ordinal, text, n, given_up))
-        return pd.DataFrame(out, columns=["document", "ordinal", "text", "n_placed", "unplaced"])
-
-    return blocks.select("document", "ordinal", "text", "arrows").groupBy("document").applyInPandas(one, PLACED)
+        key: object = waiting  # no document yet
+        for batch in batches:
+            out = []
+            for document, ordinal, text, arrows in zip(*(c.to_pylist() for c in batch.columns)):
+                if document != key:
+                    key = document
+                    waiting.clear()
+                waiting.extend((a, ordinal, 0) for a in arrows or [])
+                limit = max(Counter(w for _, w, _ in waiting).values(), default=0)
+                text, n = filled(text or "", [a for a, _, _ in waiting], limit)
+                for _ in range(n):
+                    waiting.popleft()
+                given_up = [a for a, _, age in waiting if age + 1 > carry]
+                waiting = deque((a, w, age + 1) for a, w, age in waiting if age + 1 <= carry)
+                out.append((document, ordinal, text, n, given_up))
+            types = [batch.schema.types[0], batch.schema.types[1], pa.string(), pa.int32(), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=["document", "ordinal", "text", "n_placed", "unplaced"])
+
+    rows = blocks.select("document", "ordinal", "text", "arrows").repartition("document").sortWithinPartitions("document", "ordinal")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, f"document {kinds['document']}, ordinal {kinds['ordinal']}, text string, n_placed int, unplaced array<string>")
+
+
+def shape_arrows(figures: DataFrame, render: str = "——{condition}→", plain: str = "——→") -> DataFrame:
+    """Arrows that are drawn shapes, by block in drawing order, as text: with the shape's own words as condition.
+
+    figures: document, ordinal, figure_no, shape, condition; only shapes named arrow count.
+    """
+    words = F.trim(F.coalesce("condition", F.lit("")))
+    return _by_block(figures.where("shape = 'arrow'"), words, "figure_no", render, plain)
+
+
+def picture_arrows(figures: DataFrame, registered: DataFrame, render: str = "——{condition}→", plain: str = "——→") -> tuple[DataFrame, DataFrame]:
+    """Arrows that are small pictures, registered by content hash, from left to right; and the figures, those marked transcribed.
+
+    figures: document, ordinal, figure_no, media_id, anchor_x (null for inline ones, which stand where they are) and
+    kind. registered: media_id, condition.
+    """
+    known = figures.join(registered.select("media_id", "condition", F.lit(True).alias("__known")), "media_id", "left")
+    taken = F.coalesce("__known", F.lit(False)) & F.col("anchor_x").isNotNull() & (F.coalesce("kind", F.lit("")) != "transcribed")
+    arrows = _by_block(known.where(taken), F.trim(F.coalesce("condition", F.lit(""))), "anchor_x", render, plain)
+    marked = known.withColumns({"kind": F.when(taken, "transcribed").otherwise(F.col("kind")), "text": F.when(taken, F.coalesce("condition", F.lit("")))})
+    return arrows, marked.drop("__known", "condition")
+
+
+def _by_block(rows: DataFrame, words: Column, order: str, render: str, plain: str) -> DataFrame:
+    sign = F.when(words != "", F.replace(F.lit(render), F.lit("{condition}"), words)).otherwise(F.lit(plain))
+    each = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), "figure_no", sign.alias("sign"))))
+    return rows.groupBy("document", "ordinal").agg(F.transform(each, lambda r: r["sign"]).alias("arrows"))
+
+
+def replayed(runs: list[dict], edits: list[tuple[int, int, str]]) -> list[dict]:
+    """Runs with the edits (start, end, sign) that their joined text got: each sign goes to the run its place begins in.
+
+    A place that spans several runs takes its characters from all of them.
+    """
+    out, begin = [], 0
+    for run in runs:
+        text, end = run["text"], begin + len(run["text"])
+        kept, at = [], begin
+        for start, stop, sign in edits:
+            if stop <= begin or start >= end:
+                continue
+            kept.append(text[at - begin : max(start, at) - begin])
+            if begin <= start:
+                kept.append(sign)
+            at = min(stop, end)
+        kept.append(text[at - begin :])
+        out.append({**run, "text": "".join(kept)})
+        begin = end
+    return out
 
 
 def merged(runs: DataFrame, figures: DataFrame) -> DataFrame:

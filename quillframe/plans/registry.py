@@ -22,4 +22,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from quillframe.plans import attributed, carved, grouped, joined, scalars, streamed, summed, validated  # noqa: F401
+    from quillframe.plans import attributed, carved, checked, emitted, grouped, joined, scalars, streamed, summed, validated  # noqa: F401
