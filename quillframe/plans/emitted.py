@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from quillframe.functions import formulas
 from quillframe.operators import aggregates, blueprint, control, sequence, streams
@@ -20,7 +21,7 @@ def _c(name: str, as_: str) -> Column:
 # --- word-processor files: one file per nation, with its suppliers -------------------------------------------------
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _nation_file(name: pd.Series, region: pd.Series, suppliers: pd.Series) -> pd.Series:
     """Title, a numbered list of suppliers, a table of them, a picture and a formula; every eighth file is torn."""
 
@@ -296,11 +297,11 @@ def callout_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.callout(rows).select("document", "l_linenumber", "l_partkey", "part")
 
 
-@query("WITH e AS (SELECT l_suppkey AS t, l_orderkey * 10 + l_linenumber AS cell, unnest(['top', 'tl2br']) AS edge, unnest([l_returnflag, l_linestatus]) AS value FROM (SELECT DISTINCT ON (l_suppkey, l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey)), n AS (SELECT t, edge, value, count(*) AS n FROM e GROUP BY ALL), u AS (SELECT t, edge, arg_max(value, n * 1000 + ascii(value)) AS usual FROM n GROUP BY ALL) SELECT e.t AS \"table\", cell, e.edge, value FROM e JOIN u ON u.t = e.t AND u.edge = e.edge WHERE value <> usual OR e.edge = 'tl2br'")
+@query("WITH e AS (SELECT l_suppkey AS t, l_orderkey * 10 + l_linenumber AS cell, unnest(['top', 'tl2br']) AS edge, unnest([l_returnflag, l_linestatus]) AS value FROM (SELECT DISTINCT ON (l_suppkey, l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus)), n AS (SELECT t, edge, value, count(*) AS n FROM e GROUP BY ALL), u AS (SELECT t, edge, arg_max(value, n * 1000 + ascii(value)) AS usual FROM n GROUP BY ALL) SELECT e.t AS \"table\", cell, e.edge, value FROM e JOIN u ON u.t = e.t AND u.edge = e.edge WHERE value <> usual OR e.edge = 'tl2br'")
 def own_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges of cells that differ from their table's usual ones, and all diagonals."""
     rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    first = rows.groupBy(_c("l_suppkey", "table"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cell")).agg(F.min_by(F.struct("l_returnflag", "l_linestatus"), "l_partkey").alias("f"))
+    first = rows.groupBy(_c("l_suppkey", "table"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cell")).agg(F.min(F.struct("l_partkey", "l_returnflag", "l_linestatus")).alias("f"))
     return blueprint.own_edges(first.select("table", "cell", F.create_map(F.lit("top"), F.col("f.l_returnflag"), F.lit("tl2br"), F.col("f.l_linestatus")).alias("edges")))
 
 
