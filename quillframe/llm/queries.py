@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillframe.functions.dialect import SPACES
 from quillframe.llm import html, jaccard, lines, packing, pieces, pii, quality, toxicity, vectors, warc
 from quillframe.sources.tables import spread, table
 
@@ -139,6 +140,19 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
 
 
+# The supplied pages have one article, of a title and paragraphs without class names; on these SQL says it all.
+_TEXT_SQL = "regexp_replace(regexp_replace(x, '<br/?>', ' ', 'g'), '<[^>]*>', '', 'g')"
+for _name, _sign in (("nbsp", "chr(160)"), ("copy", "chr(169)"), ("middot", "chr(183)"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("#x27", "chr(39)"), ("lt", "'<'"), ("gt", "'>'")):
+    _TEXT_SQL = f"replace({_TEXT_SQL}, '&{_name};', {_sign})"
+_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '&amp;?', '&', 'g')"  # titles are cut, some inside a reference
+ORACLE_SQL["op8_main_text"] = f"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS body FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(regexp_split_to_array(body, '</?(?:h1|p)>'),
+      lambda x: trim(regexp_replace({_TEXT_SQL}, '[{SPACES}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""
+
+
 @query
 def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolved(warc.captures(table(spark, sf_dir, "pages", "page_id", "url", "html")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quillframe.llm import pieces, pii, quality, queries, toxicity
+from quillframe.llm import common, pieces, pii, quality, queries, toxicity
 from tests.llm import helpers
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,6 +171,45 @@ def toxic_corpus(spark):
     return rows, labels
 
 
+def plain_agenda(m, text, key, rate, seed):
+    """Ids by the definition: of all neighbours that may merge and are not skipped, the best and leftmost do, again and again."""
+    if not text:
+        return []
+    whole = [(pieces.MARK, False), *((pieces.MARK if c == " " else c, c == pieces.MARK) for c in text)]
+    salt = common.mixed(common.mixed(np.array([key], dtype=np.int64).view(np.uint64)), seed)
+    is_mark = [c == pieces.MARK and not literal for c, literal in whole]
+    out, at = [], 0
+    while at < len(whole):
+        end = at + 1
+        while end < len(whole) and not (is_mark[end] and not is_mark[end - 1]):
+            end += 1
+        word = [(-1 if whole[k][1] else int(m.of_point[ord(whole[k][0])]), k, k + 1) for k in range(at, end)]
+        while True:
+            best = None
+            for i, ((a, s, mid), (b, _, e)) in enumerate(zip(word, word[1:])):
+                if (a, b) in m.merges and not (rate and pieces._skipped(salt, *(np.array([x], dtype=np.int64) for x in (s, mid, e)), rate)[0]):
+                    rank, piece = m.merges[a, b]
+                    best = min(best or (rank, i, piece), (rank, i, piece))
+            if best is None:
+                break
+            _, i, piece = best
+            word[i : i + 2] = [(piece, word[i][1], word[i + 1][2])]
+        for sym, s, e in word:
+            out += [sym] if 0 <= sym < len(m.pieces) else [int(m.byte_ids[b]) for c, _ in whole[s:e] for b in c.encode()]
+        at = end
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5, 1.0])
+def test_dropout_against_a_plain_agenda(rate):
+    path = queries.tokenizer_file(queries.PIECE_MODEL)
+    texts = [helpers.prose(3, 20, 2), "  two  spaces ", "mark ▁ here▁", "Ünïcode 速度 \U0001f600", "long" * 30, "", None, "a", "The tokens of the tokenizers, tokenized"]
+    keys = np.arange(len(texts), dtype=np.int64) * 7919 - 3
+    ids, cuts = pieces.Encoder(path, rate, 11)(pa.array(texts, pa.string()), keys)
+    for k, text in enumerate(texts):
+        assert ids[cuts[k] : cuts[k + 1]].tolist() == plain_agenda(pieces.model(path), text, int(keys[k]), rate, 11), text
+
+
 def test_toxicity_learns_from_its_folds(spark):
     rows, labels = toxic_corpus(spark)
     model = toxicity.trained(rows, labels)
