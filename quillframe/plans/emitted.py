@@ -469,13 +469,6 @@ def chain_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.chain_health(declared, present, prior).select("artifact", "status")
 
 
-@query("SELECT user_id, event_type, max(event_id) AS event_id FROM events GROUP BY ALL")
-def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last event of each user and type, as the last run of a source."""
-    ledger = table(spark, sf_dir, "events", "user_id", "event_type", "event_id").select(_c("user_id", "source_id"), _c("event_type", "volume_key"), F.lit("h").alias("schema_hash"), _c("event_id", "started_at"), _c("event_id", "run_id"))
-    return control.latest_run(ledger).select(_c("source_id", "user_id"), _c("volume_key", "event_type"), _c("run_id", "event_id"))
-
-
 @query("SELECT n_regionkey, sha256('{\"a\":' || n_regionkey || ',\"name\":\"' || n_name || '\"}') AS digest, 'r' || n_regionkey || '/p' AS styles FROM nation")
 def config_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration by content: sorted keys, no spaces, whatever order it was written in."""

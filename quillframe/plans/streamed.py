@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillframe.functions.dialect import SPACES
 from quillframe.operators import blueprint, control
 from quillframe.plans.corpus import blocks, with_blocks
 from quillframe.plans.registry import query
@@ -32,7 +33,29 @@ def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.sessions(_events(spark, sf_dir))
 
 
-@query()
+def _plain(source: str) -> str:
+    """SQL: markup out, references decoded, white space collapsed."""
+    source = f"regexp_replace(regexp_replace({source}, '<br/?>', ' ', 'g'), '<[^>]*>', '', 'g')"
+    for name, sign in (("nbsp", "chr(160)"), ("copy", "chr(169)"), ("middot", "chr(183)"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("#x27", "chr(39)"), ("lt", "'<'"), ("gt", "'>'")):
+        source = f"replace({source}, '&{name};', {sign})"
+    source = f"regexp_replace({source}, '&amp;?', '&', 'g')"  # titles are cut, some inside a reference
+    return f"trim(regexp_replace({source}, '[{SPACES}]+', ' ', 'g'))"
+
+
+# The supplied pages have a menu of links, an advert, an article of a title and paragraphs, and a footer.
+_PARTS = (
+    "WITH e AS (SELECT page_id, 1 AS part, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1, 's')) AS x, generate_subscripts(regexp_extract_all(html, '<li>(.*?)</li>', 1, 's'), 1) AS k FROM pages "
+    "UNION ALL SELECT page_id, 2, regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1, 's'), 1 FROM pages UNION ALL SELECT page_id, 3, regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), 1 FROM pages "
+    "UNION ALL SELECT page_id, 4, unnest(s), generate_subscripts(s, 1) FROM (SELECT page_id, regexp_split_to_array(regexp_extract(html, '</h1>(.*)</article>', 1, 's'), '</?p>') AS s FROM pages) "
+    "UNION ALL SELECT page_id, 5, regexp_extract(html, '<footer>(.*?)</footer>', 1, 's'), 1 FROM pages), "
+    f"t AS (SELECT page_id, part, k, {_plain('x')} AS raw_text, len(regexp_extract_all(x, '<a[ >]'))::INTEGER AS n_links, len(regexp_extract_all(x, '<b>'))::INTEGER AS n_bold FROM e), "
+    "f AS (SELECT *, row_number() OVER (PARTITION BY page_id, part ORDER BY k) AS nth, row_number() OVER (PARTITION BY page_id ORDER BY part, k) AS ordinal FROM t WHERE raw_text <> '') "
+    "SELECT page_id AS document, ordinal, CASE part WHEN 1 THEN 'nav[1]/ul[1]/li[' || nth || ']' WHEN 2 THEN 'div[1]/text[1]' WHEN 3 THEN 'article[1]/h1[1]' WHEN 4 THEN 'article[1]/p[' || nth || ']' ELSE 'footer[1]/text[1]' END AS locator, "
+    "['li', 'text', 'h1', 'p', 'text'][part] AS element, ['ul', 'div', 'article', 'article', 'footer'][part] AS container, (part = 1)::INTEGER AS depth, raw_text, n_links, n_bold FROM f"
+)
+
+
+@query(_PARTS)
 def blocks_from_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks(table(spark, sf_dir, "pages", "page_id", "html"))
 
