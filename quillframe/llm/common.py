@@ -11,8 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.sources.shared import checkpointed, removed, stage_folder  # noqa: F401
-from quillframe.sources.tables import share_package
+from quillframe.sources.shared import checkpointed, removed, share_package, stage_folder  # noqa: F401
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20

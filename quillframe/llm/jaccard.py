@@ -18,7 +18,8 @@ ends once its rows are connected. Bands of ``ROWS`` values miss a pair of simila
 
 Defined results: a text without words (null, empty, white space) has no shingles, no links and a class of
 its own. class_id is the least doc_id of the class; a null doc_id is never the least while there is
-another. Repeated rows are copies of each other. Other columns are carried, whatever their names.
+another. Repeated rows are copies of each other. An empty table has no classes. Other columns are carried,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ Words of over ``LONG`` symbols run on a heap instead, in time n log n.
 Text is encoded as it is: spaces are word marks, one mark is put before the text. Characters without a
 piece, and a literal word-mark character, become byte pieces, so that decoding gives back every text.
 
-Defined results: a null or empty text has no ids and decodes to the empty string. Rows are encoded one by
-one; repeated rows with equal keys get equal ids.
+Defined results: a null or empty text has no ids and decodes to the empty string; a null key is 0. Rows are
+encoded one by one; repeated rows with equal keys get equal ids. An empty table gives no rows. Of extra columns
+those asked for are carried, under whatever names but the ones of two underscores used here.
 """
 
 from __future__ import annotations
