@@ -1,13 +1,18 @@
-"""Cutting lineage in the folder that all executors share."""
+"""What all executors share: the folder in which lineage is cut, and this package."""
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillframe.sources.tables import share_package
+PACKAGE_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
 
 
 class NoSharedFolder(RuntimeError):
@@ -25,6 +30,43 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="quillframe-")
 
 
+def packed() -> bytes:
+    """This package as a zip file that Python imports from; its bytes depend on its content alone."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as file:
+        for path in sorted((PACKAGE_ROOT / "quillframe").rglob("*.py")):
+            entry = zipfile.ZipInfo(str(path.relative_to(PACKAGE_ROOT)), date_time=(1980, 1, 1, 0, 0, 0))
+            file.writestr(entry, path.read_bytes())
+    return out.getvalue()
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Puts this package into the shared folder and gives it to all workers."""
+    data = packed()
+    place = f"{shared_folder(spark)}/quillframe-{hashlib.sha256(data).hexdigest()[:16]}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        stream = files.create(path)
+        stream.write(bytearray(data))
+        stream.close()
+    spark.sparkContext.addPyFile(place)
+    return place
+
+
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package: by the driver's own path where that is theirs too, else by shipping it once."""
+    context = getattr(spark, "sparkContext", None)
+    if context is None:
+        return
+    have = context.environment.get("PYTHONPATH", "")
+    if str(PACKAGE_ROOT) not in have.split(":"):
+        context.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{have}".rstrip(":")
+    if not context.master.startswith("local") and context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        ship_package(spark)
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
     """``frame`` written to the shared checkpoint folder and read back, partition by partition."""
     spark = frame.sparkSession

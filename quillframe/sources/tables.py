@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from pathlib import Path
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+from quillframe.sources.shared import share_package
 
 
-def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package even where only the driver's sys.path names it."""
-    context = getattr(spark, "sparkContext", None)
-    if context is not None:
-        have = context.environment.get("PYTHONPATH", "")
-        if PACKAGE_ROOT not in have.split(":"):
-            context.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{have}".rstrip(":")
+class NotOne(ValueError):
+    """A name that should mean one file and means none or several."""
+
+
+def resolved(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern of any file system, sorted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(str(f.getPath()) for f in found)
+
+
+def only(spark: SparkSession, pattern: str) -> str:
+    """The one path that matches; none or several are refused."""
+    found = resolved(spark, pattern)
+    if len(found) != 1:
+        raise NotOne(f"{pattern}: {len(found)} files {[PurePosixPath(f).name for f in found[:3]]}")
+    return found[0]
 
 
 def spread(frame: DataFrame) -> DataFrame:
@@ -34,4 +45,4 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     """The table ``name`` of ``folder``; only ``columns`` when any are given, so the scan is pruned."""
     share_package(spark)
     frame = spark.read.parquet(f"{folder}/{name}.parquet")
-    return frame.select(*columns) if columns else frame
+    return frame.select(*(F.col(f"`{c}`") for c in columns)) if columns else frame

@@ -212,3 +212,46 @@ def test_null_text_is_prose(spark):
     rows = spark.createDataFrame([(1, 1, "section", "Head", "Head"), (1, 2, "body", None, None), (1, 3, "body", "a Head b", "a Head b"), (None, 1, "body", "Head", "Head")], "document int, ordinal int, kind string, text string, raw_text string")
     got = joins.unclaimed(rows, F.lit(False), F.when(F.col("kind") == "section", F.col("text"))).collect()
     assert sorted(((r["document"] or 0), r["ordinal"], r["unit_kind"]) for r in got) == [(0, 1, "prose"), (1, 1, "heading"), (1, 2, "prose"), (1, 3, "heading")]
+
+
+def test_one_file_or_none(spark, tmp_path):
+    from quillframe.sources.tables import NotOne, only, resolved
+
+    for name in ("b.docx", "a.docx", "c.txt"):
+        (tmp_path / name).write_text("x")
+    assert [p.rpartition("/")[2] for p in resolved(spark, f"{tmp_path}/*.docx")] == ["a.docx", "b.docx"]
+    assert only(spark, f"{tmp_path}/*.txt").endswith("c.txt") and resolved(spark, f"{tmp_path}/*.pdf") == []
+    for pattern in ("*.docx", "*.pdf"):
+        with pytest.raises(NotOne):
+            only(spark, f"{tmp_path}/{pattern}")
+
+
+def test_the_package_ships_itself(spark):
+    from quillframe.sources import shared
+
+    names = zipfile.ZipFile(io.BytesIO(shared.packed())).namelist()
+    assert "quillframe/operators/carve.py" in names and shared.packed() == shared.packed()
+    place = shared.ship_package(spark)
+    assert spark.read.format("binaryFile").load(place).count() == 1
+
+
+def test_missing_parts_are_left_out_and_faults_are_not_hidden(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as entry
+
+    def failing(name):
+        def run(asked):
+            raise ModuleNotFoundError(name=name)
+
+        return run
+
+    for gone in ("quillframe.llm", "quillframe.llm.queries"):
+        monkeypatch.setattr(importlib, "import_module", failing(gone))
+        assert entry._additions() == ({}, {})
+    monkeypatch.setattr(importlib, "import_module", failing("quillframe.sources.lost"))
+    with pytest.raises(ImportError):
+        entry._additions()
+    monkeypatch.setattr(importlib, "import_module", failing("tokenizers"))
+    with pytest.warns(UserWarning, match="tokenizers"):
+        assert entry._additions() == ({}, {})
