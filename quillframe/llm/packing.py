@@ -23,10 +23,10 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +36,8 @@ CAPACITY = 4096
 CLOSING_ID = 1
 #: Distinct words that a worker remembers before it starts anew.
 REMEMBERED = 500_000
+#: Words that one call encodes.
+AT_ONCE = 1024
 
 
 _TAIL = np.zeros(256, dtype=bool)
@@ -78,25 +80,28 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.starts = np.zeros(1 << 16, dtype=np.int64)
         self.ends = np.zeros(1 << 16, dtype=np.int64)
         self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    def _learn(self, words: pa.LargeStringArray) -> None:
+        """Encodes words, many in one call, which tells each token's word."""
+        each = words.to_pylist()
+        groups = [each[k : k + AT_ONCE] for k in range(0, len(each), AT_ONCE)]
+        found = self.tokenizer.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        size = np.concatenate([np.bincount(np.array(x.word_ids, dtype=np.int64), minlength=len(g)) for g, x in zip(groups, found)])
         ends = self.used + np.cumsum(size)
-        first, last = len(self.known), len(self.known) + len(words)
-        used = int(ends[-1]) if len(ends) else self.used
+        first, last = len(self.words), len(self.words) + len(words)
+        used = int(ends[-1])
         while used > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while last > len(self.starts):
             self.starts, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.ends))
-        self.ids[self.used : used] = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=used - self.used)
+        self.ids[self.used : used] = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in found])
         self.starts[first:last], self.ends[first:last] = ends - size, ends
-        self.known.update(zip(words, range(first, last)))
+        self.words = pa.concat_arrays([self.words, words])
         self.used = used
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,12 +117,15 @@ class WordEncoder:
         start, end = _without_tails(raw, np.flatnonzero(first), np.flatnonzero(last) + 1)
         raw = _lowered(raw)
         coded = common.strings(raw, start, end).dictionary_encode()
-        if len(self.known) > REMEMBERED:
+        if len(self.words) > REMEMBERED:
             self._forget()
-        words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self.known])
-        number = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        each = number[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
+        place = pc.index_in(coded.dictionary, value_set=self.words)
+        number = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            number[fresh] = len(self.words) + np.arange(len(fresh))
+            self._learn(coded.dictionary.take(pa.array(fresh)))
+        each = number[coded.indices.to_numpy(zero_copy_only=False)] if len(number) else np.zeros(0, np.int64)
         size = self.ends[each] - self.starts[each]
         ends = np.cumsum(size)
         take = np.repeat(self.starts[each] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
