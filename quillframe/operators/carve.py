@@ -171,6 +171,53 @@ def answer_pairs(all_units: DataFrame, counted: DataFrame) -> DataFrame:
     return rows.withColumn("n_segments", F.size(T.answer_segments(F.col("answer")))).withColumn("pairable", F.col("n_segments") == F.col("n_blanks"))
 
 
+def report(rows: DataFrame, found: DataFrame, asked: DataFrame) -> DataFrame:
+    """One row of what a volume holds: blocks by part, questions and their make-up, options, parts, blanks, repeats."""
+    count = lambda where, name: F.count_if(where).alias(name)
+    total = lambda value, name: F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(name)
+    part, inside = F.col("part"), F.col("question").isNotNull()
+    visible = F.coalesce(F.col("raw_text").rlike(f"[^{SPACES}]"), F.lit(False))
+    blanks_ = F.coalesce(F.regexp_count("raw_text", F.lit(attribution.BLANK)), F.lit(0))
+    numbered = F.regexp_extract("text", f"^[（(][{SPACES}]*([0-9]+)[{SPACES}]*[)）]", 1) != ""
+    each = rows.agg(
+        F.count("*").alias("n_blocks"),
+        F.countDistinct("document").alias("n_documents"),
+        F.countDistinct("role").alias("n_roles"),
+        total(F.length("raw_text"), "n_chars"),
+        total(F.when(inside, F.length("raw_text")), "n_question_chars"),
+        count(visible, "n_visible"),
+        count(visible & ~inside, "n_unclaimed"),
+        *(count(part == p, f"n_{p}") for p in ("header", "section", "subsection", "node", "content", "stem", "body")),
+        count(part == "option", "n_option_rows"),
+        count(part == "sub_question", "n_sub_questions"),
+        count((part == "sub_question") & ~numbered, "n_unnumbered_parts"),
+        count(F.col("section").isNotNull(), "n_in_sections"),
+        count(F.col("subsection").isNotNull(), "n_in_subsections"),
+        count(F.col("node").isNotNull(), "n_in_nodes"),
+        total(F.when(inside, blanks_), "n_blanks"),
+        count(inside & (blanks_ > 0), "n_blocks_with_blanks"),
+        F.max(F.length("raw_text")).cast("long").alias("longest_block"),
+    )
+    rows_of = found.agg(F.count("*").alias("n_options"), count(F.col("recovered"), "n_recovered_options"), count(F.col("text") == "", "n_empty_options"), F.max("option_no").cast("long").alias("most_options"), F.countDistinct("label").alias("n_labels"))
+    groups = F.size("option_groups")
+    questions_ = asked.agg(
+        F.count("*").alias("n_questions"),
+        count(groups > 0, "n_choice_questions"),
+        count(groups == 1, "n_single_group"),
+        count(groups > 1, "n_several_groups"),
+        count(F.col("complete"), "n_complete"),
+        count(F.size("option_gaps") > 0, "n_with_gaps"),
+        total(groups, "n_groups"),
+        F.countDistinct("atom_id").alias("n_distinct_questions"),
+        F.max("n_blocks").alias("most_blocks"),
+        F.max(F.length("joined")).cast("long").alias("longest_question"),
+        total(F.length("stem"), "n_stem_chars"),
+    )
+    one = F.lit(1).alias("__one")
+    joined = each.withColumn("__one", one).join(rows_of.withColumn("__one", one), "__one").join(questions_.withColumn("__one", one), "__one")
+    return joined.drop("__one")
+
+
 def atoms(blocks: DataFrame, marks: Marks, answers: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a volume's blocks, which are placed once."""
     from quillframe.sources.shared import checkpointed

@@ -9,6 +9,7 @@ from quillframe.operators import carve, gates
 from quillframe.plans.corpus import PLAIN, blocks, with_blocks
 from quillframe.plans.registry import query
 from quillframe.plans.grouped import _CARRY
+from quillframe.sources.shared import checkpointed
 from quillframe.sources.tables import table
 
 # Lines of no role become rows of options and parts with blanks, by their number; contacts open a tag; first lines are headers.
@@ -71,6 +72,11 @@ def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carve.placed(*_exam(spark, sf_dir))
 
 
+def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placed blocks, written once for the several tables that are made of them."""
+    return checkpointed(_placed(spark, sf_dir))
+
+
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels of a document answer its first question."""
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("document")).agg(F.count("*").alias("n"), F.first("quality").alias("q"), F.first("toxic").alias("t")).where("n = 1")
@@ -78,7 +84,7 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _placed(spark, sf_dir)
+    rows = _kept(spark, sf_dir)
     found = carve.options(rows)
     return carve.units(rows, carve.questions(rows, found), found, _answers(spark, sf_dir))
 
@@ -104,7 +110,7 @@ def carve_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_sql(_PLACED, _ASKED, " SELECT document, question, unit, section, subsection, node, role, stem, n_blocks, joined, array_to_string(option_groups, ' ') AS option_groups, len(option_groups) > 0 AND len(list_filter(option_groups, lambda g: g <> 'ABCD')) = 0 AS complete, array_to_string(list_filter(option_groups, lambda g: g <> substr('ABCD', 1, length(g))), ' ') AS option_gaps, substr(sha256(joined), 1, 16) AS atom_id FROM asked"))
 def carve_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions with their place, text and option groups."""
-    rows = _placed(spark, sf_dir)
+    rows = _kept(spark, sf_dir)
     out = carve.questions(rows, carve.options(rows)).drop("locator")
     return out.withColumns({c: F.array_join(c, " ") for c in ("option_groups", "option_gaps")})
 
@@ -127,17 +133,41 @@ _STREAM = (
 @query(_sql(_PLACED, _FREE, _STREAM, " SELECT * FROM spn UNION ALL SELECT * FROM rest"))
 def atom_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every character of every block with the unit it belongs to."""
-    return carve.spans(_placed(spark, sf_dir))
+    return carve.spans(_kept(spark, sf_dir))
 
 
-@query("SELECT 'persisted' AS gate, 'pass' AS status, 0::BIGINT AS n_errors")
+@query(_sql(_PLACED, _FREE, _STREAM, ", alls AS (SELECT * FROM spn UNION ALL SELECT * FROM rest), e AS (SELECT ((SELECT sum(char_end - char_start) FROM alls) <> (SELECT sum(length(raw_text)) FROM placed))::INT + (SELECT count(*) FROM placed WHERE regexp_matches(raw_text, '[^{spaces}]') AND document || '/' || locator NOT IN (SELECT block FROM spn)) AS n) SELECT 'persisted' AS gate, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status, n::BIGINT AS n_errors FROM e"))
 def atom_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The persistence gate over the whole chain: all characters attributed, no visible block without a span."""
     runs = spark.createDataFrame([("corpus", "h", 1, 1.0)], "source_id string, schema_hash string, started_at int, ratio double")
-    return gates.status(gates.persisted_stream(carve.stream(_placed(spark, sf_dir)), runs), ["persisted"])
+    return gates.status(gates.persisted_stream(carve.stream(_kept(spark, sf_dir)), runs), ["persisted"])
 
 
 @query(_sql(_PLACED, _ASKED, _FREE, _UNITS, ", blk AS (SELECT unit, sum(len(regexp_extract_all(raw_text, '[_＿]{2,}')))::BIGINT AS n_blanks FROM placed WHERE question IS NOT NULL GROUP BY unit) SELECT a.parent AS unit, a.text AS answer, n_blanks, 2::INTEGER AS n_segments, n_blanks = 2 AS pairable FROM units a JOIN blk ON blk.unit = a.parent WHERE a.kind = 'answer' AND n_blanks > 0"))
 def answer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions and their answer child: whether blanks and segments of the answer are as many."""
     return carve.answer_pairs(_units(spark, sf_dir), carve.blanks(_placed(spark, sf_dir)))
+
+
+_VISIBLE = "regexp_matches(raw_text, '[^{spaces}]')"
+_BLANKS = "len(regexp_extract_all(raw_text, '[_＿]{2,}'))"
+
+
+@query(
+    _sql(
+        _PLACED,
+        _ASKED,
+        f" SELECT * FROM (SELECT count(*) AS n_blocks, count(DISTINCT document) AS n_documents, count(DISTINCT role) AS n_roles, sum(length(raw_text))::BIGINT AS n_chars, coalesce(sum(length(raw_text)) FILTER (WHERE question IS NOT NULL), 0)::BIGINT AS n_question_chars, count(*) FILTER (WHERE {_VISIBLE}) AS n_visible, count(*) FILTER (WHERE {_VISIBLE} AND question IS NULL) AS n_unclaimed, ",
+        "".join(f"count(*) FILTER (WHERE part = '{p}') AS n_{p}, " for p in ("header", "section", "subsection", "node", "content", "stem", "body")),
+        "count(*) FILTER (WHERE part = 'option') AS n_option_rows, count(*) FILTER (WHERE part = 'sub_question') AS n_sub_questions, 0::BIGINT AS n_unnumbered_parts, count(section) AS n_in_sections, count(subsection) AS n_in_subsections, count(node) AS n_in_nodes, ",
+        f"coalesce(sum({_BLANKS}) FILTER (WHERE question IS NOT NULL), 0)::BIGINT AS n_blanks, count(*) FILTER (WHERE question IS NOT NULL AND {_BLANKS} > 0) AS n_blocks_with_blanks, max(length(raw_text))::BIGINT AS longest_block FROM placed), ",
+        "(SELECT count(*) AS n_options, 0::BIGINT AS n_recovered_options, count(*) FILTER (WHERE text = '') AS n_empty_options, max(option_no)::BIGINT AS most_options, count(DISTINCT label) AS n_labels FROM options), ",
+        "(SELECT count(*) AS n_questions, count(*) FILTER (WHERE len(option_groups) > 0) AS n_choice_questions, count(*) FILTER (WHERE len(option_groups) = 1) AS n_single_group, count(*) FILTER (WHERE len(option_groups) > 1) AS n_several_groups, count(*) FILTER (WHERE len(option_groups) > 0 AND len(list_filter(option_groups, lambda g: g <> 'ABCD')) = 0) AS n_complete, "
+        "count(*) FILTER (WHERE len(list_filter(option_groups, lambda g: g <> substr('ABCD', 1, length(g)))) > 0) AS n_with_gaps, coalesce(sum(len(option_groups)), 0)::BIGINT AS n_groups, count(DISTINCT sha256(joined)) AS n_distinct_questions, max(n_blocks) AS most_blocks, max(length(joined))::BIGINT AS longest_question, coalesce(sum(length(stem)), 0)::BIGINT AS n_stem_chars FROM asked)",
+    )
+)
+def chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures of the chain over the corpus, in one row."""
+    rows = _kept(spark, sf_dir)
+    found = carve.options(rows)
+    return carve.report(rows, found, carve.questions(rows, found))
