@@ -35,6 +35,20 @@ def sentinel_split(text: Column) -> Column:
     return F.split(text, f"[{SUB_OPEN}{SUB_CLOSE}]")
 
 
+#: A dashed arrow, with its condition in it or none, or a bare one.
+ARROW = "——+[^—→+]{0,40}→|——+>?|--+>|→|⟶|=+>"
+_CUT = "\ue002"
+
+
+def typed_segments(text: Column) -> Column:
+    """Pieces (kind, text) of a line: arrows first, then what stands between marks, then the rest; empty ones are left out."""
+    piece = lambda kind, x: F.struct(kind.alias("kind"), x.alias("text"))
+    words = lambda x: F.transform(sentinel_split(x), lambda y, j: piece(F.when(j % 2 == 1, "marked").otherwise("plain"), y))
+    parts = F.split(F.regexp_replace(text, f"({ARROW})", f"{_CUT}$1{_CUT}"), _CUT)
+    typed = F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.array(piece(F.lit("arrow"), x))).otherwise(words(x)))
+    return F.filter(F.flatten(typed), lambda p: p["text"] != "")
+
+
 def literal_split(text: Column, chars: str) -> Column:
     """Pieces of ``text`` with each of ``chars`` a piece of its own."""
     return F.filter(F.split(F.regexp_replace(text, f"([{chars}])", f"{SUB_OPEN}$1{SUB_OPEN}"), SUB_OPEN), lambda x: x != "")
@@ -54,6 +68,28 @@ def strip_marker(text: Column) -> Column:
     return F.when(F.length(F.regexp_extract(text, f"({head})", 1)) <= 12, F.regexp_replace(text, head, "")).otherwise(text)
 
 
+def strip_marker_runs(runs: Column) -> Column:
+    """Runs (structs with text) without a leading marker of at most twelve characters, which may lie across several of them.
+
+    A run of underscores or of blanks to fill in is never part of a marker; what is left of a run keeps its marks.
+    """
+    whole = F.array_join(F.transform(runs, lambda r: r["text"]), "")
+    head = F.regexp_extract(whole, portable(r"^(\s*(?:[0-9]{1,4}|[A-H])\s*[.．、)）]\s*)"), 1)
+    length = F.when((F.length(head) <= 12) & ~F.contains(head, F.lit("_")), F.length(head)).otherwise(0)
+    start = lambda k: F.aggregate(F.slice(runs, 1, k), F.lit(0), lambda a, r: a + F.length(r["text"]))
+    cut = F.transform(runs, lambda r, k: r.withField("text", F.substring(r["text"], F.greatest(length - start(k), F.lit(0)) + 1, F.length(r["text"]))))
+    return F.filter(cut, lambda r: r["text"] != "")
+
+
+def whole_line(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """The value of the first rule that matches the line as a whole, groups filled in; other lines stay."""
+    out = None
+    for pattern, value in rules:
+        hit = text.rlike(f"^(?:{portable(pattern)})$")
+        out = (F.when if out is None else out.when)(hit, F.regexp_replace(text, f"^(?:{portable(pattern)})$", value))
+    return text if out is None else out.otherwise(text)
+
+
 def content_id(text: Column, n: int = 16) -> Column:
     """The first ``n`` hexadecimal digits of the SHA-256 of ``text``."""
     return F.substring(F.sha2(text, 256), 1, n)

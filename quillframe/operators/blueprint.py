@@ -71,9 +71,9 @@ def titles(blocks: DataFrame) -> DataFrame:
 
 
 def theme_chapters(documents: DataFrame) -> DataFrame:
-    """Documents at which a theme begins, with the levels of its path."""
-    before = F.lag("theme").over(Window.partitionBy("volume").orderBy("ordinal"))
-    return documents.withColumn("before", before).where("before IS NULL OR before <> theme").withColumn("levels", F.split("theme", "/")).drop("before")
+    """The document at which each theme of a volume first comes, once per theme, with the levels of its path."""
+    first = documents.groupBy("volume", "theme").agg(F.min("ordinal").alias("ordinal"))
+    return first.where("theme IS NOT NULL").withColumn("levels", F.split("theme", "/"))
 
 
 def callout(paragraphs: DataFrame) -> DataFrame:
@@ -106,14 +106,17 @@ def option_rows(options: DataFrame, columns: str = "columns") -> DataFrame:
     return rows.groupBy("document", "question", "row_no").agg(F.transform(whole, lambda r: r["text"]).alias("cells"), F.sort_array(F.collect_set("source_row")).alias("source_rows"))
 
 
-#: A dashed arrow, with its condition in it or none, or a bare one.
-ARROW = "——+[^—→+]{0,40}→|——+>?|--+>|→|⟶|=+>"
+def reactions(lines: DataFrame, adjudicated: DataFrame, boundaries: DataFrame | None = None) -> DataFrame:
+    """Reactions in lines: dashed arrows always, bare ones only between joined terms; kind by the numbers of terms.
 
-
-def reactions(lines: DataFrame, adjudicated: DataFrame) -> DataFrame:
-    """Reactions in lines: dashed arrows always, bare ones only between joined terms; kind by the numbers of terms."""
-    arrow = F.regexp_extract("text", f"({ARROW})", 1)
-    sides = F.split(F.regexp_replace("text", ARROW, "\u0001"), "\u0001")
+    boundaries: document, ordinal, begin and end (characters) of lines whose reaction is only a part of them.
+    """
+    if boundaries is not None:
+        held = lines.join(boundaries.select("document", "ordinal", "begin", "end"), ["document", "ordinal"], "left")
+        part = F.substring("text", F.col("begin") + 1, F.col("end") - F.col("begin"))
+        lines = held.withColumn("text", F.when(F.col("begin").isNotNull(), part).otherwise(F.col("text"))).drop("begin", "end")
+    arrow = F.regexp_extract("text", f"({T.ARROW})", 1)
+    sides = F.split(F.regexp_replace("text", T.ARROW, "\u0001"), "\u0001")
     rows = lines.withColumn("arrow", arrow).where("arrow <> ''").withColumn("sides", sides).where("size(sides) = 2")
     rows = rows.withColumn("reactants", T.terms(F.get("sides", F.lit(0)))).withColumn("products", T.terms(F.get("sides", F.lit(1))))
     joined = F.contains("text", F.lit("+"))

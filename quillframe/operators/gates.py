@@ -242,6 +242,11 @@ def substituted(registered: DataFrame, applied: DataFrame, held: DataFrame) -> D
     return findings(rows, "substituted", "NOT_SUBSTITUTED", document=None, locator="object")
 
 
+def registered_count(rows: DataFrame, registered: int, gate: str = "tag_repair") -> DataFrame:
+    """A finding where a repair was not made exactly as often as registered."""
+    return findings(rows.agg(F.count("*").alias("n")).where(F.col("n") != registered), gate, "COUNT_DIFFERS", document=None, detail=F.concat_ws(" ", F.col("n").cast("string"), F.lit(str(registered))))
+
+
 def acceptance(items: DataFrame, checks: DataFrame) -> DataFrame:
     return findings(items.join(checks, "item", "left_anti"), "acceptance", "ITEM_WITHOUT_CHECK", document=None, locator="item")
 

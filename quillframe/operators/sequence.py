@@ -87,8 +87,12 @@ def option_groups(options: DataFrame, *keys: str, chars: str = "ABCD") -> DataFr
     return found.withColumn("complete", F.col("labels") == chars).withColumn("gap", F.col("labels") != F.substring(F.lit(chars), F.lit(1), F.length("labels")))
 
 
-def heading_boundaries(blocks: DataFrame, is_heading: Column, key: Column) -> DataFrame:
-    """Headings that begin a document part: not one directly before a heading of another key, and no repeat of the last."""
+def heading_boundaries(blocks: DataFrame, is_heading: Column, key: Column, is_field: Column | None = None) -> DataFrame:
+    """Headings that begin a document part: not one directly before a heading of another key, and no repeat of the last.
+
+    ``is_field``: lines that a field makes, such as those of a table of contents, are no headings.
+    """
+    is_heading = is_heading if is_field is None else is_heading & ~F.coalesce(is_field, F.lit(False))
     rows = blocks.where(F.trim("raw_text") != "").withColumn("key", F.when(is_heading, key)).withColumn("next_key", F.lead(F.when(is_heading, key)).over(over("document")))
     kept = rows.where(F.col("key").isNotNull() & (F.col("next_key").isNull() | (F.col("next_key") == F.col("key"))))
     return kept.withColumn("last_key", F.lag("key").over(over("document"))).where("last_key IS NULL OR last_key <> key").drop("last_key", "next_key")

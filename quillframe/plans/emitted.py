@@ -285,7 +285,7 @@ def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.titles(blocks).select("document", "title", "evidence.ordinal")
 
 
-@query("SELECT c_nationkey AS volume, c_custkey AS ordinal, c_mktsegment AS theme FROM (SELECT *, lag(c_mktsegment) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS before FROM customer) WHERE before IS NULL OR before <> c_mktsegment")
+@query("SELECT c_nationkey AS volume, min(c_custkey) AS ordinal, c_mktsegment AS theme FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY ALL")
 def theme_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer", "c_nationkey", "c_custkey", "c_mktsegment").select(_c("c_nationkey", "volume"), _c("c_custkey", "ordinal"), _c("c_mktsegment", "theme"))
     return blueprint.theme_chapters(rows).select("volume", "ordinal", "theme")

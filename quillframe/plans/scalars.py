@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from quillframe.functions import text as T, udfs
 from quillframe.functions.dialect import portable
-from quillframe.operators import sequence
+from quillframe.operators import gates, sequence
 from quillframe.plans.corpus import bare_lines, turns, with_blocks, with_turns
 from quillframe.plans.registry import query
+from quillframe.sources.lines import marker_lines as scan_markers
 from quillframe.sources.tables import spread, table
 
 _SPICED = "spiced AS (SELECT doc_id, replace(replace(text, ' the ', ' ' || chr(8203) || 'the' || chr(173) || ' '), 'tion', 'tion' || chr(65279)) AS text FROM documents)"
@@ -57,6 +58,51 @@ def sentinel_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumn("marked", F.col("pos") % 2 == 1)
 
 
+_LINED = "l AS (SELECT p_partkey, p_size, p_brand, 'H_2 + ' || p_brand || CASE p_partkey % 3 WHEN 0 THEN '——heat→' WHEN 1 THEN '→' ELSE ' and ' END || 'x^' || p_size AS t FROM part)"
+
+
+@query(f"WITH {_LINED}, s AS (SELECT p_partkey, unnest(CASE WHEN p_partkey % 3 = 2 THEN ['plain', 'marked', 'plain', 'marked'] ELSE ['plain', 'marked', 'plain', 'arrow', 'plain', 'marked'] END) AS kind, unnest(CASE p_partkey % 3 WHEN 0 THEN ['H', '2', ' + ' || p_brand, '——heat→', 'x', p_size::VARCHAR] WHEN 1 THEN ['H', '2', ' + ' || p_brand, '→', 'x', p_size::VARCHAR] ELSE ['H', '2', ' + ' || p_brand || ' and x', p_size::VARCHAR] END) AS text, unnest(range(0, CASE WHEN p_partkey % 3 = 2 THEN 4 ELSE 6 END)) AS pos FROM l) SELECT p_partkey, pos::INTEGER AS pos, kind, text FROM s")
+def typed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with an arrow and marked parts, in pieces by kind."""
+    p, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    arrow = F.when(p % 3 == 0, "——heat→").when(p % 3 == 1, "→").otherwise(" and ")
+    text = T.expand_subscripts(F.concat(F.lit("H_2 + "), "p_brand", arrow, F.lit("x^"), size))
+    rows = table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size").select("p_partkey", F.posexplode(T.typed_segments(text)).alias("pos", "s"))
+    return rows.select("p_partkey", "pos", "s.kind", "s.text")
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'b:x' WHEN 1 THEN 'a:12|b:x' ELSE 'a:1|b:_. x' END || o_orderpriority AS runs FROM orders")
+def strip_marker_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers that lie across two runs go; a number without a stop, or before a blank to fill in, stays."""
+    k = F.col("o_orderkey") % 3
+    run = lambda text, mark: F.struct(text.alias("text"), F.lit(mark).alias("mark"))
+    first = F.when(k == 0, "1").when(k == 1, "12").otherwise("1")
+    second = F.when(k == 0, "2. x").when(k == 1, "x").otherwise("_. x")
+    runs = F.array(run(first, "a"), run(F.concat(second, "o_orderpriority"), "b"))
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select("o_orderkey", T.strip_marker_runs(runs).alias("runs"))
+    return rows.select("o_orderkey", F.array_join(F.transform("runs", lambda r: F.concat(r["mark"], F.lit(":"), r["text"])), "|").alias("runs"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN '【1·URGENT】' WHEN o_orderpriority = '5-LOW' THEN 'least' ELSE o_orderpriority END AS title FROM orders")
+def whole_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a rule matches as a whole; those that hold more than it stay."""
+    title = T.whole_line(F.col("o_orderpriority"), [(r"(\d)-(URGENT)", "【$1·$2】"), ("5-LOW", "least"), ("MEDIUM", "never")])
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select("o_orderkey", title.alias("title"))
+
+
+@query(with_blocks(f", m AS (SELECT document, ordinal, regexp_extract(raw_text, '^{portable(chr(92) + 's')}*([0-9]{{1,4}}){portable(chr(92) + 's')}*[.．、)）]', 1) AS d, regexp_extract(raw_text, '^{portable(chr(92) + 's')}*([A-H]){portable(chr(92) + 's')}*[.．、)）]', 1) AS l FROM lines) SELECT document, ordinal, CASE WHEN d <> '' THEN d::INTEGER ELSE ascii(l) - 64 END AS printed FROM m WHERE d <> '' OR l <> ''"))
+def marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that begin with a printed number."""
+    return scan_markers(bare_lines(spark, sf_dir)).select("document", "ordinal", "printed")
+
+
+@query("SELECT 'COUNT_DIFFERS' AS code, count(*) || ' 5' AS detail FROM orders WHERE o_orderstatus = 'P' HAVING count(*) <> 5")
+def registered_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders as repairs, of which five are registered."""
+    rows = table(spark, sf_dir, "orders", "o_orderstatus").where("o_orderstatus = 'P'")
+    return gates.registered_count(rows, 5).select("code", "detail")
+
+
 _NUMBERED = "n AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN (o_orderkey % 100) || '. ' WHEN 1 THEN '(' WHEN 2 THEN chr((65 + o_orderkey % 10)::INT) || '、' WHEN 3 THEN chr((9312 + o_orderkey % 25)::INT) WHEN 4 THEN '  7． ' ELSE '' END || o_orderpriority AS text FROM orders)"
 
 

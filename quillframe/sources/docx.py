@@ -34,9 +34,9 @@ V = "{urn:schemas-microsoft-com:vml}"
 WPS = "{http://schemas.microsoft.com/office/word/2010/wordprocessingShape}"
 
 BLOCKS = "source_id string, ordinal long, locator string, block_type string, is_text_carrier boolean, raw_text string, style string, num_id string, num_level int, in_fallback_chars int, unrendered array<string>, runs array<struct<text:string,bold:boolean,italic:boolean,underline:string,color:string,size:int,highlight:string,vert:string,emphasis:string,shading:string>>, formulas array<string>"
-FIGURES = "source_id string, locator string, figure_no int, char_offset int, media_id string, ext string, cx_emu long, cy_emu long, anchoring string, wrap string, shape string, shares_drawing boolean, body_half_points int"
+FIGURES = "source_id string, locator string, figure_no int, char_offset int, media_id string, ext string, cx_emu long, cy_emu long, anchoring string, wrap string, shape string, shares_drawing boolean, crop string, anchor_x long, anchor_y long, placed string, wrap_xml string, body_half_points int"
 FACTS = "source_id string, locator string, layer string, run_index int, key string, value string"
-CELLS = "source_id string, locator string, n_rows int, n_columns int, row_no int, column_no int, grid_span int, v_merge string, text string"
+CELLS = "source_id string, locator string, n_rows int, n_columns int, row_no int, column_no int, grid_span int, v_merge string, height string, height_rule string, is_header boolean, cant_split boolean, width string, v_align string, alignment string, text string"
 LENGTH_UNITS = {"pt": 12700.0, "in": 914400.0, "cm": 360000.0, "mm": 36000.0, "pc": 152400.0, "px": 9525.0}
 
 
@@ -163,6 +163,20 @@ def _run_marks(r: ET.Element) -> dict:
     }
 
 
+def _attributes(element: ET.Element | None) -> str | None:
+    """All attributes as sorted text."""
+    return None if element is None else ";".join(f"{_local(k)}={v}" for k, v in sorted(element.attrib.items())) or None
+
+
+def _offsets(place: ET.Element | None) -> dict[str, int | None]:
+    """Where an anchored drawing is put, from the edge of what it is anchored to."""
+    out = {}
+    for name, side in (("anchor_x", "positionH"), ("anchor_y", "positionV")):
+        found = None if place is None else place.find(f"{WP}{side}/{WP}posOffset")
+        out[name] = int(found.text) if found is not None and (found.text or "").strip().lstrip("-").isdigit() else None
+    return out
+
+
 @dataclass
 class Paragraph:
     """What a paragraph holds."""
@@ -213,10 +227,14 @@ def read_paragraph(p: ET.Element, package: Package) -> Paragraph:
         kind = next((_local(x.tag) for x in drawing.iter() if _local(x.tag) in ("pic", "wsp", "wgp")), "")
         preset = next((x.get("prst") for x in drawing.iter(f"{A}prstGeom")), None)
         blips = [b.get(R + "embed") for b in drawing.iter(f"{A}blip")] or [None]
+        own = next(drawing.iter(f"{A}ext"), None) if extent is None else extent
+        extent = own if own is not None and own.get("cx") else None
+        wrapped = None if place is None else next((x for x in place if _local(x.tag).startswith("wrap")), None)
+        more = {"crop": _attributes(next(drawing.iter(f"{A}srcRect"), None)), **_offsets(place), "placed": _attributes(place), "wrap_xml": None if wrapped is None else ET.tostring(wrapped, encoding="unicode")}
         for k, relation in enumerate(blips):
             media_id, ext = package.media(relation)
             shape = "picture" if relation else ("arrow" if preset and "arrow" in preset.lower() else "shape")
-            out.figures.append({"char_offset": len(out.text), "media_id": media_id, "ext": ext, "cx_emu": int(extent.get("cx")) if extent is not None else None, "cy_emu": int(extent.get("cy")) if extent is not None else None, "anchoring": "" if place is None else _local(place.tag), "wrap": wrap, "shape": shape if kind or relation else "shape", "shares_drawing": k > 0})
+            out.figures.append({"char_offset": len(out.text), "media_id": media_id, "ext": ext, "cx_emu": int(extent.get("cx")) if extent is not None else None, "cy_emu": int(extent.get("cy")) if extent is not None else None, "anchoring": "" if place is None else _local(place.tag), "wrap": wrap, "shape": shape if kind or relation else "shape", "shares_drawing": k > 0, **more})
         out.boxes.extend(b for b in drawing.iter(f"{W}txbxContent"))
 
     def vml(pict: ET.Element) -> None:
@@ -225,7 +243,7 @@ def read_paragraph(p: ET.Element, package: Package) -> Paragraph:
                 cx, cy = css_emu(shape.get("style", ""))
                 image = shape.find(f"{V}imagedata")
                 media_id, ext = package.media(None if image is None else image.get(R + "id"))
-                out.figures.append({"char_offset": len(out.text), "media_id": media_id, "ext": ext, "cx_emu": cx, "cy_emu": cy, "anchoring": "vml", "wrap": "", "shape": "picture" if media_id else "shape", "shares_drawing": False})
+                out.figures.append({"char_offset": len(out.text), "media_id": media_id, "ext": ext, "cx_emu": cx, "cy_emu": cy, "anchoring": "vml", "wrap": "", "shape": "picture" if media_id else "shape", "shares_drawing": False, "crop": None, "anchor_x": None, "anchor_y": None, "placed": _attributes(shape), "wrap_xml": None})
         out.boxes.extend(pict.iter(f"{W}txbxContent"))
 
     def walk(node: ET.Element, marks: dict) -> None:
@@ -316,7 +334,7 @@ def read(content: bytes, source: str) -> dict[str, list[tuple]]:
             layer(locator, "sectPr", None, facts(properties.find(f"{W}sectPr")))
         size = body_size(got.runs) or package.sizes.get(style or "") or package.sizes.get(package.default_style or "") or package.default_size
         for k, f in enumerate(got.figures):
-            out["figures"].append((source, locator, k + 1, f["char_offset"], f["media_id"], f["ext"], f["cx_emu"], f["cy_emu"], f["anchoring"], f["wrap"], f["shape"], f["shares_drawing"], size))
+            out["figures"].append((source, locator, k + 1, f["char_offset"], f["media_id"], f["ext"], f["cx_emu"], f["cy_emu"], f["anchoring"], f["wrap"], f["shape"], f["shares_drawing"], f["crop"], f["anchor_x"], f["anchor_y"], f["placed"], f["wrap_xml"], size))
         for b, box in enumerate(got.boxes):
             for k, inner in enumerate(box.findall(f"{W}p")):
                 paragraph(inner, f"{locator}/box[{b + 1}]/p[{k + 1}]", "text_box")
@@ -330,13 +348,14 @@ def read(content: bytes, source: str) -> dict[str, list[tuple]]:
         width = len(t.findall(f"{W}tblGrid/{W}gridCol"))
         for i, row in enumerate(rows):
             layer(f"{locator}/tr[{i + 1}]", "trPr", None, facts(row.find(f"{W}trPr")))
+            of_row = row.find(f"{W}trPr")
             for j, cell in enumerate(row.findall(f"{W}tc")):
                 at, properties = f"{locator}/tr[{i + 1}]/tc[{j + 1}]", cell.find(f"{W}tcPr")
                 layer(at, "tcPr", None, facts(properties))
                 texts = [paragraph(p, f"{at}/p[{k + 1}]", "table_cell") for k, p in enumerate(cell.findall(f"{W}p"))]
                 for k, nested in enumerate(cell.findall(f"{W}tbl")):
                     grid(nested, f"{at}/tbl[{k + 1}]")
-                out["cells"].append((source, locator, len(rows), width, i + 1, j + 1, int(_mark(properties, "gridSpan") or 1), _mark(properties, "vMerge"), "\n".join(texts)))
+                out["cells"].append((source, locator, len(rows), width, i + 1, j + 1, int(_mark(properties, "gridSpan") or 1), _mark(properties, "vMerge"), _mark(of_row, "trHeight"), _mark(of_row, "trHeight", "hRule") if _mark(of_row, "trHeight") else None, _toggle(of_row, "tblHeader"), _toggle(of_row, "cantSplit"), _mark(properties, "tcW", "w"), _mark(properties, "vAlign"), next((a for p in cell.findall(f"{W}p") if (a := _mark(p.find(f"{W}pPr"), "jc"))), None), "\n".join(texts)))
 
     body = package.document.find(f"{W}body")
     n_paragraphs = n_tables = 0

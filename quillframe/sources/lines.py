@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillframe.functions.text import marker_ordinal
 
 def _with_field(name: str, make: Callable[[Column], Column], of: str) -> Callable[[Column], Column]:
     return lambda row: row.withField(name, make(row[of]))
@@ -28,6 +29,11 @@ def line_blocks(docs: DataFrame, document: str = "doc_id", text: str = "text", d
     return lines.select("document", ordinal.alias("ordinal"), F.concat(F.lit("body/p["), ordinal.cast("string"), F.lit("]")).alias("locator"), "line.*")
 
 
+def marker_lines(lines: DataFrame, text: str = "raw_text") -> DataFrame:
+    """Of rendered lines, those that begin with a printed number, with that number."""
+    return lines.withColumn("printed", marker_ordinal(F.col(text))).where("printed IS NOT NULL")
+
+
 def turn_blocks(conversations: DataFrame) -> DataFrame:
     """Turns as blocks: document is the conversation, ordinal the turn, role as given."""
     return conversations.select(F.col("conv_id").alias("document"), F.col("turn").alias("ordinal"), F.concat(F.lit("turn["), F.col("turn").cast("string"), F.lit("]")).alias("locator"), F.col("role").alias("speaker"), F.col("text").alias("raw_text"))
