@@ -15,7 +15,7 @@ from quillframe.sources.shared import checkpointed, removed, share_package, stag
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
-HOT_ROWS = 5000
+HOT_ROWS = 1000
 #: Bytes that the regular expression class [\x20\x09-\x0D] matches.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

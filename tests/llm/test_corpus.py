@@ -97,7 +97,7 @@ def brute_links(rows):
     return sorted(((d, name(i), links[i]) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("block,blocks,hot", [(4, 64, 5000), (4, 2, 1), (256, 64, 5000)])
+@pytest.mark.parametrize("block,blocks,hot", [(4, 64, 1000), (4, 2, 1), (256, 64, 1000)])
 def test_jaccard_join(spark, monkeypatch, block, blocks, hot):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "BLOCKS", blocks)
@@ -131,7 +131,7 @@ def test_jaccard_stage(spark):
     assert jaccard.classes(helpers.empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, 5000])
+@pytest.mark.parametrize("hot", [1, 1000])
 def test_components(spark, monkeypatch, hot):
     monkeypatch.setattr(common, "HOT_ROWS", hot)
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (7, 7)]
