@@ -336,6 +336,97 @@ def test_host_texts_against_brute_force(spark, monkeypatch, parts, most):
     assert got == want and any(len(t) < len("\n".join(b)) for pages in hosts.values() for (k, b) in pages for t in [got[k]])
 
 
+def brute_stories(pages):
+    """Texts of one host's pages, lists of (block, part, whether it is a link), by the rules alone. Parts below 0 are beside the stories; all are None where there is none."""
+    stream = lambda page: tuple([None] + [t for b, _, _ in page for t in [*html._tokens(b), None]])
+    distinct = {stream(p): p for p in pages}
+    runs, holders = defaultdict(set), defaultdict(set)
+    for s, p in distinct.items():
+        for i in range(len(s) - html.RUN + 1):
+            runs[s[i : i + html.RUN]].add(s)
+        for b, _, _ in p:
+            holders[b].add(s)
+    half, out = max(3, len(distinct) / 2), []
+    for p in pages:
+        s, at, rows = stream(p), 1, []
+        for b, part, link in p:
+            n = len(html._tokens(b))
+            over = [max((len(runs[s[i : i + html.RUN]]) for i in range(max(0, k - html.RUN + 1), min(k, len(s) - html.RUN) + 1)), default=0) for k in range(at, at + n)]
+            often = max(sorted(over)[0 if n < html.RUN else int(n * (1 - html.COVERED))], len(holders[b]))
+            prose = n >= html.PROSE_WORDS and not link
+            rows.append((b, part, link, prose, often < (half if prose or part is not None and part >= 0 else 2)))
+            at += n + 1
+        own = {part for _, part, _, _, o in rows if o and part is not None and part >= 0}
+        beside = [r for r in rows if r[1] is None or r[1] == -1]
+        if own:
+            kept = [r for r in rows if r[1] in own and (r[4] or not r[2])]
+        elif all(part is None for _, part, _, _, _ in rows):
+            kept = [r for r in rows if r[4]]
+        elif not any(r[3] and r[1] >= 0 for r in rows) and any(r[3] and r[4] for r in beside):
+            kept = [r for r in beside if r[4]]
+        else:
+            kept = [r for r in rows if r[1] >= 0]
+        out.append("\n".join(r[0] for r in kept))
+    return out
+
+
+@pytest.mark.parametrize("parts,most", [("1", None), ("8", None), ("8", 0), ("3", 0)])
+def test_hosts_of_articles_against_brute_force(spark, monkeypatch, parts, most):
+    """Pages with an article or a main element are compared with their host like all others."""
+    rng = np.random.default_rng(11)
+    teasers = [helpers.prose(700 + k, n, 1) for k, n in enumerate((3, 6, 12, 12, 45))]
+    menu, notice, shared = "Home Topics About", helpers.prose(720, 12, 1), helpers.prose(721, 50, 1)
+    hosts = defaultdict(list)
+    for k in range(160):
+        kind, host = int(rng.integers(0, 6)), ("big" if k % 3 else f"h{k % 4}")
+        body = [(f"Title {k}", 1, False), (helpers.prose(k, 40, 1) if k % 7 else shared, 1, False), (menu, 1, True)]
+        if kind == 0:  # neither article nor main element
+            page = [(b, None, link) for b, _, link in [*body, (notice, None, False)]]
+        elif kind == 1:  # only a teaser is an article; some pages have text beside it
+            page = [(teasers[2 if k % 5 else 0], 1, False), (helpers.prose(k, 40 if k % 4 else 5, 1), -1, False), (notice, -1, False)]
+        elif kind == 2:  # one story, with nothing beside it
+            page = body[:2]
+        else:
+            page = [*body, *((teasers[i], 2 + j, False) for j, i in enumerate([2] * (k % 11 > 0) + rng.choice((0, 1, 3, 4), int(rng.integers(0, 3)), replace=False).tolist())), (notice, -1, False)]
+        hosts[host].append((k, kind, page))
+    hosts["quiet"] = [(1000 + k, 2, [(f"Title {k % 2}", 1, False), (shared, 1, False)]) for k in range(5)]
+
+    def source(kind, page):
+        out = ""
+        for part in dict.fromkeys(p for _, p, _ in page):
+            inside = "".join(f"<p><a href=/>{b}</a></p>" if link else f"<p>{b}</p>" for b, p, link in page if p == part)
+            out += f"<article>{inside}</article>" if part is not None and part >= 0 else inside
+        return f"<html><body>{out}</body></html>"
+
+    want = {k: t for pages in hosts.values() for (k, _, _), t in zip(pages, brute_stories([p for _, _, p in pages]))}
+    rows = [(k, f"http://{h}.org/{k}", source(kind, page)) for h, pages in hosts.items() for k, kind, page in pages]
+    if most is not None:
+        monkeypatch.setattr(html, "HOST_TOKENS", most)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r[0]: r[1] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), "page_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == want
+    told = [(kind, [b for b, p, _ in page if p is None or p >= 0], got[k].split("\n")) for pages in hosts.values() for k, kind, page in pages]
+    assert all(named == text for kind, named, text in told if kind == 2)  # an only story is whole, whatever others share
+    assert {text == named for kind, named, text in told if kind == 1} == {teasers[2] in text for kind, _, text in told if kind > 2} == {True, False}
+    assert all(menu not in text for _, _, text in told)
+
+
+def test_host_of_articles(spark):
+    """A page without an article is compared with those that have one; teasers and menus that structure does not name go, what is shared in a story stays."""
+    notice, shared, promo = "<p>All rights reserved by the site, do not copy.</p>", helpers.prose(800, 40, 1), "<article><h2>Our shop has it all</h2><p>Come and see</p></article>"
+    share = "<p><a href=/s>Share this story</a></p>"
+    story = lambda k: f"<article><h1>Story {k}</h1><p>{shared}</p>{share}</article>"
+    pages = [(k, f"<main>{story(k)}{promo}</main>{notice}") for k in range(5)]
+    pages += [(5, f"<p>{helpers.prose(805, 40, 1)}</p>{notice}"), (6, f"{promo}<div><p>{helpers.prose(806, 40, 1)}</p></div>{notice}"), (7, f"{promo}{notice}")]
+    frame = spark.createDataFrame([(k, f"http://a.org/{k}", h) for k, h in pages], "page_id long, url string, html string")
+    got = {r[0]: r[1] for r in html.main_text(frame, "page_id").collect()}
+    assert got == {k: f"Story {k}\n{shared}" for k in range(5)} | {5: helpers.prose(805, 40, 1), 6: helpers.prose(806, 40, 1), 7: "Our shop has it all\nCome and see"}
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     streams = [rng.integers(0, 2, int(n)) for n in rng.integers(0, 40, 12)] + [np.zeros(33, np.int64)] * 2
