@@ -163,10 +163,25 @@ def banner_paragraphs(blocks: DataFrame, boxes: DataFrame, declared: DataFrame)
     return out, marked.where("known IS NULL AND text <> ''").drop("known")
 
 
+#: Blocks of a source that are compared with the spans among them, on average.
+SLICE = 256
+
+
 def sliced(blocks: DataFrame, spans: DataFrame) -> DataFrame:
-    """Blocks of a source with the document whose span [start, end) holds their ordinal."""
-    inside = (blocks["source_id"] == spans["source_id"]) & (blocks["ordinal"] >= spans["start"]) & (blocks["ordinal"] < spans["end"])
-    return blocks.join(spans, inside).select(blocks["*"], spans["document"])
+    """Blocks of a source with the document whose span [start, end) holds their ordinal.
+
+    A source is cut into stretches of about SLICE blocks, and a span into one row per stretch that it touches, as far
+    as its source has blocks. So few blocks and spans are compared, however few and long the sources are.
+    """
+    width = F.greatest(F.lit(1), F.ceil((F.max("ordinal") - F.min("ordinal") + 1) / F.count("*") * SLICE)).cast("long")
+    sizes = blocks.groupBy("source_id").agg(F.min("ordinal").alias("__low"), F.max("ordinal").alias("__high"), width.alias("__width"))
+    place = lambda c: F.floor((c - F.col("__low")) / F.col("__width")).cast("long")
+    cut = blocks.join(sizes, "source_id").withColumn("__stretch", place(F.col("ordinal")))
+    some = spans.join(sizes, "source_id").where("start < end AND start <= __high AND end > __low")
+    first, last = place(F.greatest("start", "__low")), place(F.least(F.col("end") - 1, F.col("__high")))
+    each = some.select("source_id", "start", "end", "document", F.explode(F.sequence(first, last)).alias("__stretch"))
+    inside = (cut["source_id"] == each["source_id"]) & (cut["__stretch"] == each["__stretch"]) & (cut["ordinal"] >= each["start"]) & (cut["ordinal"] < each["end"])
+    return cut.join(each, inside).select(*(cut[c] for c in blocks.columns), each["document"])
 
 
 def figure_catalogue(figures: DataFrame) -> DataFrame:

@@ -65,3 +65,20 @@ def test_tables_in_text(spark, digest):
     files, decided = markdown.provenance(rows_, "Ported", "Decisions")
     assert rows(files, "path", "digest", "kind") == [("src/x.py", "11", "copied"), ("y.json", "22", "ported")]
     assert rows(decided, "path", "verdict", "why") == [("src/x.py", "keep", "since it is so")]
+
+
+def test_slices_overlap_and_reach_beyond_their_source(spark):
+    blocks = [("s", 3 * i) for i in range(2000)] + [("t", i) for i in range(700)] + [("t", 10**9), ("u", 5)]
+    spans = [("s", 0, 10**12, "all"), ("s", 40, 700, "some"), ("s", 600, 4100, "more"), ("s", 9, 9, "empty"), ("t", -50, 1, "front"), ("t", 699, 10**9 + 1, "gap"), ("u", 6, 99, "behind"), ("v", 0, 9, "none")]
+    got = streams.sliced(spark.createDataFrame(blocks, "source_id string, ordinal long"), spark.createDataFrame(spans, "source_id string, start long, end long, document string"))
+    assert rows(got, "source_id", "ordinal", "document") == sorted(((b, o, d) for b, o in blocks for s, i, j, d in spans if s == b and i <= o < j), key=str)
+
+
+def test_slices_compare_few_rows(spark):
+    n = 40_000
+    blocks = spark.range(n).selectExpr("0 AS source_id", "id AS ordinal")
+    spans = spark.range(0, n, 2).selectExpr("0 AS source_id", "id AS start", "id + 2 AS end", "id AS document")
+    out = streams.sliced(blocks, spans)
+    assert out.count() == n
+    join = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[1].splitlines()[0]
+    assert "__stretch" in join
