@@ -272,7 +272,7 @@ _PREDICATES = {f"{r.order}:{r.id}": r.pattern for r in RULES} | {"never": "\\d{4
 
 @query(with_blocks(", h AS (" + " UNION ALL ".join(f"SELECT {dialect.sql_literal(n)} AS predicate, sum(regexp_matches(text, {dialect.sql_literal(dialect.matching(p))})::INT)::BIGINT AS hits FROM blocks" for n, p in _PREDICATES.items()) + ") SELECT *, CASE WHEN hits = 0 THEN 'NEVER_MATCHES' END AS problem FROM h"))
 def predicate_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.predicate_hits(texts(spark, sf_dir), {n: F.col("text").rlike(dialect.matching(p)) for n, p in _PREDICATES.items()})
+    return aggregates.predicate_hits(texts(spark, sf_dir), {n: dialect.matches(p, F.col("text")) for n, p in _PREDICATES.items()})
 
 
 @query("SELECT doc_id, sha256(text) AS digest, substr(sha256(text), 1, 16) AS atom_id, substr(sha256(text), 1, 12) AS banner_id FROM documents")

@@ -1,8 +1,12 @@
 """Queries against their SQL on small tables of odd content, which the supplied ones have only at size."""
 
+import re
+
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from quillframe.functions import dialect
 from tests.test_oracle import table
 
 
@@ -29,3 +33,15 @@ def test_references_cut_before_their_semicolon(spark, tmp_path):
 def test_dominant_run_where_order_keys_outweigh_prices(spark, tmp_path):
     lines = "SELECT * FROM (VALUES (1::BIGINT, 7::BIGINT, 1::INTEGER, 100.0::DOUBLE), (20001, 7, 2, 100.01), (5, 8, 3, 50.0), (9000000, 8, 4, 60.0), (9, 9, 5, 1.0)) AS t(l_orderkey, l_suppkey, l_linenumber, l_extendedprice)"
     assert {tuple(r) for r in same(spark, tmp_path, "dominant_run", lineitem=lines)} == {(1, 7), (4, 8), (5, 9)}
+
+
+PATTERNS = {r".*\b(Licen[sc]e|Copyright)\b": ["Licen", "Copyright"], r".*\S@\S": ["@"], r"\S+ \| \S": [" | "], r".*\d": [], r"(?i)abc": [], r"(?i:abc)de": ["de"], r"ab|": [], r"x(ab){2}": ["ab"], r"(ab){0,2}c": ["c"], r"[a]b?\.z": [".z"], r"(?!abc)x": ["x"]}
+
+
+def test_texts_that_a_pattern_needs(spark):
+    texts = ["", None, "a@b", "a @ b", "no sign", "the Licence", "Licenses", "Copyright x", "xabab", "xab", "ab", "abc", "ABC", "ABCde", "abde", "ababc", "c", "a.z", "ab.z", "a | b", "| b", "7", "x", "long " * 5000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for pattern, needs in PATTERNS.items():
+        assert dialect.needed(pattern) == needs
+        got = [r[1] for r in rows.select("i", F.coalesce(dialect.matches(pattern, F.col("t")), F.lit(False))).orderBy("i").collect()]
+        assert got == [t is not None and re.match(pattern, t) is not None for t in texts], pattern
