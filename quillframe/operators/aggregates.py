@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def carve_report(blocks: DataFrame) -> DataFrame:
-    """One row by kind and role: blocks, documents, characters, blanks, longest."""
+def carve_report(blocks: DataFrame, *more: Column) -> DataFrame:
+    """One row by kind and role: blocks, documents, characters, blanks, longest, and what ``more`` aggregates give."""
     return blocks.groupBy("role", "kind").agg(
         F.count("*").alias("n_blocks"),
         F.countDistinct("document").alias("n_documents"),
         F.sum(F.length("text")).cast("long").alias("n_chars"),
         F.sum(F.when(F.col("text") == "", 1).otherwise(0)).cast("long").alias("n_empty"),
         F.max(F.length("text")).cast("long").alias("longest"),
+        *more,
     )
 
 
@@ -74,6 +75,11 @@ def before_after(before: DataFrame, after: DataFrame, *keys: str) -> DataFrame:
     return a.join(b, list(keys), "full_outer").select(*keys, F.coalesce("n_before", F.lit(0)).alias("n_before"), F.coalesce("n_after", F.lit(0)).alias("n_after"))
 
 
+def before_kept(before: DataFrame, kept: Column, *keys: str) -> DataFrame:
+    """:func:`before_after` where what comes after is the rows that ``kept`` holds for: one pass."""
+    return before.groupBy(*keys).agg(F.count("*").alias("n_before"), F.count_if(kept).alias("n_after"))
+
+
 def distributions(source: DataFrame, output: DataFrame, adjudicated: list[str]) -> DataFrame:
     """Verdict for each property: unused, adjudicated, unlinked, weakened, connected.
 

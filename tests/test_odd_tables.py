@@ -3,6 +3,7 @@
 import re
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -45,3 +46,9 @@ def test_texts_that_a_pattern_needs(spark):
         assert dialect.needed(pattern) == needs
         got = [r[1] for r in rows.select("i", F.coalesce(dialect.matches(pattern, F.col("t")), F.lit(False))).orderBy("i").collect()]
         assert got == [t is not None and re.match(pattern, t) is not None for t in texts], pattern
+
+
+@pytest.mark.parametrize("name", ["before_after_counts", "carve_report"])
+def test_lines_are_classified_once(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode") == 1
