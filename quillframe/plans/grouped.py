@@ -66,8 +66,7 @@ def carry_section(spark: SparkSession, sf_dir: str) -> DataFrame:
 def carve_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: lines, roles, sections, and what there is of each."""
     carried = sequence.section_carry(blocks(spark, sf_dir))
-    placed = carried.groupBy("role", "kind").agg(F.count("section").alias("n_in_sections"))
-    return aggregates.carve_report(carried).join(placed, ["role", "kind"])
+    return aggregates.carve_report(carried, F.count("section").alias("n_in_sections"))
 
 
 @query(with_blocks(f"{_CARRY} SELECT document, kind, section, count(*) AS n FROM carry GROUP BY document, kind, section"))
