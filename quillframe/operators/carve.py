@@ -42,9 +42,9 @@ def placed(blocks: DataFrame, marks: Marks) -> DataFrame:
     number = F.sum((F.col("kind") == "stem").cast("long")).over(sequence.so_far("document"))
     rows = rows.withColumn("question", F.when(~header & (sequence.carried(event, "document") == "stem"), number))
     asked, stem = F.col("question").isNotNull(), F.col("kind") == "stem"
-    within = sequence.so_far("document", "question")
-    after_tag = F.max((F.col("__tag") & ~stem).cast("int")).over(within) == 1
-    place = F.first(F.when(stem, F.concat_ws("/", F.col("document").cast("string"), "locator")), ignorenulls=True).over(Window.partitionBy("document", "question"))
+    # A question is one stretch that begins with its stem, so that the last tag and stem in the document's order tell.
+    after_tag = F.coalesce(sequence.carried(F.when(asked & F.col("__tag") & ~stem, F.col("question")), "document") == F.col("question"), F.lit(False))
+    place = sequence.carried(F.when(stem, F.concat_ws("/", F.col("document").cast("string"), "locator")), "document")
     part = F.when(asked & stem, "stem").when(asked & F.col("__option") & ~after_tag, "option").when(asked & F.col("__sub"), "sub_question").when(asked, "body")
     for kind, level in LEVELS.items():
         part = part.when(F.col("kind") == kind, level)

@@ -31,13 +31,17 @@ def section_carry(blocks: DataFrame, label: str = "text") -> DataFrame:
     """section, subsection and node of each block, from its ``kind``.
 
     A section banner sets the section and clears what is below it; a sub-module sets the subsection and
-    leaves the node; a section heading sets the node.
+    leaves the node; a section heading sets the node. What is carried remembers its run of the section, so that one
+    order of a document serves all.
     """
     rows = blocks.withColumn("section_run", F.sum((F.col("kind") == "section-banner").cast("long")).over(so_far("document")))
     rows = rows.withColumn("section", carried(F.when(F.col("kind") == "section-banner", F.col(label)), "document"))
     for name, kind in (("subsection", "sub-module"), ("node", "section")):
-        rows = rows.withColumn(name, carried(F.when(F.col("kind") == kind, F.substring(label, 1, 30) if name == "node" else F.col(label)), "document", "section_run"))
-    return rows
+        value = F.substring(label, 1, 30) if name == "node" else F.col(label)
+        last = carried(F.when((F.col("kind") == kind) & value.isNotNull(), F.struct("section_run", value.alias("value"))), "document")
+        rows = rows.withColumn(name, last)
+    held = lambda name: F.when(F.col(name)["section_run"].eqNullSafe(F.col("section_run")), F.col(name)["value"])
+    return rows.withColumns({name: held(name) for name in ("subsection", "node")})
 
 
 CLOSERS = ("section", "sub-module", "section-banner")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillframe.functions import dialect
+from quillframe.operators import carve
 from tests.test_oracle import table
 
 
@@ -52,3 +53,38 @@ def test_texts_that_a_pattern_needs(spark):
 def test_lines_are_classified_once(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("posexplode") == 1
+
+
+def test_places_of_blocks_need_one_order(spark):
+    plan = entry.queries()["carve_placed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Sort \[", plan)) == 1
+
+
+def test_places_where_texts_and_tags_are_missing(spark):
+    kinds = "section-banner sub-module section stem body body section stem stem body sub-module section-banner body stem header body section body".split()
+    rows = [(d, i, f"p{i}", k, "r", None if (i + d) % 5 == 0 else f"{k}{i}", "x") for d in (1, 2, 3) for i, k in enumerate(kinds)]
+    blocks = spark.createDataFrame(rows, "document int, ordinal int, locator string, kind string, role string, text string, raw_text string")
+    marks = carve.Marks(F.col("ordinal") % 2 == 1, F.col("ordinal") % 3 == 0, F.when(F.col("document") > 1, F.col("ordinal") % 4 == 0))
+    got = {(r["document"], r["ordinal"]): (r["section"], r["subsection"], r["node"], r["question"], r["unit"], r["part"]) for r in carve.placed(blocks, marks).collect()}
+    for d in (1, 2, 3):
+        section = subsection = node = question = unit = None
+        number, tag = 0, False
+        for _, i, locator, kind, _, text, _ in (r for r in rows if r[0] == d):
+            if kind == "section-banner":
+                section, subsection, node = text or section, None, None
+            elif kind == "sub-module":
+                subsection = text or subsection
+            elif kind == "section":
+                node = text or node
+            if kind == "stem":
+                number, tag = number + 1, False
+                question, unit = number, f"{d}/{locator}"
+            elif kind in ("section-banner", "sub-module", "section"):
+                question = None
+            asked = question is not None and kind != "header"
+            tag = tag or asked and kind != "stem" and d > 1 and i % 4 == 0
+            if asked:
+                part = "stem" if kind == "stem" else "option" if i % 2 == 1 and not tag else "sub_question" if i % 3 == 0 else "body"
+            else:
+                part = {"section-banner": "section", "sub-module": "subsection", "section": "node", "header": "header"}.get(kind, "content")
+            assert got[d, i] == (section, subsection, node, question if asked else None, unit if asked else None, part), (d, i)
