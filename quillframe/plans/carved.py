@@ -83,8 +83,7 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("document", F.lit(1).cast("long").alias("question"), F.concat(F.lit("q"), F.col("q").cast("string"), F.lit("、t"), F.col("t").cast("string")).alias("answer"))
 
 
-def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _kept(spark, sf_dir)
+def _units(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     found = carve.options(rows)
     return carve.units(rows, carve.questions(rows, found), found, _answers(spark, sf_dir))
 
@@ -118,7 +117,7 @@ def carve_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_sql(_PLACED, _ASKED, _FREE, _UNITS, " SELECT * FROM units"))
 def atom_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All units: questions, options, parts, answers, and what nobody claims."""
-    return _units(spark, sf_dir)
+    return _units(spark, sf_dir, _kept(spark, sf_dir))
 
 
 _STREAM = (
@@ -146,7 +145,8 @@ def atom_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_sql(_PLACED, _ASKED, _FREE, _UNITS, ", blk AS (SELECT unit, sum(len(regexp_extract_all(raw_text, '[_＿]{2,}')))::BIGINT AS n_blanks FROM placed WHERE question IS NOT NULL GROUP BY unit) SELECT a.parent AS unit, a.text AS answer, n_blanks, 2::INTEGER AS n_segments, n_blanks = 2 AS pairable FROM units a JOIN blk ON blk.unit = a.parent WHERE a.kind = 'answer' AND n_blanks > 0"))
 def answer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions and their answer child: whether blanks and segments of the answer are as many."""
-    return carve.answer_pairs(_units(spark, sf_dir), carve.blanks(_placed(spark, sf_dir)))
+    rows = _kept(spark, sf_dir)
+    return carve.answer_pairs(_units(spark, sf_dir, rows), carve.blanks(rows))
 
 
 _VISIBLE = "regexp_matches(raw_text, '[^{spaces}]')"

@@ -88,3 +88,8 @@ def test_places_where_texts_and_tags_are_missing(spark):
             else:
                 part = {"section-banner": "section", "sub-module": "subsection", "section": "node", "header": "header"}.get(kind, "content")
             assert got[d, i] == (section, subsection, node, question if asked else None, unit if asked else None, part), (d, i)
+
+
+def test_answer_pairs_place_the_lines_once(spark):
+    plan = entry.queries()["answer_pairs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan  # all of it is read from the blocks as they were written
