@@ -310,11 +310,11 @@ def order_inverted(rows: DataFrame) -> DataFrame:
 
 def figures_lost(wanted: DataFrame, got: DataFrame, declared: DataFrame) -> DataFrame:
     """Fewer figures at a locator than the source has, declared ones counted in."""
-    keys = ["document", "locator"]
-    count = lambda rows, name: rows.groupBy(*keys).agg(F.count("*").alias(name))
-    rows = count(wanted, "wanted").join(count(got, "got"), keys, "left").join(count(declared, "declared"), keys, "left")
-    rows = rows.select(*keys, "wanted", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("got", "declared")))
-    return findings(rows.where("got + declared < wanted"), "verify", "FIGURE_LOST", locator="locator", detail=F.concat_ws(" ", "wanted", "got", "declared"))
+    keys, names = ["document", "locator"], ("wanted", "got", "declared")
+    placed = F.col("document").isNotNull() & F.col("locator").isNotNull()  # what has no place is not found again
+    side = lambda rows, name: rows.select(*keys, *(F.when(F.lit(n == "wanted") | placed, F.lit(int(n == name))).otherwise(0).alias(n) for n in names))
+    rows = union(side(wanted, "wanted"), side(got, "got"), side(declared, "declared")).groupBy(*keys).agg(*(F.sum(n).alias(n) for n in names))
+    return findings(rows.where("got + declared < wanted"), "verify", "FIGURE_LOST", locator="locator", detail=F.concat_ws(" ", *names))
 
 
 def figures_different(source: DataFrame, output: DataFrame) -> DataFrame:

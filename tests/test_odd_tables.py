@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillframe.functions import dialect
-from quillframe.operators import carve
+from quillframe.operators import carve, gates
 from tests.test_oracle import table
 
 
@@ -93,3 +93,11 @@ def test_places_where_texts_and_tags_are_missing(spark):
 def test_answer_pairs_place_the_lines_once(spark):
     plan = entry.queries()["answer_pairs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" not in plan  # all of it is read from the blocks as they were written
+
+
+def test_figures_are_counted_without_a_join(spark):
+    some = lambda *rows: spark.createDataFrame(list(rows), "document int, locator string")
+    wanted = some((1, "a"), (1, "a"), (1, "b"), (2, None), (2, "c"), (3, "d"), (3, "d"))
+    found = gates.figures_lost(wanted, some((1, "a"), (1, "b"), (2, None), (3, "d"), (9, "z")), some((3, "d"), (8, "y")))
+    assert sorted((tuple(r) for r in found.select("document", "locator", "detail").collect()), key=str) == [("1", "a", "2 1 0"), ("2", "c", "1 0 0"), ("2", None, "1 0 0")]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
