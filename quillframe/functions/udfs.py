@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +26,25 @@ def regex_spans(pattern: str):
     """A column function: all matches of a Python pattern with their positions in code points."""
     compiled = re.compile(pattern)
 
-    @F.pandas_udf(SPANS)
-    def spans(text: pd.Series) -> pd.Series:
-        return text.map(lambda x: None if x is None else [{"ix": i, "start": m.start(), "end": m.end(), "text": m[0], "groups": list(m.groups())} for i, m in enumerate(compiled.finditer(x))])
+    @F.arrow_udf(SPANS)
+    def spans(text: pa.Array) -> pa.Array:
+        # Columns of plain numbers and one of texts: a Python object for each match of a batch would need many times that.
+        offsets, number, start, end, words, groups = [0], array("i"), array("i"), array("i"), [], []
+        nulls = []
+        for x in text:
+            i = 0
+            for i, m in enumerate(compiled.finditer(x.as_py()) if x.is_valid else (), 1):
+                number.append(i - 1)
+                start.append(m.start())
+                end.append(m.end())
+                words.append(m[0])
+                groups.extend(m.groups())
+            offsets.append(offsets[-1] + i)
+            nulls.append(not x.is_valid)
+        ints = lambda values: pa.array(values, pa.int32())
+        groups_ = pa.ListArray.from_arrays(ints(range(0, (len(words) + 1) * compiled.groups, compiled.groups) if compiled.groups else [0] * (len(words) + 1)), pa.array(groups, pa.string()))
+        found = pa.StructArray.from_arrays([ints(number), ints(start), ints(end), pa.array(words, pa.string()), groups_], names=["ix", "start", "end", "text", "groups"])
+        return pa.ListArray.from_arrays(ints(offsets), found, mask=pa.array(nulls, pa.bool_()))
 
     return spans
 

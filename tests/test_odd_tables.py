@@ -5,9 +5,10 @@ import re
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 import __spark_entry__ as entry
-from quillframe.functions import dialect
+from quillframe.functions import dialect, udfs
 from quillframe.operators import carve, gates
 from tests.test_oracle import table
 
@@ -101,3 +102,19 @@ def test_figures_are_counted_without_a_join(spark):
     found = gates.figures_lost(wanted, some((1, "a"), (1, "b"), (2, None), (3, "d"), (9, "z")), some((3, "d"), (8, "y")))
     assert sorted((tuple(r) for r in found.select("document", "locator", "detail").collect()), key=str) == [("1", "a", "2 1 0"), ("2", "c", "1 0 0"), ("2", None, "1 0 0")]
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_formulas_use_all_cores(spark):
+    frame = entry.queries()["formula_latex"](spark, "/root/testdata/sf0.001")
+    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_spans_of_odd_texts(spark):
+    texts = ["", None, "ABC", "x ABC DEFG y", "é ABCD", "no", "AB"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for pattern in ("([A-Z])([A-Z]{2,})", "[A-Z]{2,}", "(é)?[A-Z]{3}"):
+        got = [r[1] for r in rows.select("i", udfs.regex_spans(pattern)("t")).orderBy("i").collect()]
+        wanted = [None if t is None else [(i, m.start(), m.end(), m[0], list(m.groups())) for i, m in enumerate(re.finditer(pattern, t))] for t in texts]
+        assert [r if r is None else [tuple(x) for x in r] for r in got] == wanted, pattern
+    plan = rows.select(udfs.regex_spans("a")("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and udfs.regex_spans("a").evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
