@@ -11,7 +11,7 @@ from quillframe.functions import formulas
 from quillframe.operators import aggregates, blueprint, control, sequence, streams
 from quillframe.plans.registry import query
 from quillframe.sources import docx, docx_build as build
-from quillframe.sources.tables import table
+from quillframe.sources.tables import spread, table
 
 
 def _c(name: str, as_: str) -> Column:
@@ -102,7 +102,7 @@ def formula_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
     fraction = e("f", F.concat(e("num", t(size)), e("den", e("sSub", F.concat(e("e", t(F.lit("x"))), e("sub", t(k)))))))
     root = e("rad", F.concat(e("deg", t(F.lit("3"))), e("e", t(F.concat(size, F.lit("%"))))))
     whole = F.concat(F.lit(f'<m:oMath xmlns:m="{build.NAMESPACES["m"]}">'), fraction, t(F.lit("≤")), F.when(F.col("p_size") % 2 == 0, t(F.lit("α"))).otherwise(root), F.lit("</m:oMath>"))
-    return table(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", formulas.omml_to_latex(whole).alias("latex"))
+    return spread(table(spark, sf_dir, "part", "p_partkey", "p_size")).select("p_partkey", formulas.omml_to_latex(whole).alias("latex"))
 
 
 @query("SELECT n_regionkey, 1::BIGINT AS n_contents, count(*) AS n_archives FROM nation GROUP BY 1")
