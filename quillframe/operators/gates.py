@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quillframe.functions import text as T
 from quillframe.functions.dialect import SPACES
 from quillframe.operators import attribution, joins
+from quillframe.sources.tables import partitions
 
 FINDING = ["gate", "code", "severity", "document", "locator", "detail"]
 
@@ -151,22 +152,29 @@ def reconstructible(blocks: DataFrame, units: DataFrame, layout: DataFrame, weak
     units: document, text. weak: only the first eight visible characters of a block are looked for.
     """
     gate, keys = "reconstructible", ["document", "locator"]
-    unknown = blocks.select("document").distinct().join(layout.select("document").distinct(), "document", "left_anti")
-    known = blocks.join(unknown, "document", "left_anti")
-    missing = known.join(layout.select(*keys), keys, "left_anti")
-    both = known.join(layout.select(*keys, F.col("properties").alias("kept"), F.col("drawings").alias("kept_drawings")), keys)
-    each = both.select(*keys, F.explode("properties").alias("key", "value"), "kept").withColumn("got", F.try_element_at("kept", F.col("key")))
-    code = F.when(F.col("got").isNull(), "PPR_KEY_LOST").when(F.col("got") != F.col("value"), "PPR_VALUE_DIFF")
+    n = partitions(blocks, layout, units)
+    recorded = layout.select("document").repartition(n, "document").distinct().withColumn("__recorded", F.lit(True))
+    in_record = lambda rows: rows.join(recorded, "document", "left")
+    known = F.col("__recorded") | F.col("document").isNull()
+    # Documents are looked up in the record last, for the few rows that are findings otherwise.
+    without = in_record(blocks.select(*keys).join(layout.select(*keys), keys, "left_anti"))
+    record = layout.select(*keys, F.col("properties").alias("kept"), F.col("drawings").alias("kept_drawings"))
+    both = blocks.drop("text").repartition(n, *keys).join(record.repartition(n, *keys), keys)
+    found = lambda code, detail: F.struct(code.alias("code"), detail.cast("string").alias("detail"))
+    got = lambda e: F.try_element_at("kept", e["key"])
+    code = lambda e: F.when(got(e).isNull(), "PPR_KEY_LOST").when(got(e) != e["value"], "PPR_VALUE_DIFF")
+    properties = F.transform(F.coalesce(F.map_entries("properties"), F.array()), lambda e: found(code(e), e["key"]))
+    drawings = F.array(found(F.when(F.col("kept_drawings") < F.col("drawings"), "DRAWING_LOST"), F.lit(None)))
+    each = both.select(*keys, F.inline(F.filter(F.concat(properties, drawings), lambda f: f["code"].isNotNull())))
     visible = lambda c: F.regexp_replace(c, r"\s+", "")
-    whole = units.groupBy("document").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", visible("text").alias("t")))), lambda r: r["t"]), "").alias("all_text"))
+    whole = units.repartition(n, "document").groupBy("document").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", visible("text").alias("t")))), lambda r: r["t"]), "").alias("all_text"))
     probe = F.substring(visible("text"), 1, 8) if weak else visible("text")
-    lost = known.join(whole, "document", "left").where((visible("text") != "") & ~F.contains(F.coalesce("all_text", F.lit("")), probe))
+    lost = in_record(blocks.select(*keys, "text").repartition(n, "document").join(whole, "document", "left").where((visible("text") != "") & ~F.contains(F.coalesce("all_text", F.lit("")), probe)).select(*keys))
     return union(
-        findings(unknown, gate, "DOCUMENT_LABEL_UNKNOWN"),
-        findings(missing, gate, "LAYOUT_BLOCK_MISSING", locator="locator"),
-        findings(each.withColumn("code", code).where("code IS NOT NULL"), gate, F.col("code"), locator="locator", detail=F.col("key")),
-        findings(both.where("kept_drawings < drawings"), gate, "DRAWING_LOST", locator="locator"),
-        findings(lost, gate, "TEXT_UNATTRIBUTED", locator="locator"),
+        findings(without.where("__recorded IS NULL").select("document").distinct(), gate, "DOCUMENT_LABEL_UNKNOWN"),
+        findings(without.where(known), gate, "LAYOUT_BLOCK_MISSING", locator="locator"),
+        findings(each, gate, F.col("code"), locator="locator", detail=F.col("detail")),
+        findings(lost.where(known), gate, "TEXT_UNATTRIBUTED", locator="locator"),
     )
 
 

@@ -127,3 +127,29 @@ def test_persist_is_all_or_nothing(spark, tmp_path):
     out = persist.persist(spark, {"units": units("a", 1), "runs": ledger}, str(tmp_path), fine)
     assert {r["source_id"]: r["count"] for r in out["units"].groupBy("source_id").count().collect()} == {"a": 1, "b": 3}
     assert out["runs"].count() == 3
+
+
+def test_reconstructible_in_small_partitions(spark):
+    """What is found where places and documents repeat or are missing; and no exchange that Spark merges up to 64 MB as written."""
+    maps = lambda **m: m
+    kind = "document int, locator string, text string, properties map<string,string>, drawings int"
+    blocks = spark.createDataFrame([(1, "a", "one", maps(x="1", y="2"), 1), (1, "b", "two", None, 0), (2, "a", " ", maps(x="1"), 2), (3, "a", "gone", maps(), 0), (3, "b", "gone", maps(), 0), (None, "a", "none", maps(), 0)], kind)
+    layout = spark.createDataFrame([(1, "a", maps(x="1"), 1), (1, "a", maps(x="3", y="2"), 0), (2, "a", None, 2)], "document int, locator string, properties map<string,string>, drawings int")
+    units = spark.createDataFrame([(1, 2, "tw"), (1, 1, "on e"), (2, 1, "?")], "document int, ordinal int, text string")
+    found = gates.reconstructible(blocks, units, layout)
+    assert sorted(((r["code"], r["document"], r["locator"], r["detail"]) for r in found.collect()), key=str) == sorted(
+        [
+            ("DOCUMENT_LABEL_UNKNOWN", "3", None, None),
+            ("DOCUMENT_LABEL_UNKNOWN", None, None, None),
+            ("LAYOUT_BLOCK_MISSING", "1", "b", None),
+            ("LAYOUT_BLOCK_MISSING", None, "a", None),
+            ("PPR_KEY_LOST", "1", "a", "y"),
+            ("PPR_VALUE_DIFF", "1", "a", "x"),
+            ("DRAWING_LOST", "1", "a", None),
+            ("PPR_KEY_LOST", "2", "a", "x"),
+            ("TEXT_UNATTRIBUTED", "1", "b", None),
+            ("TEXT_UNATTRIBUTED", None, "a", None),
+        ],
+        key=str,
+    )
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
