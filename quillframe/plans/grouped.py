@@ -84,8 +84,9 @@ def question_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_blocks(_QUESTIONS.format(of="blocks") + " SELECT document, question, count(*) AS n_body, sum(length(text))::BIGINT AS n_chars FROM questions WHERE question IS NOT NULL AND NOT is_stem GROUP BY document, question"))
 def question_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sequence.question_runs(blocks(spark, sf_dir)).where("question IS NOT NULL AND NOT is_stem")
-    return rows.groupBy("document", "question").agg(F.count("*").alias("n_body"), F.sum(F.length("text")).alias("n_chars"))
+    lines = blocks(spark, sf_dir).select("document", "ordinal", "kind", F.length("text").alias("n"))  # texts stay where they are
+    rows = sequence.question_runs(lines).where("question IS NOT NULL AND NOT is_stem")
+    return rows.groupBy("document", "question").agg(F.count("*").alias("n_body"), F.sum("n").alias("n_chars"))
 
 
 @query(with_turns(_QUESTIONS.format(of="turns") + ", j AS (SELECT document, question, count(*) AS n_blocks, string_agg(text, '' ORDER BY ordinal) AS joined FROM questions WHERE question IS NOT NULL GROUP BY document, question) SELECT *, substr(sha256(joined), 1, 16) AS atom_id FROM j"))

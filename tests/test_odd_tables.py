@@ -118,3 +118,9 @@ def test_spans_of_odd_texts(spark):
         assert [r if r is None else [tuple(x) for x in r] for r in got] == wanted, pattern
     plan = rows.select(udfs.regex_spans("a")("t"))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and udfs.regex_spans("a").evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+
+
+def test_lengths_of_bodies_without_their_texts(spark):
+    plan = entry.queries()["question_body"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert "text" not in plan.split(window)[1].splitlines()[1]
